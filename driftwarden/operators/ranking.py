@@ -53,30 +53,41 @@ def with_position(df: DataFrame, group: Sequence[str], order: Sequence[Column |
     return ranked.withColumn(out, F.col(out).cast("long") - 1)
 
 
-def group_percentile(df: DataFrame, group: Sequence[str], value: str, share: float, out: str,
-                     weight: str | None = None, largest: int | None = None,
-                     max_window_rows: int | None = None) -> DataFrame:
-    """Exact percentile per group with linear interpolation; ``weight`` counts copies of a value.
-
-    Bounded groups use the built-in exact aggregate, which holds a group's values in
-    one task. Otherwise copies are combined and the two order statistics are picked
-    by their position.
+def group_percentiles(df: DataFrame, group: Sequence[str], value: str, shares: Sequence[float], out: str,
+                      weight: str | None = None, largest: int | None = None,
+                      max_window_rows: int | None = None) -> DataFrame:
+    """Exact percentiles per group with linear interpolation, as an array in the order of ``shares``.
+
+    ``weight`` counts copies of a value. Bounded groups use the built-in exact
+    aggregate, which holds a group's values in one task. Otherwise copies are combined
+    and the two order statistics of each share are picked by their position.
     """
     keys = list(group)
     if keys and is_bounded(largest):
-        return df.groupBy(*keys).agg(F.percentile(value, share, F.col(weight) if weight else 1).alias(out))
+        exact = F.percentile(value, F.array(*[F.lit(float(p)) for p in shares]), F.col(weight) if weight else 1)
+        return df.groupBy(*keys).agg(exact.alias(out))
     copies = F.sum(weight) if weight else F.count(F.lit(1))
     values = df.groupBy(*keys, F.col(value).alias("_v")).agg(copies.cast("long").alias("_w"))
     sizes = values.groupBy(*keys).agg(F.sum("_w").alias("_n"))
     ranked = running_total(values, keys, ["_v"], "_w", "_upto", largest, max_window_rows)
     ranked = join_scalars(ranked, sizes, keys, ["_v"])
-    spot = (F.col("_n") - 1) * F.lit(float(share))
-    low, high = F.floor(spot), F.ceil(spot)
     first = F.col("_upto") - F.col("_w")
 
     def at(index: Column) -> Column:
         return F.max(F.when((first <= index) & (index < F.col("_upto")), F.col("_v")))
 
-    picked = ranked.groupBy(*keys).agg(at(low).alias("_lo"), at(high).alias("_hi"),
-                                       F.max(spot - low).alias("_t"))
-    return picked.select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_t")).alias(out))
+    picks, results = [], []
+    for i, share in enumerate(shares):
+        spot = (F.col("_n") - 1) * F.lit(float(share))
+        picks += [at(F.floor(spot)).alias(f"_lo{i}"), at(F.ceil(spot)).alias(f"_hi{i}"),
+                  F.max(spot - F.floor(spot)).alias(f"_t{i}")]
+        results.append(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_t{i}"))
+    return ranked.groupBy(*keys).agg(*picks).select(*keys, F.array(*results).alias(out))
+
+
+def group_percentile(df: DataFrame, group: Sequence[str], value: str, share: float, out: str,
+                     weight: str | None = None, largest: int | None = None,
+                     max_window_rows: int | None = None) -> DataFrame:
+    """One exact percentile per group."""
+    found = group_percentiles(df, group, value, [share], out, weight, largest, max_window_rows)
+    return found.withColumn(out, F.col(out)[0])

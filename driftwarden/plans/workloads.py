@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from driftwarden.operators.features import l2_normalise, pack_vectors, term_counts, tokenize
 from driftwarden.operators.ranking import with_position
 from driftwarden.operators.segments import assign_segments
+from driftwarden.operators.skew import join_scalars
 from driftwarden.runtime import cut
 
 SEGMENT_LENGTH = 20
@@ -35,6 +36,13 @@ def stream_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(brands, "l_partkey").select("entity", "pos", "seg", "token")
 
 
+def line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entity, token) where the order does not matter: no positions, so no sort."""
+    brands = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("token"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("entity"), "l_partkey")
+    return lines.join(brands, "l_partkey").select("entity", "token")
+
+
 def stream_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """labels(entity, seg, label): 1 for a segment with many returned lines."""
     returned = F.sum((F.col("l_returnflag") == "R").cast("int"))
@@ -67,6 +75,20 @@ def stream_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_roles(packed, F.lit(True), F.col("seg") >= GENUINE)
 
 
+def quantity_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two dense columns per segment, total quantity and mean discount, standardised per entity."""
+    rows = stream_lines(spark, sf_dir).groupBy("entity", "seg").agg(
+        F.sum("l_quantity").alias("qty"), F.avg("l_discount").alias("disc"))
+    rows = cut(rows, "quantities")
+    moments = rows.groupBy("entity").agg(*[f(c).alias(f"{n}_{c}") for c in ("qty", "disc")
+                                           for n, f in (("m", F.avg), ("s", F.stddev_pop))])
+    joined = join_scalars(rows, moments, ["entity"], ["seg"])
+    standard = [F.round((F.col(c) - F.col(f"m_{c}")) / F.col(f"s_{c}"), 6) for c in ("disc", "qty")]
+    packed = joined.select("entity", "seg", F.array(F.lit("disc"), F.lit("qty")).alias("terms"),
+                           F.array(*standard).alias("vals"))
+    return cut(with_roles(packed, F.lit(True), F.col("seg") >= GENUINE), "vectors")
+
+
 def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("source").alias("entity"), "doc_id", "text")
 
