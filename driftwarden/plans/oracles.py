@@ -196,7 +196,7 @@ d{step} AS MATERIALIZED (SELECT entity, seg, x, y, n, round(greatest(
   FROM d{step - 1} JOIN m{step} USING (entity))"""
     return f"""WITH {sql},
 off AS (SELECT entity, quantile_cont(-d, 0.1) AS off FROM d{steps} GROUP BY 1)
-SELECT entity, seg, round(d, 4) AS score, CAST(-d < off AS INTEGER) AS flag
+SELECT entity, seg, d AS score, CAST(-d < off AS INTEGER) AS flag
 FROM d{steps} JOIN off USING (entity) WHERE seg >= {GENUINE}"""
 
 
@@ -278,15 +278,15 @@ ORACLES: dict[str, str] = {
     "tf_l2": f"WITH {VECTORS} SELECT entity, seg, term, round(value, 6) AS value FROM feat",
     "centroid_distances": f"WITH {VECTORS}{CENTROID} SELECT entity, id AS seg, round(dist, 6) AS dist FROM c_d",
     "knn_segments": f"""WITH {VECTORS}{PAIRS}
-        SELECT entity, i AS seg, CAST(rn AS INTEGER) AS rank, j AS neighbour, round(dist, 6) AS dist FROM (
+        SELECT entity, i AS seg, CAST(rn AS INTEGER) AS rank, j AS neighbour, dist FROM (
           SELECT *, row_number() OVER (PARTITION BY entity, i ORDER BY dist, j) AS rn FROM pairs WHERE i <> j)
         WHERE rn <= {NEIGHBOURS}""",
     "detect_centroid": f"WITH {VECTORS}{CENTROID} SELECT entity, seg, round(score, 6) AS score, flag FROM c_flag",
-    "detect_lof": f"WITH {VECTORS}{LOF} SELECT entity, seg, round(score, 6) AS score, flag FROM l_flag",
-    "detect_iforest": f"WITH {VECTORS}{FORESTS} SELECT entity, seg, round(score, 6) AS score, flag FROM f_flag",
+    "detect_lof": f"WITH {VECTORS}{LOF} SELECT entity, seg, score, flag FROM l_flag",
+    "detect_iforest": f"WITH {VECTORS}{FORESTS} SELECT entity, seg, score, flag FROM f_flag",
     "detect_ocsvm_nu1": f"""WITH {VECTORS}{PAIRS},
         g AS (SELECT entity, i, any_value(i_scored) AS i_scored, sum(exp(-0.4::DOUBLE * dist * dist)) AS g FROM pairs GROUP BY 1, 2),
-        s AS (SELECT entity, i, i_scored, round(max(g) OVER (PARTITION BY entity) - g, 9) AS s FROM g)
+        s AS (SELECT entity, i, i_scored, max(g) OVER (PARTITION BY entity) - g AS s FROM g)
         SELECT entity, i AS seg, round(s, 6) AS score, CAST(s > 1e-5 AS INTEGER) AS flag FROM s WHERE i_scored""",
     "detect_envelope_2d": envelope_2d(3),
     "majority_vote": f"""WITH {VECTORS}{CENTROID}{LOF}{FORESTS}
@@ -313,7 +313,7 @@ ORACLES: dict[str, str] = {
     "confusion_matrix": f"""WITH {VECTORS}{CENTROID} SELECT label, flag AS pred, count(*) AS n
         FROM c_flag JOIN lab USING (entity, seg) GROUP BY 1, 2""",
     "search_scores": f"{SEARCH} SELECT detector, entity, candidate, round(score, 6) AS score FROM scores",
-    "search_best": f"{BEST} SELECT detector, entity, candidate, round(score, 6) AS score FROM best",
+    "search_best": f"{BEST} SELECT detector, entity, candidate, round(score, 9) AS score FROM best",
     "search_summary": f"""{BEST},
         won AS (SELECT b.detector, threshold, n_neighbors, contamination, round(score, 9) AS score
           FROM best b JOIN (VALUES {CANDIDATE_ROWS}) AS c(detector, candidate, threshold, n_neighbors, contamination)

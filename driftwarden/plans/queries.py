@@ -19,6 +19,7 @@ from driftwarden.operators import metrics as M
 from driftwarden.operators import sampling as S
 from driftwarden.operators.neighbours import nearest_segments
 from driftwarden.operators.ranking import with_position
+from driftwarden.operators.skew import join_scalars
 from driftwarden.operators.segments import genuine, segment_documents, unlabelled
 from driftwarden.plans import classify as N
 from driftwarden.plans import search as R
@@ -42,8 +43,8 @@ def _r(name: str, digits: int = 6):
     return F.round(F.col(name), digits).alias(name)
 
 
-def _flags(flags: DataFrame, digits: int = 6) -> DataFrame:
-    return flags.select("entity", "seg", _r("score", digits), "flag")
+def _flags(flags: DataFrame) -> DataFrame:
+    return flags.select("entity", "seg", _r("score"), "flag")
 
 
 # --- streams -----------------------------------------------------------------------------------
@@ -95,14 +96,16 @@ def vocab_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "count_tables")
     levels = cut(C.count_levels(W.stream_tokens(spark, sf_dir)), "levels")
     parts = []
-    for level, keys in (("segment", ["entity", "seg"]), ("entity", ["entity"]), ("total", [])):
+    for level, keys, folders in (("segment", ["entity", "seg"], ["entity"]), ("entity", ["entity"], []), ("total", [], [])):
         ranked = C.rank_counts(levels.filter(F.col("level") == level), keys)
-        K.write_count_tables(ranked, f"{root}/{level}", keys)
-        types = ["token string", "count bigint", "entity bigint" if keys else "", "seg int" if len(keys) > 1 else ""]
-        back = spark.read.csv(f"{root}/{level}", header=True, schema=", ".join(t for t in types if t))
-        for missing, kind in (("entity", "bigint"), ("seg", "int")):
-            if missing not in keys:
-                back = back.withColumn(missing, F.lit(None).cast(kind))
+        K.write_count_tables(ranked, f"{root}/{level}", keys, folders)
+        inside = [k for k in keys if k not in folders]
+        kinds = {"entity": "entity bigint", "seg": "seg int"}
+        schema = ", ".join([*[kinds[k] for k in inside], "token string, count bigint", *[kinds[k] for k in folders]])
+        back = spark.read.csv(f"{root}/{level}", header=True, schema=schema)
+        for key, kind in (("entity", "bigint"), ("seg", "int")):
+            if key not in keys:
+                back = back.withColumn(key, F.lit(None).cast(kind))
         parts.append(back.select(F.lit(level).alias("level"), "entity", "seg", "token", "count"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -120,7 +123,7 @@ def distances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def knn_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = nearest_segments(W.stream_vectors(spark, sf_dir), ["entity"], "seg", NEIGHBOURS)
-    return near.select("entity", "seg", "rank", "neighbour", _r("dist"))
+    return near.select("entity", "seg", "rank", "neighbour", "dist")
 
 
 def centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,15 +131,15 @@ def centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flags(detect_lof(W.stream_vectors(spark, sf_dir), k=NEIGHBOURS))
+    return detect_lof(W.stream_vectors(spark, sf_dir), k=NEIGHBOURS)
 
 
 def iforest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flags(detect_iforest(W.stream_vectors(spark, sf_dir), **FOREST))
+    return detect_iforest(W.stream_vectors(spark, sf_dir), **FOREST)
 
 
 def ocsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flags(detect_ocsvm(W.stream_vectors(spark, sf_dir)), 4)
+    return _flags(detect_ocsvm(W.stream_vectors(spark, sf_dir)))
 
 
 def ocsvm_nu1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,11 +147,11 @@ def ocsvm_nu1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flags(detect_envelope(W.embedding_vectors(spark, sf_dir), ridge=0.01))
+    return detect_envelope(W.embedding_vectors(spark, sf_dir), ridge=0.01)
 
 
 def envelope_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flags(detect_envelope(W.quantity_vectors(spark, sf_dir), reweight=False), 4)
+    return detect_envelope(W.quantity_vectors(spark, sf_dir), reweight=False)
 
 
 def _three(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -177,7 +180,7 @@ def _partial_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = W.stream_labels(spark, sf_dir)
     known = W.labelled_entities(spark, sf_dir).withColumn("_known", F.lit(1))
     seen = F.col("_known").isNotNull() | (F.col("seg") < W.GENUINE)
-    return (labels.join(known, "entity", "left")
+    return (join_scalars(labels, known, ["entity"], ["seg"], "left")
             .select("entity", "seg", F.when(seen, F.col("label")).alias("label")))
 
 
@@ -255,7 +258,7 @@ def _best(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _best(spark, sf_dir).select("detector", "entity", "candidate", _r("score"))
+    return _best(spark, sf_dir)
 
 
 def search_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,25 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftwarden.operators.skew import join_scalars
+
 # A CSV matrix has one column per segment; wider results belong in long form.
 MAX_MATRIX_COLUMNS = 20_000
 
 
-def write_count_tables(ranked: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
-    """(token, count) as CSV with a header, one folder per key, replacing what was there.
+def write_count_tables(ranked: DataFrame, path: str, keys: Sequence[str] = (), folders: Sequence[str] = ()) -> None:
+    """(keys, token, count) as CSV with a header, replacing what was there.
 
-    Rows are range-partitioned by (key, rank): a small key lands in one file, a huge
-    one in several files whose names keep the rank order.
+    ``folders`` names the keys that become a folder each; the others are columns, so
+    that the number of files need not grow with the number of segments. Rows are
+    range-partitioned by (keys, rank): a small key lands in one file, a huge one in
+    several whose names keep the rank order.
     """
-    keys = list(partition_cols)
+    columns = [k for k in keys if k not in folders]
     ordered = ranked.repartitionByRange(*keys, "rank").sortWithinPartitions(*keys, "rank")
-    writer = ordered.select(*keys, "token", "count").write.mode("overwrite").option("header", True)
-    (writer.partitionBy(*keys) if keys else writer).csv(path)
+    writer = ordered.select(*columns, "token", "count", *folders).write.mode("overwrite").option("header", True)
+    (writer.partitionBy(*folders) if folders else writer).csv(path)
 
 
 def fill_labels(labels: DataFrame, flags: DataFrame, n_genuine: int, labelled: DataFrame) -> DataFrame:
     """Keep known cells; test cells of entities outside ``labelled`` take the prediction."""
-    marked = labels.join(labelled.select("entity").withColumn("_known", F.lit(1)), "entity", "left")
+    known = labelled.select("entity").withColumn("_known", F.lit(1))
+    marked = join_scalars(labels, known, ["entity"], ["seg"], "left")
     joined = marked.join(flags.select("entity", "seg", "flag"), ["entity", "seg"], "left")
     predicted = F.col("_known").isNull() & (F.col("seg") >= n_genuine)
     cell = F.when(predicted, F.col("flag")).otherwise(F.col("label")).cast("int")
