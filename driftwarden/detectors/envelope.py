@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftwarden.detectors.iforest import flag_above
-from driftwarden.operators.blocks import apply_model, typed
+from driftwarden.operators.blocks import apply_model, by_group, typed
 from driftwarden.operators.dense import matrix
 from driftwarden.operators.features import unpack_vectors
 from driftwarden.operators.ranking import group_percentile, with_position
@@ -95,7 +95,7 @@ def fit_gaussian(support: DataFrame, keys: list[str], ridge: float) -> DataFrame
         inverse = (axes[:, keep] / size[keep]) @ axes[:, keep].T
         return pd.DataFrame([[*key, names[1:], mean, inverse.ravel()]], columns=[*keys, "dims", "mean", "inverse"])
 
-    return sums.groupBy(*keys).applyInPandas(
+    return by_group(sums, keys).applyInPandas(
         invert, typed(support, keys) + ", dims array<string>, mean array<double>, inverse array<double>")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwarden.functions.hashing import DENOMINATOR, hash_key
-from driftwarden.operators.blocks import apply_model, typed
+from driftwarden.operators.blocks import apply_model, by_group, typed
 from driftwarden.operators.dense import matrix
 from driftwarden.operators.features import unpack_vectors
 from driftwarden.operators.ranking import group_percentile
@@ -99,7 +99,7 @@ def grow_forest(vectors: DataFrame, group: Sequence[str], id_col: str, trees: in
                 out.append((*key, tree, len(x), node, columns[column] if column >= 0 else None, split, path))
         return pd.DataFrame(out, columns=[*keys, "tree", "size", "node", "term", "split", "path"])
 
-    return joined.groupBy(*keys).applyInPandas(
+    return by_group(joined, keys).applyInPandas(
         grow, head + ", size int, node int, term string, split double, path double")
 
 

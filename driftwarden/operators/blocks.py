@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from driftwarden.operators.skew import block_of, fresh
@@ -14,6 +14,15 @@ from driftwarden.operators.skew import block_of, fresh
 SCORE_ROWS = 8_192
 
 
+def by_group(df: DataFrame, keys: Sequence[str]) -> GroupedData:
+    """Group rows for a Python function, over all shuffle partitions.
+
+    The work per byte is high, so partitions must not be merged because they hold few bytes.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys).groupBy(*keys)
+
+
 def apply_model(rows: DataFrame, model: DataFrame, group: Sequence[str], id_col: str,
                 score: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str,
                 largest: int | None = None) -> DataFrame:
@@ -28,11 +37,11 @@ def apply_model(rows: DataFrame, model: DataFrame, group: Sequence[str], id_col:
         return score(left, right) if len(left) else pd.DataFrame()
 
     if largest is not None and largest <= SCORE_ROWS:
-        return rows.groupBy(*keys).cogroup(fresh(model).groupBy(*keys)).applyInPandas(call, schema)
+        return by_group(rows, keys).cogroup(by_group(fresh(model), keys)).applyInPandas(call, schema)
     blocked = rows.withColumn("_block", block_of(id_col, SCORE_ROWS))
     spread = fresh(blocked.select(*keys, "_block").distinct().join(model, keys))
     by = [*keys, "_block"]
-    return blocked.groupBy(*by).cogroup(spread.groupBy(*by)).applyInPandas(call, schema)
+    return by_group(blocked, by).cogroup(by_group(spread, by)).applyInPandas(call, schema)
 
 
 def typed(df: DataFrame, columns: Sequence[str]) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftwarden.operators.ranking import with_position
+from driftwarden.runtime import cut
 
 
 def count_tokens(tokens: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -37,5 +38,7 @@ def count_levels(segmented: DataFrame, capped_at: int | None = None) -> DataFram
 
 def rank_counts(counts: DataFrame, group: Sequence[str], largest: int | None = None) -> DataFrame:
     """Rank tokens by falling count, ties in alphabetical order; the rank is a column, so it survives shuffles."""
+    if largest is None:
+        counts = cut(counts, "counts")
     ranked = with_position(counts, group, [F.desc("count"), "token"], "rank", largest)
     return ranked.withColumn("rank", F.col("rank") + 1)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from driftwarden.functions.text import terms_of
 from driftwarden.operators.ranking import with_position
 from driftwarden.operators.skew import attach, join_scalars
+from driftwarden.runtime import cut
 
 
 def tokenize(docs: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
@@ -25,6 +26,8 @@ def fit_vocabulary(counts: DataFrame, group: Sequence[str], largest: int | None
                    max_window_rows: int | None = None) -> DataFrame:
     """Distinct terms per group with their alphabetical index."""
     distinct = counts.select(*group, "term").distinct()
+    if largest is None:
+        distinct = cut(distinct, "terms")
     return with_position(distinct, group, ["term"], "term_id", largest, max_window_rows)
 
 

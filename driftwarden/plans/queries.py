@@ -19,8 +19,8 @@ from driftwarden.operators import metrics as M
 from driftwarden.operators import sampling as S
 from driftwarden.operators.neighbours import nearest_segments
 from driftwarden.operators.ranking import with_position
-from driftwarden.operators.skew import join_scalars
 from driftwarden.operators.segments import genuine, segment_documents, unlabelled
+from driftwarden.operators.skew import join_scalars, largest_group
 from driftwarden.plans import classify as N
 from driftwarden.plans import search as R
 from driftwarden.plans import workloads as W
@@ -233,17 +233,18 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TF-IDF vectors of the test segments, once per fold of a stratified split."""
-    counts = unlabelled(W.stream_features(spark, sf_dir).select(*KEY, "term", "tf"), W.GENUINE)
-    docs = unlabelled(W.stream_labels(spark, sf_dir), W.GENUINE)
+    counts = cut(unlabelled(W.stream_features(spark, sf_dir).select(*KEY, "term", "tf"), W.GENUINE), "counts")
+    docs = cut(unlabelled(W.stream_labels(spark, sf_dir), W.GENUINE), "labels")
     idf = X.fit_idf(counts, docs, ["entity"])
-    vectors = X.pack_vectors(X.apply_idf(counts, idf, ["entity"], "seg"), KEY)
-    folds = S.stratified_folds(docs, ["entity", "label"], "seg", SPLIT_SEED)
+    largest = largest_group(docs, ["entity"])
+    vectors = X.pack_vectors(X.apply_idf(counts, idf, ["entity"], "seg", largest), KEY)
+    folds = S.stratified_folds(docs, ["entity", "label"], "seg", SPLIT_SEED, largest=largest)
     return cut(R.cross_validated(vectors, folds, KEY), "runs")
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = _runs(spark, sf_dir)
-    largest = R.largest_group(runs, ["entity", "cv"])
+    largest = largest_group(runs, ["entity", "cv"])
     return R.search_centroid(runs, ["entity"], "seg", THRESHOLDS, largest).unionByName(
         R.search_lof(runs, ["entity"], "seg", LOF_CANDIDATES, largest))
 
@@ -287,21 +288,24 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = cut(W.document_counts(spark, sf_dir), "counts")
-    known = X.known_terms(counts, X.fit_vocabulary(counts, ["entity"]), ["entity"], "doc_id")
+    largest = largest_group(W.document_rows(spark, sf_dir), ["entity"])
+    known = X.known_terms(counts, X.fit_vocabulary(counts, ["entity"]), ["entity"], "doc_id", largest)
     return known.select("entity", "doc_id", "term_id", "term", "tf")
 
 
 def tfidf_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = cut(W.document_counts(spark, sf_dir), "counts")
-    idf = X.fit_idf(counts, W.document_rows(spark, sf_dir), ["entity"])
-    return X.apply_idf(counts, idf, ["entity"], "doc_id").select("entity", "doc_id", "term", _r("value"))
+    docs = W.document_rows(spark, sf_dir)
+    idf = X.fit_idf(counts, docs, ["entity"])
+    largest = largest_group(docs, ["entity"])
+    return X.apply_idf(counts, idf, ["entity"], "doc_id", largest).select("entity", "doc_id", "term", _r("value"))
 
 
 def _train_test_features(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
     """TF-IDF fitted on the training documents, applied to all."""
     counts = cut(X.term_counts(X.tokenize(docs, ["doc_id", "is_train"]), ["doc_id", "is_train"]), "counts")
     idf = X.fit_idf(counts.filter("is_train"), docs.filter("is_train").select("doc_id"), [])
-    return X.apply_idf(counts, idf, [], "doc_id")
+    return X.apply_idf(counts, idf, [], "doc_id", docs.count())
 
 
 def tfidf_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
