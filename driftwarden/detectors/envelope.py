@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from driftwarden.detectors.iforest import flag_above
 from driftwarden.operators.blocks import apply_model, by_group, typed
-from driftwarden.operators.dense import matrix
+from driftwarden.operators.dense import matrix, row_pieces
 from driftwarden.operators.features import unpack_vectors
 from driftwarden.operators.ranking import group_percentile, with_position
 from driftwarden.operators.skew import attach, join_scalars, largest_group
@@ -105,9 +105,11 @@ def mahalanobis(vectors: DataFrame, model: DataFrame, keys: list[str], id_col: s
 
     def measure(rows: pd.DataFrame, fitted: pd.DataFrame) -> pd.DataFrame:
         dims, mean, inverse = fitted["dims"].iloc[0], fitted["mean"].iloc[0], fitted["inverse"].iloc[0]
-        x = matrix(rows["terms"], rows["vals"], pd.Index(dims)) - mean
-        d = np.einsum("ij,ij->i", x @ np.asarray(inverse).reshape(len(mean), len(mean)), x)
-        return rows.assign(dist=np.round(np.maximum(d, 0.0), DIGITS))[columns]
+        inverse, index, found = np.asarray(inverse).reshape(len(mean), len(mean)), pd.Index(dims), []
+        for part in row_pieces(rows, len(mean)):
+            x = matrix(part["terms"], part["vals"], index) - mean
+            found.append(np.einsum("ij,ij->i", x @ inverse, x))
+        return rows.assign(dist=np.round(np.maximum(np.concatenate(found), 0.0), DIGITS))[columns]
 
     return apply_model(vectors, model, keys, id_col, measure, typed(vectors, columns[:-1]) + ", dist double", largest)
 

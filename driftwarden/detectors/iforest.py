@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from driftwarden.functions.hashing import DENOMINATOR, hash_key
 from driftwarden.operators.blocks import apply_model, by_group, typed
-from driftwarden.operators.dense import matrix
+from driftwarden.operators.dense import matrix, row_pieces
 from driftwarden.operators.features import unpack_vectors
 from driftwarden.operators.ranking import group_percentile
 from driftwarden.operators.skew import join_scalars, largest_group
@@ -40,14 +40,36 @@ def _uniform(*parts) -> float:
     return int(digest[:8], 16) / DENOMINATOR
 
 
-def draw_samples(vectors: DataFrame, keys: list[str], id_col: str, trees: int, samples: int) -> DataFrame:
-    """Per tree ``samples`` fitted rows without replacement, the ones with the lowest hash."""
-    fitted = vectors.filter("is_fit").select(*keys, id_col, "terms", "vals")
-    tried = fitted.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    ranked = tried.select(*keys, "tree", id_col, F.row_number().over(Window.partitionBy(*keys, "tree").orderBy(
-        hash_key(*[F.col(k) for k in keys], F.col("tree"), "row", F.col(id_col)), id_col)).alias("_r"))
-    chosen = ranked.filter(F.col("_r") <= samples).drop("_r")
-    return chosen.join(fitted, [*keys, id_col])
+def draw_samples(vectors: DataFrame, keys: list[str], id_col: str, trees: int, samples: int,
+                 largest: int) -> DataFrame:
+    """Per tree ``samples`` fitted rows without replacement, the ones with the lowest hash.
+
+    In groups much bigger than a sample only rows whose hash is below a limit are
+    sorted. The limit lets some ten standard deviations more rows through than needed;
+    should a tree still come up short, the draw is repeated without it.
+    """
+    fitted = vectors.filter("is_fit").select(*keys, id_col)
+    order = Window.partitionBy(*keys, "tree").orderBy("_hash", id_col)
+
+    def draw(rows: DataFrame) -> DataFrame:
+        tried = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+        hashed = tried.withColumn("_hash", hash_key(*[F.col(k) for k in keys], F.col("tree"), "row", F.col(id_col)))
+        if "_limit" in rows.columns:
+            hashed = hashed.filter(F.col("_hash") < F.col("_limit"))
+        return (hashed.select(*keys, "tree", id_col, "_hash").withColumn("_r", F.row_number().over(order))
+                .filter(F.col("_r") <= samples).select(*keys, "tree", id_col))
+
+    if largest <= 20 * samples:
+        return draw(fitted)
+    share = (samples + 10 * math.sqrt(samples) + 30) / F.col("_n")
+    prefix = F.lpad(F.lower(F.hex(F.floor(share * F.lit(DENOMINATOR)).cast("long"))), 8, "0")
+    sizes = fitted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    limits = sizes.withColumn("_limit", F.when(share < 1, prefix).otherwise(F.lit("g")))
+    drawn = cut(draw(join_scalars(fitted, limits, keys, [id_col]).drop("_n")), "samples")
+    found = drawn.groupBy(*keys).agg(F.count(F.lit(1)).alias("_found"))
+    short = sizes.join(found, keys, "left").filter(
+        F.coalesce("_found", F.lit(0)) < trees * F.least(F.col("_n"), F.lit(samples)))
+    return draw(fitted) if short.take(1) else drawn
 
 
 def draw_features(vectors: DataFrame, keys: list[str], trees: int, features: int) -> DataFrame:
@@ -79,21 +101,28 @@ def _grow_tree(x: np.ndarray, seed: tuple, depth_limit: int) -> list[tuple]:
     return nodes
 
 
-def grow_forest(vectors: DataFrame, group: Sequence[str], id_col: str, trees: int, samples: int, features: int
-                ) -> DataFrame:
-    """(group, tree, size, node, term, split, path): one task per group, bounded by trees x samples rows."""
+def grow_forest(vectors: DataFrame, group: Sequence[str], id_col: str, trees: int, samples: int, features: int,
+                largest: int) -> DataFrame:
+    """(group, tree, size, node, term, split, path).
+
+    Growing takes one task per group, which gets trees x samples rows with only the
+    tree's own features.
+    """
     keys = list(group)
-    sampled = draw_samples(vectors, keys, id_col, trees, samples)
-    names = draw_features(vectors, keys, trees, features)
-    joined = sampled.join(names, [*keys, "tree"])
+    sampled = draw_samples(vectors, keys, id_col, trees, samples, largest)
+    sampled = sampled.join(vectors.select(*keys, id_col, "terms", "vals"), [*keys, id_col])
+    row = F.map_from_arrays("terms", "vals")
+    joined = (sampled.join(draw_features(vectors, keys, trees, features), [*keys, "tree"])
+              .select(*keys, "tree", id_col, "names", row.alias("_m"))
+              .select(*keys, "tree", id_col, "names",
+                      F.transform("names", lambda n: F.coalesce(F.col("_m")[n], F.lit(0.0))).alias("x")))
     head = typed(joined, [*keys, "tree"])
 
     def grow(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for tree, rows in pdf.groupby("tree"):
             columns = list(rows["names"].iloc[0])
-            order = np.argsort(rows[id_col].to_numpy(), kind="stable")
-            x = matrix(rows["terms"], rows["vals"], pd.Index(columns))[order]
+            x = np.vstack(rows["x"])
             limit = math.ceil(math.log2(max(len(x), 2)))
             for node, column, split, path in _grow_tree(x, (*key, tree), limit):
                 out.append((*key, tree, len(x), node, columns[column] if column >= 0 else None, split, path))
@@ -106,8 +135,12 @@ def grow_forest(vectors: DataFrame, group: Sequence[str], id_col: str, trees: in
 def _path_lengths(rows: pd.DataFrame, forest: pd.DataFrame) -> np.ndarray:
     """Mean path length of every row over the trees."""
     index = pd.Index(forest["term"].dropna().unique())
-    x = matrix(rows["terms"], rows["vals"], index)
-    total = np.zeros(len(rows))
+    return np.concatenate([_piece_lengths(matrix(part["terms"], part["vals"], index), index, forest)
+                           for part in row_pieces(rows, len(index))])
+
+
+def _piece_lengths(x: np.ndarray, index: pd.Index, forest: pd.DataFrame) -> np.ndarray:
+    total = np.zeros(len(x))
     n_trees = 0
     for _, tree in forest.groupby("tree"):
         n_trees += 1
@@ -116,7 +149,7 @@ def _path_lengths(rows: pd.DataFrame, forest: pd.DataFrame) -> np.ndarray:
         node = tree["node"].to_numpy()
         column[node] = index.get_indexer(tree["term"])
         split[node], path[node] = tree["split"], tree["path"]
-        at = np.zeros(len(rows), dtype=int)
+        at = np.zeros(len(x), dtype=int)
         moving = np.flatnonzero(column[at] >= 0)
         while len(moving):
             here = at[moving]
@@ -156,6 +189,6 @@ def detect_iforest(vectors: DataFrame, group: Sequence[str] = ("entity",), id_co
     """(group, id, score, flag)."""
     keys = list(group)
     largest = largest_group(vectors, keys) if largest is None else largest
-    forest = grow_forest(vectors, keys, id_col, trees, samples, features)
+    forest = grow_forest(vectors, keys, id_col, trees, samples, features, largest)
     scores = cut(forest_scores(vectors, forest, keys, id_col, largest), "forest_scores")
     return flag_above(scores, keys, id_col, contamination, largest)

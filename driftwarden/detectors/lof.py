@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftwarden.operators.neighbours import BLOCK_VECTORS, DIGITS, nearest_fitted, with_vector_key
+from driftwarden.operators.neighbours import DIGITS, nearest_fitted, with_vector_key
 from driftwarden.operators.ranking import group_percentile
 from driftwarden.operators.skew import attach, join_scalars, largest_group
 from driftwarden.runtime import cut
@@ -61,7 +61,7 @@ def lof_factors(near: DataFrame, keys: list[str], k: int) -> DataFrame:
 
 
 def lof_neighbours(vectors: DataFrame, group: Sequence[str], id_col: str, k: int,
-                   block_vectors: int = BLOCK_VECTORS, largest: int | None = None) -> DataFrame:
+                   block_vectors: int | None = None, largest: int | None = None) -> DataFrame:
     """Neighbour lists that serve every number of neighbours up to ``k``."""
     near = nearest_fitted(with_vector_key(vectors), group, id_col, k + 1, block_vectors, largest=largest)
     return cut(near, "near")
@@ -74,7 +74,7 @@ def lof_limits(factors: DataFrame, keys: list[str], contamination: float, larges
 
 
 def detect_lof(vectors: DataFrame, group: Sequence[str] = ("entity",), id_col: str = "seg", k: int = NEIGHBOURS,
-               contamination: float = CONTAMINATION, block_vectors: int = BLOCK_VECTORS,
+               contamination: float = CONTAMINATION, block_vectors: int | None = None,
                largest: int | None = None) -> DataFrame:
     """(group, id, score, flag): flagged when the factor exceeds the fitted rows' threshold."""
     keys = list(group)

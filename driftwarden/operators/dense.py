@@ -2,28 +2,58 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 
+# Cells of a dense piece held at a time; a wide vocabulary is worked through in pieces.
+PIECE_CELLS = 4_000_000
+
 
 def matrix(terms: pd.Series, vals: pd.Series, index: pd.Index) -> np.ndarray:
     """Rows x terms matrix; terms outside ``index`` are left out."""
     out = np.zeros((len(terms), len(index)))
-    sizes = [len(t) for t in terms]
-    if sum(sizes):
-        row = np.repeat(np.arange(len(terms)), sizes)
-        col = index.get_indexer(np.concatenate(list(terms)))
-        val = np.concatenate(list(vals))
-        known = col >= 0
-        out[row[known], col[known]] = val[known]
+    row, col, val = _cells(terms, vals, index)
+    out[row, col] = val
     return out
 
 
-def shared_index(*term_columns: pd.Series) -> pd.Index:
-    arrays = [a for column in term_columns for a in column if len(a)]
-    return pd.Index(np.unique(np.concatenate(arrays).astype(str))) if arrays else pd.Index([], dtype=str)
+def _cells(terms: pd.Series, vals: pd.Series, index: pd.Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    sizes = [len(t) for t in terms]
+    if not sum(sizes):
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    col = index.get_indexer(np.concatenate(list(terms)))
+    known = col >= 0
+    return np.repeat(np.arange(len(sizes)), sizes)[known], col[known], np.concatenate(list(vals))[known]
+
+
+def row_pieces(rows: pd.DataFrame, width: int) -> Iterator[pd.DataFrame]:
+    """Slices of the rows whose dense form stays small."""
+    step = max(1, PIECE_CELLS // max(width, 1))
+    for start in range(0, len(rows), step):
+        yield rows.iloc[start:start + step]
+
+
+def _dots(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
+    """All dot products, summed over pieces of the shared vocabulary."""
+    out = np.zeros((len(a), len(b)))
+    both = [np.concatenate(list(x["terms"])) if x["terms"].map(len).any() else np.zeros(0, object) for x in (a, b)]
+    index = pd.Index(both[0].astype(str)).unique().intersection(pd.Index(both[1].astype(str)).unique())
+    left, right = _cells(a["terms"], a["vals"], index), _cells(b["terms"], b["vals"], index)
+    step = max(1, PIECE_CELLS // max(len(a), len(b)))
+    for start in range(0, len(index), step):
+        pieces = []
+        for (row, col, val), size in ((left, len(a)), (right, len(b))):
+            here = (col >= start) & (col < start + step)
+            piece = np.zeros((size, min(step, len(index) - start)))
+            piece[row[here], col[here] - start] = val[here]
+            pieces.append(piece)
+        out += pieces[0] @ pieces[1].T
+    return out
 
 
-def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-    return np.maximum(square, 0.0)
+def squared_distances(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
+    """Squared Euclidean distances between the packed rows of two frames."""
+    norm = [np.array([float(np.dot(v, v)) for v in x["vals"]]) for x in (a, b)]
+    return np.maximum(norm[0][:, None] + norm[1][None, :] - 2.0 * _dots(a, b), 0.0)

@@ -12,6 +12,7 @@ from driftwarden.runtime import cut
 
 # A group this small is sorted by a single task; bigger ones are spread over sorted slices.
 MAX_WINDOW_ROWS = 4_000_000
+SLICE_ROWS = 1_000_000
 
 
 def _order(order: Sequence[Column | str]) -> list[Column]:
@@ -36,7 +37,8 @@ def running_total(df: DataFrame, group: Sequence[str], order: Sequence[Column |
         frame = Window.partitionBy(*keys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(amount).over(frame))
 
-    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *sort)
+    slices = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // SLICE_ROWS))
+    ranged = df.repartitionByRange(slices, *[F.col(k) for k in keys], *sort)
     placed = cut(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
     totals = placed.groupBy(*keys, "_slice").agg(F.sum(amount).alias("_sum"))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

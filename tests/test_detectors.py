@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from driftwarden.detectors import ocsvm
 from driftwarden.detectors.centroid import detect_centroid
 from driftwarden.detectors.envelope import detect_envelope
 from driftwarden.detectors.iforest import average_path, detect_iforest
@@ -81,7 +82,8 @@ def test_forest_isolates_a_far_row(spark):
 
 @pytest.mark.parametrize("nu", [0.1, 0.3, 1.0])
 @pytest.mark.parametrize("working_set", [512, 16])
-def test_svm_dual_is_optimal(data, vectors, nu, working_set):
+def test_svm_dual_is_optimal(data, vectors, nu, working_set, monkeypatch):
+    monkeypatch.setattr(ocsvm, "KERNEL_ROWS", 20)
     if nu == 0.1 and working_set == 16:
         pytest.skip("one small working set is enough")
     solved = solve_dual(vectors, ["entity"], "seg", nu, 0.4, working_set=working_set).toPandas()
