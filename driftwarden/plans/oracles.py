@@ -56,7 +56,8 @@ c_q AS (SELECT entity, cv, sum(s * s) AS ss FROM c_s GROUP BY 1, 2),
 c_x AS (SELECT entity, cv, id, sum(value * value) AS xx, sum(value * coalesce(s, 0)) AS xs
         FROM v LEFT JOIN c_s USING (entity, cv, term) GROUP BY 1, 2, 3),
 c_d AS MATERIALIZED (
-  SELECT entity, cv, id, sqrt(greatest(xx - 2 * xs / n + ss / (n * n), 0)) AS dist
+  SELECT entity, cv, id, CASE WHEN xx - 2 * xs / n + ss / (n * n) > 2e-15 * (xx + ss / (n * n))
+                              THEN sqrt(xx - 2 * xs / n + ss / (n * n)) ELSE 0 END AS dist
   FROM r JOIN c_x USING (entity, cv, id) JOIN c_n USING (entity, cv) JOIN c_q USING (entity, cv) WHERE is_scored),
 c_m AS (SELECT entity, cv, avg(dist) AS mean FROM c_d GROUP BY 1, 2),
 c_r AS MATERIALIZED (
