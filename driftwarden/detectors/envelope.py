@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftwarden.detectors.iforest import flag_above
+from driftwarden.operators import blocks
 from driftwarden.operators.blocks import apply_model, by_group, typed
 from driftwarden.operators.dense import matrix, row_pieces
 from driftwarden.operators.features import unpack_vectors
@@ -65,53 +66,71 @@ def closest(measured: DataFrame, keys: list[str], id_col: str, share: float, lar
     return join_scalars(placed, n, keys, [id_col], largest=largest).filter(F.col("_pos") < F.col("_h"))
 
 
-def fit_gaussian(support: DataFrame, keys: list[str], ridge: float) -> DataFrame:
-    """(group, dims, mean, inverse) of the support rows.
+def support_sums(support: DataFrame, keys: list[str]) -> DataFrame:
+    """(group, i, j, s): sums of products of the support rows over pairs of terms.
 
-    Sums and sums of products are combined on the map side, so only dims x dims
-    numbers per group reach the task that inverts the matrix. A singular matrix gets
-    its pseudo-inverse.
+    An extra term named "" with value 1 makes the sums and the row count part of the
+    same table. They are combined on the map side, so only dims x dims numbers per
+    group are shuffled on.
     """
     one = F.array(F.struct(F.lit("").alias("terms"), F.lit(1.0).alias("vals")))
     rows = support.select(*keys, F.concat(one, F.arrays_zip("terms", "vals")).alias("_v"))
     firsts = rows.select(*keys, "_v", F.posexplode("_v").alias("_at", "_a"))
     both = firsts.select(*keys, F.col("_a.terms").alias("i"), F.col("_a.vals").alias("_x"),
                          F.explode(F.slice("_v", F.col("_at") + 1, F.size("_v"))).alias("_b"))
-    sums = both.groupBy(*keys, "i", F.col("_b.terms").alias("j")).agg(F.sum(F.col("_x") * F.col("_b.vals")).alias("s"))
-
-    def invert(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        names = np.unique(pdf["j"])
-        at = pd.Index(names)
-        full = np.zeros((len(names), len(names)))
-        i, j = at.get_indexer(pdf["i"]), at.get_indexer(pdf["j"])
-        full[i, j] = full[j, i] = pdf["s"]
-        n = full[0, 0]
-        mean = full[0, 1:] / n
-        cov = full[1:, 1:] / n - np.outer(mean, mean)
-        if ridge:
-            cov[np.diag_indices_from(cov)] += ridge
-        size, axes = np.linalg.eigh(cov) if len(mean) else (np.zeros(0), np.zeros((0, 0)))
-        keep = size > RANK_TOLERANCE * max(size.max(initial=0.0), 1e-300)
-        inverse = (axes[:, keep] / size[keep]) @ axes[:, keep].T
-        return pd.DataFrame([[*key, names[1:], mean, inverse.ravel()]], columns=[*keys, "dims", "mean", "inverse"])
-
-    return by_group(sums, keys).applyInPandas(
-        invert, typed(support, keys) + ", dims array<string>, mean array<double>, inverse array<double>")
+    return both.groupBy(*keys, "i", F.col("_b.terms").alias("j")).agg(F.sum(F.col("_x") * F.col("_b.vals")).alias("s"))
+
+
+def _invert(sums: pd.DataFrame, ridge: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(terms, mean, inverse covariance); a singular matrix gets its pseudo-inverse."""
+    names = np.unique(sums["j"])
+    at = pd.Index(names)
+    full = np.zeros((len(names), len(names)))
+    i, j = at.get_indexer(sums["i"]), at.get_indexer(sums["j"])
+    full[i, j] = full[j, i] = sums["s"]
+    mean = full[0, 1:] / full[0, 0]
+    cov = full[1:, 1:] / full[0, 0] - np.outer(mean, mean)
+    cov[np.diag_indices_from(cov)] += ridge
+    size, axes = np.linalg.eigh(cov) if len(mean) else (np.zeros(0), np.zeros((0, 0)))
+    keep = size > RANK_TOLERANCE * max(size.max(initial=0.0), 1e-300)
+    return names[1:], mean, (axes[:, keep] / size[keep]) @ axes[:, keep].T
+
+
+def _distances(rows: pd.DataFrame, names: np.ndarray, mean: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+    index, found = pd.Index(names), []
+    for part in row_pieces(rows, len(mean)):
+        x = matrix(part["terms"], part["vals"], index) - mean
+        found.append(np.einsum("ij,ij->i", x @ inverse, x))
+    return np.round(np.maximum(np.concatenate(found), 0.0), DIGITS)
+
+
+def mahalanobis(vectors: DataFrame, support: DataFrame, keys: list[str], id_col: str, ridge: float,
+                largest: int | None) -> DataFrame:
+    """All rows with their squared distance to the support rows, rounded to 6 digits.
+
+    A group that is one block inverts its matrix where its rows are scored. Otherwise
+    the matrix is inverted once and sent to all blocks.
+    """
+    columns = [*vectors.columns, "dist"]
+    schema = typed(vectors, columns[:-1]) + ", dist double"
+    sums = support_sums(support, keys)
+    if largest is not None and largest <= blocks.SCORE_ROWS:
+        def both(rows: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+            return rows.assign(dist=_distances(rows, *_invert(pairs, ridge)))[columns]
 
+        return apply_model(vectors, sums, keys, id_col, both, schema, largest)
 
-def mahalanobis(vectors: DataFrame, model: DataFrame, keys: list[str], id_col: str, largest: int | None) -> DataFrame:
-    """Squared distances of all rows under their group's model, rounded to 6 digits."""
-    columns = [*vectors.columns, "dist"]
+    def invert(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
+        names, mean, inverse = _invert(pdf, ridge)
+        return pd.DataFrame([[*key, names, mean, inverse.ravel()]], columns=[*keys, "dims", "mean", "inverse"])
 
     def measure(rows: pd.DataFrame, fitted: pd.DataFrame) -> pd.DataFrame:
-        dims, mean, inverse = fitted["dims"].iloc[0], fitted["mean"].iloc[0], fitted["inverse"].iloc[0]
-        inverse, index, found = np.asarray(inverse).reshape(len(mean), len(mean)), pd.Index(dims), []
-        for part in row_pieces(rows, len(mean)):
-            x = matrix(part["terms"], part["vals"], index) - mean
-            found.append(np.einsum("ij,ij->i", x @ inverse, x))
-        return rows.assign(dist=np.round(np.maximum(np.concatenate(found), 0.0), DIGITS))[columns]
+        names, mean, inverse = (fitted[c].iloc[0] for c in ("dims", "mean", "inverse"))
+        return rows.assign(dist=_distances(rows, names, mean, np.asarray(inverse).reshape(len(mean), len(mean))))[columns]
 
-    return apply_model(vectors, model, keys, id_col, measure, typed(vectors, columns[:-1]) + ", dist double", largest)
+    model = by_group(sums, keys).applyInPandas(
+        invert, typed(support, keys) + ", dims array<string>, mean array<double>, inverse array<double>")
+    return apply_model(vectors, model, keys, id_col, measure, schema, largest)
 
 
 def _reweighted(measured: DataFrame, keys: list[str], id_col: str, largest: int | None) -> DataFrame:
@@ -151,11 +170,10 @@ def detect_envelope(vectors: DataFrame, group: Sequence[str] = ("entity",), id_c
     check_dims(vectors, keys)
     vectors = vectors.select(*keys, id_col, "terms", "vals", "is_fit", "is_scored")
     measured = cut(median_distances(vectors, keys, id_col, largest), "envelope")
-    model = None
     for _ in range(steps):
-        model = fit_gaussian(closest(measured, keys, id_col, support, largest), keys, ridge)
-        measured = cut(mahalanobis(vectors, model, keys, id_col, largest), "envelope")
+        near = closest(measured, keys, id_col, support, largest)
+        measured = cut(mahalanobis(vectors, near, keys, id_col, ridge, largest), "envelope")
     if reweight:
-        model = fit_gaussian(_reweighted(measured, keys, id_col, largest), keys, ridge)
-        measured = cut(mahalanobis(vectors, model, keys, id_col, largest), "envelope")
+        near = _reweighted(measured, keys, id_col, largest)
+        measured = cut(mahalanobis(vectors, near, keys, id_col, ridge, largest), "envelope")
     return flag_above(measured.withColumnRenamed("dist", "score"), keys, id_col, contamination, largest)

@@ -279,7 +279,7 @@ def search_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.tokenize(W.document_rows(spark, sf_dir), ["entity", "doc_id"])
+    return X.tokenize(W.document_texts(spark, sf_dir), ["entity", "doc_id"])
 
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,11 +305,12 @@ def _train_test_features(spark: SparkSession, sf_dir: str, docs: DataFrame) -> D
     """TF-IDF fitted on the training documents, applied to all."""
     counts = cut(X.term_counts(X.tokenize(docs, ["doc_id", "is_train"]), ["doc_id", "is_train"]), "counts")
     idf = X.fit_idf(counts.filter("is_train"), docs.filter("is_train").select("doc_id"), [])
-    return X.apply_idf(counts, idf, [], "doc_id", docs.count())
+    return X.apply_idf(counts, idf, [], "doc_id", W.document_rows(spark, sf_dir).count())
 
 
 def tfidf_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = cut(S.train_test_split(W.document_rows(spark, sf_dir).select("doc_id", "text"), "doc_id", SPLIT_SEED), "docs")
+    split = cut(S.train_test_split(W.document_rows(spark, sf_dir).select("doc_id"), "doc_id", SPLIT_SEED), "split")
+    docs = W.document_texts(spark, sf_dir).select("doc_id", "text").join(split, "doc_id")
     return _train_test_features(spark, sf_dir, docs).select("doc_id", "is_train", "term", _r("value"))
 
 
@@ -362,10 +363,11 @@ def auc_trapezoid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _network_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = W.document_rows(spark, sf_dir).join(_doc_labels(spark, sf_dir).select("doc_id", "label"), "doc_id")
-    docs = cut(S.train_test_split(docs.select("doc_id", "text", "label"), "doc_id", SPLIT_SEED), "docs")
-    features = _train_test_features(spark, sf_dir, docs.select("doc_id", "text", "is_train"))
-    rows = N.input_vectors(features.select("doc_id", "term", "value"), docs.drop("text"), ["doc_id"])
+    labels = _doc_labels(spark, sf_dir).select("doc_id", "label")
+    split = cut(S.train_test_split(labels, "doc_id", SPLIT_SEED), "split")
+    docs = W.document_texts(spark, sf_dir).select("doc_id", "text").join(split.drop("label"), "doc_id")
+    features = _train_test_features(spark, sf_dir, docs)
+    rows = N.input_vectors(features.select("doc_id", "term", "value"), split, ["doc_id"])
     return cut(rows, "network_rows")
 
 

@@ -9,7 +9,7 @@ from driftwarden.operators.features import l2_normalise, pack_vectors, term_coun
 from driftwarden.operators.ranking import with_position
 from driftwarden.operators.segments import assign_segments
 from driftwarden.operators.skew import join_scalars
-from driftwarden.runtime import cut
+from driftwarden.runtime import cut, spread_scan
 
 SEGMENT_LENGTH = 20
 GENUINE = 10
@@ -93,8 +93,13 @@ def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("source").alias("entity"), "doc_id", "text")
 
 
+def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, spread for work on the texts."""
+    return spread_scan(document_rows(spark, sf_dir), "doc_id")
+
+
 def document_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = tokenize(document_rows(spark, sf_dir), ["entity", "doc_id"])
+    terms = tokenize(document_texts(spark, sf_dir), ["entity", "doc_id"])
     return term_counts(terms, ["entity", "doc_id"])
 
 

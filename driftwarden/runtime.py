@@ -18,6 +18,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "drift
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -46,6 +47,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/driftwarden-{app}/{name}-{uuid.uuid4().hex}"
 
 
+def spread_scan(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash a table of a few files over all cores before costly per-row work.
+
+    A table with at least one file per core is left as it is, so big tables are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
+
+
 def cut(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from the table.
 
