@@ -81,14 +81,14 @@ def support_sums(support: DataFrame, keys: list[str]) -> DataFrame:
     return both.groupBy(*keys, "i", F.col("_b.terms").alias("j")).agg(F.sum(F.col("_x") * F.col("_b.vals")).alias("s"))
 
 
-def _invert(sums: pd.DataFrame, ridge: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(terms, mean, inverse covariance); a singular matrix gets its pseudo-inverse."""
+def _invert(sums: pd.DataFrame, ridge: float, centered: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(terms, mean, inverse covariance) with mean 0 if ``centered``; a singular matrix gets its pseudo-inverse."""
     names = np.unique(sums["j"])
     at = pd.Index(names)
     full = np.zeros((len(names), len(names)))
     i, j = at.get_indexer(sums["i"]), at.get_indexer(sums["j"])
     full[i, j] = full[j, i] = sums["s"]
-    mean = full[0, 1:] / full[0, 0]
+    mean = full[0, 1:] / full[0, 0] * (not centered)
     cov = full[1:, 1:] / full[0, 0] - np.outer(mean, mean)
     cov[np.diag_indices_from(cov)] += ridge
     size, axes = np.linalg.eigh(cov) if len(mean) else (np.zeros(0), np.zeros((0, 0)))
@@ -105,7 +105,7 @@ def _distances(rows: pd.DataFrame, names: np.ndarray, mean: np.ndarray, inverse:
 
 
 def mahalanobis(vectors: DataFrame, support: DataFrame, keys: list[str], id_col: str, ridge: float,
-                largest: int | None) -> DataFrame:
+                centered: bool, largest: int | None) -> DataFrame:
     """All rows with their squared distance to the support rows, rounded to 6 digits.
 
     A group that is one block inverts its matrix where its rows are scored. Otherwise
@@ -116,12 +116,12 @@ def mahalanobis(vectors: DataFrame, support: DataFrame, keys: list[str], id_col:
     sums = support_sums(support, keys)
     if largest is not None and largest <= blocks.SCORE_ROWS:
         def both(rows: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
-            return rows.assign(dist=_distances(rows, *_invert(pairs, ridge)))[columns]
+            return rows.assign(dist=_distances(rows, *_invert(pairs, ridge, centered)))[columns]
 
         return apply_model(vectors, sums, keys, id_col, both, schema, largest)
 
     def invert(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        names, mean, inverse = _invert(pdf, ridge)
+        names, mean, inverse = _invert(pdf, ridge, centered)
         return pd.DataFrame([[*key, names, mean, inverse.ravel()]], columns=[*keys, "dims", "mean", "inverse"])
 
     def measure(rows: pd.DataFrame, fitted: pd.DataFrame) -> pd.DataFrame:
@@ -158,12 +158,13 @@ def check_dims(vectors: DataFrame, keys: list[str]) -> None:
 
 def detect_envelope(vectors: DataFrame, group: Sequence[str] = ("entity",), id_col: str = "seg",
                     contamination: float = CONTAMINATION, support: float = SUPPORT, steps: int = STEPS,
-                    reweight: bool = True, ridge: float = 0.0, largest: int | None = None) -> DataFrame:
+                    reweight: bool = True, ridge: float = 0.0, centered: bool = False, largest: int | None = None) -> DataFrame:
     """(group, id, score, flag).
 
     Starts from the rows nearest the coordinate-wise median, re-fits ``steps`` times
     on the closest share ``support`` of the rows, then once on all rows that fit the
-    resulting ellipse (``reweight``).
+    resulting ellipse (``reweight``). ``centered`` takes 0 for the centre instead of the
+    mean of those rows.
     """
     keys = list(group)
     largest = largest_group(vectors, keys) if largest is None else largest
@@ -172,8 +173,8 @@ def detect_envelope(vectors: DataFrame, group: Sequence[str] = ("entity",), id_c
     measured = cut(median_distances(vectors, keys, id_col, largest), "envelope")
     for _ in range(steps):
         near = closest(measured, keys, id_col, support, largest)
-        measured = cut(mahalanobis(vectors, near, keys, id_col, ridge, largest), "envelope")
+        measured = cut(mahalanobis(vectors, near, keys, id_col, ridge, centered, largest), "envelope")
     if reweight:
         near = _reweighted(measured, keys, id_col, largest)
-        measured = cut(mahalanobis(vectors, near, keys, id_col, ridge, largest), "envelope")
+        measured = cut(mahalanobis(vectors, near, keys, id_col, ridge, centered, largest), "envelope")
     return flag_above(measured.withColumnRenamed("dist", "score"), keys, id_col, contamination, largest)

@@ -12,11 +12,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwarden.functions.hashing import DENOMINATOR, hash_key
+from driftwarden.functions.hashing import DENOMINATOR, hash_key, uniform
 from driftwarden.operators.blocks import apply_model, by_group, typed
 from driftwarden.operators.dense import matrix, row_pieces
 from driftwarden.operators.features import unpack_vectors
-from driftwarden.operators.ranking import group_percentile
+from driftwarden.operators.ranking import group_percentile, with_position
 from driftwarden.operators.skew import join_scalars, largest_group
 from driftwarden.runtime import cut
 
@@ -72,6 +72,19 @@ def draw_samples(vectors: DataFrame, keys: list[str], id_col: str, trees: int, s
     return draw(fitted) if short.take(1) else drawn
 
 
+def draw_with_replacement(vectors: DataFrame, keys: list[str], id_col: str, trees: int, samples: int,
+                          largest: int) -> DataFrame:
+    """Per tree ``min(samples, n)`` draws from the n fitted rows; a row may be drawn more than once."""
+    fitted = vectors.filter("is_fit").select(*keys, id_col)
+    placed = with_position(fitted, keys, [id_col], "_pos", largest)
+    sizes = fitted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    turns = sizes.select(*keys, "_n", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    turns = turns.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("_n"), F.lit(samples)) - 1)).alias("draw"))
+    spot = F.floor(uniform(*[F.col(k) for k in keys], F.col("tree"), "draw", F.col("draw")) * F.col("_n"))
+    drawn = turns.select(*keys, "tree", spot.cast("long").alias("_pos"))
+    return drawn.join(placed, [*keys, "_pos"]).select(*keys, "tree", id_col)
+
+
 def draw_features(vectors: DataFrame, keys: list[str], trees: int, features: int) -> DataFrame:
     """Per tree the ordered names of ``features`` of the group's terms (all of them if it has fewer)."""
     terms = unpack_vectors(vectors.filter("is_fit"), keys).select(*keys, "term").distinct()
@@ -102,14 +115,15 @@ def _grow_tree(x: np.ndarray, seed: tuple, depth_limit: int) -> list[tuple]:
 
 
 def grow_forest(vectors: DataFrame, group: Sequence[str], id_col: str, trees: int, samples: int, features: int,
-                largest: int) -> DataFrame:
+                largest: int, bootstrap: bool = False) -> DataFrame:
     """(group, tree, size, node, term, split, path).
 
     Growing takes one task per group, which gets trees x samples rows with only the
     tree's own features.
     """
     keys = list(group)
-    sampled = draw_samples(vectors, keys, id_col, trees, samples, largest)
+    draw = draw_with_replacement if bootstrap else draw_samples
+    sampled = draw(vectors, keys, id_col, trees, samples, largest)
     sampled = sampled.join(vectors.select(*keys, id_col, "terms", "vals"), [*keys, id_col])
     row = F.map_from_arrays("terms", "vals")
     joined = (sampled.join(draw_features(vectors, keys, trees, features), [*keys, "tree"])
@@ -185,10 +199,10 @@ def flag_above(scores: DataFrame, group: Sequence[str], id_col: str, contaminati
 
 def detect_iforest(vectors: DataFrame, group: Sequence[str] = ("entity",), id_col: str = "seg", trees: int = TREES,
                    samples: int = SAMPLES, features: int = FEATURES, contamination: float = CONTAMINATION,
-                   largest: int | None = None) -> DataFrame:
+                   bootstrap: bool = False, largest: int | None = None) -> DataFrame:
     """(group, id, score, flag)."""
     keys = list(group)
     largest = largest_group(vectors, keys) if largest is None else largest
-    forest = grow_forest(vectors, keys, id_col, trees, samples, features, largest)
+    forest = grow_forest(vectors, keys, id_col, trees, samples, features, largest, bootstrap)
     scores = cut(forest_scores(vectors, forest, keys, id_col, largest), "forest_scores")
     return flag_above(scores, keys, id_col, contamination, largest)

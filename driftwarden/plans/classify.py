@@ -11,17 +11,28 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftwarden.operators.features import fit_vocabulary
 from driftwarden.operators.metrics import auc_trapezoid, binary_metrics, roc_auc
 from driftwarden.operators.ranking import with_position
+from driftwarden.operators.sampling import upsample_minority
 
-# The network's weights live on the driver, so its input width is fixed and terms share it by hash.
+# The network's weights live on the driver, so its input width is fixed; a wider vocabulary shares it by hash.
 INPUT_WIDTH = 256
 
 
 def input_vectors(features: DataFrame, rows: DataFrame, keys: Sequence[str], width: int = INPUT_WIDTH) -> DataFrame:
-    """Rows with a dense ``features`` vector; terms with the same hash add up."""
-    hashed = features.withColumn("_i", F.pmod(F.xxhash64("term"), F.lit(width)).cast("int"))
-    summed = hashed.groupBy(*keys, "_i").agg(F.sum("value").alias("_v"))
+    """Rows with a dense ``features`` vector.
+
+    Up to ``width`` terms have an input each; more terms are hashed, and those with
+    the same hash add up.
+    """
+    n_terms = features.select("term").distinct().count()
+    if n_terms <= width:
+        inputs = fit_vocabulary(features, [], n_terms).withColumnRenamed("term_id", "_i")
+        numbered = features.join(F.broadcast(inputs), "term").withColumn("_i", F.col("_i").cast("int"))
+    else:
+        numbered = features.withColumn("_i", F.pmod(F.xxhash64("term"), F.lit(width)).cast("int"))
+    summed = numbered.groupBy(*keys, "_i").agg(F.sum("value").alias("_v"))
     packed = summed.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_m"))
     filled = F.transform(F.sequence(F.lit(0), F.lit(width - 1)),
                          lambda i: F.coalesce(F.element_at("_m", i), F.lit(0.0)))
@@ -39,10 +50,16 @@ def create_network(width: int, hidden: Sequence[int], epochs: int, learning_rate
 
 
 def classify(rows: DataFrame, id_col: str, hidden: Sequence[int], epochs: int, learning_rate: float = 0.03,
-             solver: str = "l-bfgs", seed: int = 0, width: int = INPUT_WIDTH) -> DataFrame:
-    """Fit on ``is_train`` rows; (id, is_train, label, pred, score) for all rows."""
+             solver: str = "l-bfgs", seed: int = 0, width: int = INPUT_WIDTH, balanced: bool = False) -> DataFrame:
+    """Fit on ``is_train`` rows; (id, is_train, label, pred, score) for all rows.
+
+    ``balanced`` repeats rows with label 1 at random until both labels are equally frequent.
+    """
     network = create_network(width, hidden, epochs, learning_rate, solver, seed)
-    model = network.fit(rows.filter("is_train").withColumn("label", F.col("label").cast("double")))
+    train = rows.filter("is_train")
+    if balanced:
+        train = upsample_minority(train, "label", id_col, seed)
+    model = network.fit(train.withColumn("label", F.col("label").cast("double")))
     return model.transform(rows).select(
         id_col, "is_train", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("pred"),
         vector_to_array("probability")[1].alias("score"))

@@ -316,15 +316,14 @@ ORACLES: dict[str, str] = {
     "search_scores": f"{SEARCH} SELECT detector, entity, candidate, round(score, 6) AS score FROM scores",
     "search_best": f"{BEST} SELECT detector, entity, candidate, round(score, 9) AS score FROM best",
     "search_summary": f"""{BEST},
-        won AS (SELECT b.detector, threshold, n_neighbors, contamination, round(score, 9) AS score
+        won AS (SELECT b.detector, entity, threshold, n_neighbors, contamination, round(score, 9) AS score
           FROM best b JOIN (VALUES {CANDIDATE_ROWS}) AS c(detector, candidate, threshold, n_neighbors, contamination)
-          ON b.detector = c.detector AND b.candidate = c.candidate),
-        long AS (SELECT detector, unnest(['threshold', 'n_neighbors', 'contamination', 'score']) AS param,
-          unnest([threshold, n_neighbors, contamination, score]) AS x FROM won),
-        s AS (SELECT detector, param, avg(x) AS a, quantile_cont(x, 0.5) AS m, stddev_samp(x) AS d
-          FROM long WHERE x IS NOT NULL GROUP BY 1, 2)
-        SELECT detector, param, unnest(['mean', 'median', 'std']) AS stat,
-          unnest([round(a, 6), round(m, 6), round(d, 6)]) AS value FROM s""",
+          ON b.detector = c.detector AND b.candidate = c.candidate)
+        SELECT detector, CAST(entity AS VARCHAR) AS row, round(threshold, 6) AS threshold, round(n_neighbors, 6) AS n_neighbors,
+          round(contamination, 6) AS contamination, round(score, 6) AS score FROM won
+        UNION ALL SELECT detector, 'mean', round(avg(threshold), 6) AS threshold, round(avg(n_neighbors), 6) AS n_neighbors, round(avg(contamination), 6) AS contamination, round(avg(score), 6) AS score FROM won GROUP BY detector
+        UNION ALL SELECT detector, 'median', round(quantile_cont(threshold, 0.5), 6) AS threshold, round(quantile_cont(n_neighbors, 0.5), 6) AS n_neighbors, round(quantile_cont(contamination, 0.5), 6) AS contamination, round(quantile_cont(score, 0.5), 6) AS score FROM won GROUP BY detector
+        UNION ALL SELECT detector, 'std', round(stddev_samp(threshold), 6) AS threshold, round(stddev_samp(n_neighbors), 6) AS n_neighbors, round(stddev_samp(contamination), 6) AS contamination, round(stddev_samp(score), 6) AS score FROM won GROUP BY detector""",
     "tokenize": r"""SELECT entity, doc_id, CAST(idx - 1 AS INTEGER) AS idx, terms[idx] AS term FROM (
         SELECT entity, doc_id, terms, unnest(range(1, len(terms) + 1)) AS idx FROM (
           SELECT source AS entity, doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS terms FROM documents))""",

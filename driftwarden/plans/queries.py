@@ -175,9 +175,9 @@ def ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- labels and evaluation ---------------------------------------------------------------------
 
 
-def _partial_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _partial_labels(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Labels as delivered: test cells of entities outside the labelled ones are empty."""
-    labels = W.stream_labels(spark, sf_dir)
+    labels = W.stream_labels(spark, sf_dir, lines)
     known = W.labelled_entities(spark, sf_dir).withColumn("_known", F.lit(1))
     seen = F.col("_known").isNotNull() | (F.col("seg") < W.GENUINE)
     return (join_scalars(labels, known, ["entity"], ["seg"], "left")
@@ -198,26 +198,30 @@ def labels_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = segment_documents(W.stream_tokens(spark, sf_dir))
-    return labelled_segments(docs, _partial_labels(spark, sf_dir))
+    lines = W.stored_lines(spark, sf_dir)
+    docs = segment_documents(W.stream_tokens(spark, sf_dir, lines))
+    return labelled_segments(docs, _partial_labels(spark, sf_dir, lines))
 
 
 def submission_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags = detect_centroid(W.stream_vectors(spark, sf_dir))
-    return _through_matrix(spark, K.fill_labels(_partial_labels(spark, sf_dir), flags, W.GENUINE,
+    lines = W.stored_lines(spark, sf_dir)
+    flags = detect_centroid(W.stream_vectors(spark, sf_dir, lines))
+    return _through_matrix(spark, K.fill_labels(_partial_labels(spark, sf_dir, lines), flags, W.GENUINE,
                                                 W.labelled_entities(spark, sf_dir)))
 
 
 def evaluate_detectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = W.stream_vectors(spark, sf_dir)
+    lines = W.stored_lines(spark, sf_dir)
+    vectors = W.stream_vectors(spark, sf_dir, lines)
     flags = {"centroid": detect_centroid(vectors), "lof": detect_lof(vectors, k=NEIGHBOURS)}
-    scores = M.evaluate(stack_flags(flags, KEY), W.stream_labels(spark, sf_dir))
+    scores = M.evaluate(stack_flags(flags, KEY), W.stream_labels(spark, sf_dir, lines))
     return scores.select("detector", *[_r(c) for c in scores.columns if c != "detector"])
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags = detect_centroid(W.stream_vectors(spark, sf_dir)).withColumnRenamed("flag", "pred")
-    return flags.join(W.stream_labels(spark, sf_dir), KEY)
+    lines = W.stored_lines(spark, sf_dir)
+    flags = detect_centroid(W.stream_vectors(spark, sf_dir, lines)).withColumnRenamed("flag", "pred")
+    return flags.join(W.stream_labels(spark, sf_dir, lines), KEY)
 
 
 def weighted_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,8 +237,9 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TF-IDF vectors of the test segments, once per fold of a stratified split."""
-    counts = cut(unlabelled(W.stream_features(spark, sf_dir).select(*KEY, "term", "tf"), W.GENUINE), "counts")
-    docs = cut(unlabelled(W.stream_labels(spark, sf_dir), W.GENUINE), "labels")
+    lines = W.stored_lines(spark, sf_dir)
+    counts = cut(unlabelled(W.stream_features(spark, sf_dir, lines).select(*KEY, "term", "tf"), W.GENUINE), "counts")
+    docs = cut(unlabelled(W.stream_labels(spark, sf_dir, lines), W.GENUINE), "labels")
     idf = X.fit_idf(counts, docs, ["entity"])
     largest = largest_group(docs, ["entity"])
     vectors = X.pack_vectors(X.apply_idf(counts, idf, ["entity"], "seg", largest), KEY)
@@ -270,9 +275,9 @@ def search_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = cut(_best(spark, sf_dir).join(F.broadcast(params), ["detector", "candidate"]), "best")
     path = scratch_path(spark, "search")
     columns = ["threshold", "n_neighbors", "contamination", "score"]
-    K.write_search_results(R.summarise(best, columns), path)
-    back = spark.read.csv(path, header=True, schema="param string, stat string, value double, detector string")
-    return back.select("detector", "param", "stat", _r("value"))
+    K.write_search_results(R.result_table(best, columns), path)
+    back = spark.read.csv(path, header=True, schema=f"row string, {' double, '.join(columns)} double, detector string")
+    return back.select("detector", "row", *[_r(c) for c in columns])
 
 
 # --- documents ---------------------------------------------------------------------------------
@@ -366,7 +371,7 @@ def _network_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _doc_labels(spark, sf_dir).select("doc_id", "label")
     split = cut(S.train_test_split(labels, "doc_id", SPLIT_SEED), "split")
     docs = W.document_texts(spark, sf_dir).select("doc_id", "text").join(split.drop("label"), "doc_id")
-    features = _train_test_features(spark, sf_dir, docs)
+    features = cut(_train_test_features(spark, sf_dir, docs), "features")
     rows = N.input_vectors(features.select("doc_id", "term", "value"), split, ["doc_id"])
     return cut(rows, "network_rows")
 

@@ -138,3 +138,12 @@ def summarise(best: DataFrame, columns: Sequence[str], cascade: bool = False) ->
     median = stat(with_mean, "median")
     deviation = stat(grown(with_mean, median), "std")
     return mean.unionByName(median).unionByName(deviation).select(*keys, "stat", "value")
+
+
+def result_table(best: DataFrame, columns: Sequence[str], entity: str = "entity", cascade: bool = False) -> DataFrame:
+    """(detector, row, columns): a row per entity's winner, then the rows mean, median and std."""
+    winners = best.select("detector", F.col(entity).cast("string").alias("row"),
+                          *[F.col(c).cast("double").alias(c) for c in columns])
+    stats = (summarise(best, columns, cascade).groupBy("detector", F.col("stat").alias("row"))
+             .pivot("param", list(columns)).agg(F.first("value")))
+    return winners.unionByName(stats.select("detector", "row", *columns))

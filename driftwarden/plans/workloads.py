@@ -29,11 +29,16 @@ def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_segments(placed.withColumnRenamed("l_suppkey", "entity"), SEGMENT_LENGTH)
 
 
-def stream_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ordered lines written once, for queries that need tokens and labels."""
+    return cut(stream_lines(spark, sf_dir).select("entity", "pos", "seg", "l_partkey", "l_returnflag"), "lines")
+
+
+def stream_tokens(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """tokens(entity, pos, seg, token): the brand of each line's part, over whole streams."""
     brands = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("token"))
-    lines = stream_lines(spark, sf_dir).select("entity", "pos", "seg", "l_partkey")
-    return lines.join(brands, "l_partkey").select("entity", "pos", "seg", "token")
+    lines = stream_lines(spark, sf_dir) if lines is None else lines
+    return lines.select("entity", "pos", "seg", "l_partkey").join(brands, "l_partkey").select("entity", "pos", "seg", "token")
 
 
 def line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,10 +48,11 @@ def line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(brands, "l_partkey").select("entity", "token")
 
 
-def stream_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_labels(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """labels(entity, seg, label): 1 for a segment with many returned lines."""
+    lines = stream_lines(spark, sf_dir) if lines is None else lines
     returned = F.sum((F.col("l_returnflag") == "R").cast("int"))
-    return (stream_lines(spark, sf_dir).groupBy("entity", "seg")
+    return (lines.groupBy("entity", "seg")
             .agg((returned >= RETURNED).cast("int").alias("label")))
 
 
@@ -55,9 +61,9 @@ def labelled_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").filter("s_acctbal > 4500").select(F.col("s_suppkey").alias("entity"))
 
 
-def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_features(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Long form (entity, seg, term, tf, value) of normalised term frequencies."""
-    tokens = stream_tokens(spark, sf_dir).withColumnRenamed("token", "term")
+    tokens = stream_tokens(spark, sf_dir, lines).withColumnRenamed("token", "term")
     return l2_normalise(term_counts(tokens, ["entity", "seg"]), ["entity", "seg"], "tf")
 
 
@@ -65,13 +71,13 @@ def with_roles(rows: DataFrame, is_fit, is_scored) -> DataFrame:
     return rows.withColumn("is_fit", is_fit).withColumn("is_scored", is_scored)
 
 
-def stream_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_vectors(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Packed vectors: all segments are fitted on, the non-genuine ones are scored.
 
     A token is a term here, so every segment has one. The vectors are far smaller than
     the streams and every detector reads them more than once, so they are written once.
     """
-    packed = cut(pack_vectors(stream_features(spark, sf_dir), ["entity", "seg"]), "vectors")
+    packed = cut(pack_vectors(stream_features(spark, sf_dir, lines), ["entity", "seg"]), "vectors")
     return with_roles(packed, F.lit(True), F.col("seg") >= GENUINE)
 
 

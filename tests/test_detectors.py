@@ -97,6 +97,25 @@ def test_svm_dual_is_optimal(data, vectors, nu, working_set, monkeypatch):
         assert part.copies.sum() == len(x)
 
 
+def test_forest_with_replacement(vectors):
+    from driftwarden.detectors.iforest import draw_with_replacement
+
+    drawn = draw_with_replacement(vectors, ["entity"], "seg", 3, 16, 60)
+    sizes = as_rows(drawn.groupBy("entity", "tree").count(), "entity", "tree", "count")
+    assert sizes == [(e, t, n) for e, n in ((1, 16), (2, 9), (3, 6)) for t in range(3)]
+    assert drawn.count() > drawn.distinct().count()
+    settings = {"trees": 5, "samples": 16, "features": 6, "bootstrap": True}
+    assert detect_iforest(vectors, **settings).count() == 57 + 6 + 3
+
+
+def test_envelope_around_zero(spark):
+    x = np.random.default_rng(8).normal(0, 1, (30, 2)) + 3
+    got = detect_envelope(vectors_frame(spark, {1: x}), support=1.0, steps=1, reweight=False, centered=True)
+    inverse = np.linalg.inv(x.T @ x / len(x))
+    for r in got.collect():
+        assert r.score == pytest.approx(x[r.seg] @ inverse @ x[r.seg], abs=1e-5)
+
+
 def test_svm_flags_at_most_nu(data, vectors):
     flags = detect_ocsvm(vectors.withColumn("is_scored", F.lit(True)), nu=0.3)
     for r in flags.groupBy("entity").agg(F.avg("flag").alias("share")).collect():

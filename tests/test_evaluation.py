@@ -136,3 +136,23 @@ def test_best_and_summary(spark):
     assert clean["std"] == pytest.approx(np.std([0.5, 0.7], ddof=1))
     linked = {r.stat: r.value for r in R.summarise(best, ["score"], cascade=True).collect()}
     assert linked["std"] == pytest.approx(np.std([0.5, 0.7, 0.6, 0.6], ddof=1))
+    table = R.result_table(best, ["score"])
+    assert as_rows(table, "row", "score")[:2] == [("1", 0.5), ("2", 0.7)]
+    assert sorted(r.row for r in table.collect()) == ["1", "2", "mean", "median", "std"]
+
+
+def test_classifier_learns_a_word(spark):
+    from driftwarden.plans.classify import classify, input_vectors, metric_row
+
+    rows = spark.createDataFrame([(i, i % 5 != 4, int(i % 4 == 0)) for i in range(60)], "id long, is_train boolean, label int")
+    features = rows.selectExpr("id", "if(label = 1, 'bad', 'good') as term", "1.0D as value")
+    inputs = input_vectors(features, rows, ["id"], width=8).cache()
+    assert input_vectors(features, rows, ["id"], width=1).first().features.size == 1
+    for balanced in (False, True):
+        predicted = classify(inputs, "id", [4, 0, 0], epochs=50, width=8, balanced=balanced).cache()
+        assert predicted.filter("label = pred").count() == 60
+    row = metric_row(predicted, "id", {"rep": 0, "learning_rate": 0.1, "epochs": 50, "hidden_units": [4, 0, 0],
+                                       "optimizer": "l-bfgs", "loss_function": "binary_crossentropy"})
+    assert len(row.columns) == 20
+    first = row.first()
+    assert (first.train_accuracy, first.test_roc_auc_score, first.test_precision) == (1.0, 1.0, 1.0)
