@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftwarden.operators.ranking import running_total
+from driftwarden.runtime import cut
 
 POSITIVE_WEIGHT = 9
 UNDEFINED = -1.0
@@ -78,6 +79,7 @@ def roc_auc(rows: DataFrame, group: Sequence[str] = (), score: str = "score", la
     keys = list(group)
     steps = rows.groupBy(*keys, F.col(score).alias("_s")).agg(
         F.sum((F.col("label") == 1).cast("long")).alias("_pos"), F.sum((F.col("label") == 0).cast("long")).alias("_neg"))
+    steps = cut(steps, "steps")
     below = running_total(steps, keys, ["_s"], "_neg", "_upto", largest, max_window_rows)
     won = F.sum(F.col("_pos") * (F.col("_upto") - F.col("_neg") / 2))
     pairs = F.sum("_pos") * F.sum("_neg")

@@ -69,7 +69,7 @@ def group_percentiles(df: DataFrame, group: Sequence[str], value: str, shares: S
         exact = F.percentile(value, F.array(*[F.lit(float(p)) for p in shares]), F.col(weight) if weight else 1)
         return df.groupBy(*keys).agg(exact.alias(out))
     copies = F.sum(weight) if weight else F.count(F.lit(1))
-    values = df.groupBy(*keys, F.col(value).alias("_v")).agg(copies.cast("long").alias("_w"))
+    values = cut(df.groupBy(*keys, F.col(value).alias("_v")).agg(copies.cast("long").alias("_w")), "values")
     sizes = values.groupBy(*keys).agg(F.sum("_w").alias("_n"))
     ranked = running_total(values, keys, ["_v"], "_w", "_upto", largest, max_window_rows)
     ranked = join_scalars(ranked, sizes, keys, ["_v"])

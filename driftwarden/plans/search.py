@@ -73,8 +73,8 @@ def search_lof(runs: DataFrame, entity: Sequence[str], id_col: str, candidates:
     """
     group = [*entity, "cv"]
     near = lof_neighbours(runs, group, id_col, max(k for k, _ in candidates), largest=largest)
-    scored = (with_vector_key(runs.filter("is_scored")).groupBy(*group, "vkey", "label")
-              .agg(F.count(F.lit(1)).alias("n")))
+    scored = cut(with_vector_key(runs.filter("is_scored")).groupBy(*group, "vkey", "label")
+                 .agg(F.count(F.lit(1)).alias("n")), "scored")
     parts = []
     for k in sorted({k for k, _ in candidates}):
         shares = [(i, c) for i, (kk, c) in enumerate(candidates) if kk == k]
