@@ -75,7 +75,8 @@ dots AS (SELECT a.entity, a.cv, a.id AS i, b.id AS j, sum(a.value * b.value) AS
 pairs AS MATERIALIZED (
   SELECT a.entity, a.cv, a.id AS i, b.id AS j, a.is_fit AS i_fit, a.is_scored AS i_scored,
          CASE WHEN a.vec = b.vec THEN 0.0
-              ELSE round(sqrt(greatest(a.xx + b.xx - 2 * coalesce(dot, 0), 0)), 9) END AS dist
+              ELSE round(sqrt(greatest(a.xx + b.xx - 2 * coalesce(dot, 0), 0)), 9) END AS dist,
+         CASE WHEN a.vec = b.vec THEN 0.0 ELSE greatest(a.xx + b.xx - 2 * coalesce(dot, 0), 0) END AS square
   FROM rv a JOIN rv b ON a.entity = b.entity AND a.cv = b.cv AND b.is_fit
   LEFT JOIN dots ON dots.entity = a.entity AND dots.cv = a.cv AND dots.i = a.id AND dots.j = b.id)"""
 
@@ -286,7 +287,7 @@ ORACLES: dict[str, str] = {
     "detect_lof": f"WITH {VECTORS}{LOF} SELECT entity, seg, score, flag FROM l_flag",
     "detect_iforest": f"WITH {VECTORS}{FORESTS} SELECT entity, seg, score, flag FROM f_flag",
     "detect_ocsvm_nu1": f"""WITH {VECTORS}{PAIRS},
-        g AS (SELECT entity, i, any_value(i_scored) AS i_scored, sum(exp(-0.4::DOUBLE * dist * dist)) AS g FROM pairs GROUP BY 1, 2),
+        g AS (SELECT entity, i, any_value(i_scored) AS i_scored, sum(exp(-0.4::DOUBLE * square)) AS g FROM pairs GROUP BY 1, 2),
         s AS (SELECT entity, i, i_scored, max(g) OVER (PARTITION BY entity) - g AS s FROM g)
         SELECT entity, i AS seg, round(s, 6) AS score, CAST(s > 1e-5 AS INTEGER) AS flag FROM s WHERE i_scored""",
     "detect_envelope_2d": envelope_2d(3),
