@@ -28,8 +28,8 @@ def is_bounded(largest: int | None) -> bool:
     return largest is not None and largest <= BOUNDED_ROWS
 
 
-def block_of(id_col: str, rows: int = BLOCK_ROWS) -> Column:
-    return F.floor(F.col(id_col) / F.lit(rows)).cast("long")
+def block_of(id_col: str, rows: int | None = None) -> Column:
+    return F.floor(F.col(id_col) / F.lit(rows or BLOCK_ROWS)).cast("long")
 
 
 def fresh(df: DataFrame) -> DataFrame:

@@ -33,6 +33,7 @@ def hot_dir(tmp_path_factory):
 def tiny_limits(monkeypatch):
     monkeypatch.setattr(ranking, "MAX_WINDOW_ROWS", 40)
     monkeypatch.setattr(skew, "BOUNDED_ROWS", 10)
+    monkeypatch.setattr(skew, "BLOCK_ROWS", 32)
     monkeypatch.setattr(blocks, "SCORE_ROWS", 16)
     monkeypatch.setattr(neighbours, "BLOCK_VECTORS", 64)
     monkeypatch.setattr(ocsvm, "WORKING_SET", 64)
