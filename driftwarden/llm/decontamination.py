@@ -1,7 +1,8 @@
 """Benchmark decontamination by a hash set of test n-grams.
 
-The windows of all benchmark items are hashed into sets of bounded size, which go to every task. A document's windows
-are hashed, looked up and verified word for word in its own row, so only the few windows that hit leave the scan.
+The windows of all benchmark items form a hash set that is broadcast while its size allows. Every window of a document
+is looked up in it by hash, so only hits leave the scan; the few documents that have any are read again and their hits
+verified word for word.
 """
 
 from __future__ import annotations
@@ -11,25 +12,18 @@ from pyspark.sql import functions as F
 
 from driftwarden.runtime import cut
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what words, [^\x00-\x2F\x3A-\x60\x7B-\x7F]+, are divided by
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words(text: Column) -> Column:
     """Lower-cased (A-Z only) words; none for a null text."""
-    return F.coalesce(F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0)),
-                      F.array().cast("array<string>"))
+    return F.coalesce(F.array_remove(F.split(F.translate(text, UPPER, LOWER), GAP), ""), F.array().cast("array<string>"))
 
 
-def _hashes(items: Column) -> Column:
-    return F.transform(items, lambda w: F.xxhash64(w))
-
-
-def _windows(hashes: Column, length: int) -> Column:
-    """Hash of every run of ``length`` word hashes."""
-    last = F.size(hashes) - length + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(hashes, i, length)))
-                  ).otherwise(F.array().cast("array<bigint>"))
+def _hash(hashes: list[Column]) -> Column:
+    """Key of a window, told apart by its number of words."""
+    return F.xxhash64(F.lit(len(hashes)), *hashes)
 
 
 def item_windows(benchmark: DataFrame, length: int) -> DataFrame:
@@ -38,39 +32,52 @@ def item_windows(benchmark: DataFrame, length: int) -> DataFrame:
     items = items.withColumn("n", F.least(F.size("w"), F.lit(length)))
     starts = F.sequence(F.lit(1), F.size("w") - F.col("n") + 1)
     grams = items.select("item_id", "n", F.explode(F.transform(starts, lambda i: F.slice("w", i, F.col("n")))).alias("g"))
-    return grams.select("item_id", "n", F.concat_ws(" ", "g").alias("gram"), F.xxhash64(_hashes(F.col("g"))).alias("hash")
-                        ).distinct()
+    hashes = [F.xxhash64(F.get("g", F.lit(k))) for k in range(length)]
+    key = F.coalesce(*[F.when(F.col("n") == n, _hash(hashes[:n])) for n in range(1, length + 1)])
+    return cut(grams.select("item_id", "n", F.concat_ws(" ", "g").alias("gram"), key.alias("hash")).distinct(),
+               "benchmark-grams")
 
 
-def _hits(items: Column, hashes: Column, n: int, known: list) -> Column:
-    """[(n, start, gram)] of the windows of ``n`` words whose hash, and then whose words, are known."""
-    by_hash, grams = [r["hash"] for r in known], [r["gram"] for r in known]
-    spots = F.transform(_windows(hashes, n), lambda h, i: F.struct(h.alias("hash"), i.alias("start")))
-    spots = F.filter(spots, lambda s: s["hash"].isin(by_hash))
-    found = F.transform(spots, lambda s: F.struct(
-        F.lit(n).alias("n"), s["start"].alias("start"),
-        F.concat_ws(" ", F.slice(items, s["start"] + 1, n)).alias("gram")))
-    return F.filter(found, lambda s: s["gram"].isin(grams))
+def _keys() -> list[Column]:
+    """A document's id, with a value of its own for null, and the hash of its text."""
+    return [F.coalesce("doc_id", F.lit(-2 ** 63).cast("long")).alias("_id"), F.xxhash64("text").alias("_text")]
 
 
-def hits(text: Column, grams: DataFrame, set_size: int) -> tuple[Column, Column]:
-    """(n_words, hits) of a text: hits are [(n, start, gram)], the verified windows of the benchmark.
+def look_up(docs: DataFrame, grams: DataFrame, set_size: int) -> DataFrame:
+    """doc_id, _id, _text, n_words, n, start: a row per window whose hash is in the set, and one with a null n per row.
 
-    Sets hold at most ``set_size`` windows; a larger benchmark is looked up in several sets, all of them.
+    The set is broadcast up to ``set_size`` windows; beyond, both sides are shuffled by hash.
     """
-    lengths = [r["n"] for r in grams.select("n").distinct().collect()]  # at most the window length of them
-    items = words(text)
-    hashes = _hashes(items)
-    found = []
-    for n in sorted(lengths):
-        kept = grams.where(F.col("n") == n).select("hash", "gram").distinct()
-        parts = max(1, -(-kept.count() // set_size))
-        for p in range(parts):
-            known = kept.where(F.pmod(F.xxhash64("hash"), F.lit(parts)) == p).collect()
-            if known:
-                found.append(_hits(items, hashes, n, known))
-    empty = F.array().cast("array<struct<n:int,start:int,gram:string>>")
-    return F.size(items).cast("long"), F.concat(empty, *found)
+    known = grams.select("hash", "n").distinct()
+    sizes = sorted(r["n"] for r in grams.select("n").distinct().collect())  # at most as many as a window has words
+    if known.count() <= set_size:
+        known = F.broadcast(known)
+    found = docs.select("doc_id", *_keys(), F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("h"))
+
+    def windows(n: int) -> Column:
+        return F.transform("h", lambda x, i: F.when(i + n <= F.size("h"), _hash([F.get("h", i + k) for k in range(n)])))
+
+    own = F.array(F.lit(None).cast("bigint"))  # the document's own row comes last
+    found = found.select("doc_id", "_id", "_text", F.size("h").alias("n_words"),
+                         F.concat(*[windows(n) for n in sizes], own).alias("hashes"))
+    # outer, though never empty: else a test of the size is pushed down, with all of the array's making in it
+    found = found.select("doc_id", "_id", "_text", "n_words", F.posexplode_outer("hashes").alias("at", "hash"))
+    found = found.where(F.col("hash").isNotNull() | (F.col("at") == F.col("n_words") * len(sizes)))
+    return found.join(known, "hash", "left").where("n is not null or hash is null").select(
+        "doc_id", "_id", "_text", F.col("n_words").cast("long").alias("n_words"), "n",
+        F.when(F.col("n").isNotNull(), F.col("at") % F.col("n_words")).alias("start"))
+
+
+def verify(docs: DataFrame, found: DataFrame, grams: DataFrame, length: int) -> DataFrame:
+    """_id, _text, n, start, gram of the found windows whose words are those of a benchmark window."""
+    spots = found.where("n is not null").groupBy("_id", "_text").agg(F.collect_set(F.struct("n", "start")).alias("spots"))
+    spots = cut(spots, "benchmark-spots")
+    texts = docs.select("text", *_keys()).join(spots, ["_id", "_text"]).dropDuplicates(["_id", "_text"])
+    texts = texts.select("_id", "_text", "spots", words(F.col("text")).alias("w"))
+    gram = F.transform("spots", lambda s: F.struct(s["n"].alias("n"), s["start"].alias("start"), F.concat_ws(
+        " ", *[F.when(s["n"] > k, F.get("w", s["start"] + k)) for k in range(length)]).alias("gram")))
+    return texts.select("_id", "_text", F.inline(gram)).join(
+        grams.select("n", "gram").distinct(), ["n", "gram"], "left_semi")
 
 
 def _covered(spans: Column) -> Column:
@@ -92,16 +99,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10,
     separate ids. Repeated document rows are judged one by one. An empty benchmark or table is fine; extra columns
     are ignored.
     """
-    grams = cut(item_windows(benchmark, length), "benchmark-grams")
-    n_words, found = hits(F.col("text"), grams, set_size)
-    rows = docs.select("doc_id", n_words.alias("n_words"), found.alias("hits"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
-    each = rows.select("row", "doc_id", "n_words", F.explode_outer("hits").alias("hit"))
-    each = each.select("row", "doc_id", "n_words", "hit.*")
+    grams = item_windows(benchmark, length)
+    found = cut(look_up(docs, grams, set_size), "benchmark-hits")
     items = grams.groupBy("n", "gram").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
-    out = each.join(items, ["n", "gram"], "left").groupBy("row", "doc_id", "n_words").agg(
-        F.collect_list(F.when(F.col("start").isNotNull(), F.struct("start", "n"))).alias("spans"),
+    hits = verify(docs, found, grams, length).join(items, ["n", "gram"]).groupBy("_id", "_text").agg(
+        F.collect_list(F.struct("start", "n")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("ids"))
+    none = F.array().cast("array<struct<start:int,n:int>>")
+    out = found.where("n is null").join(hits, ["_id", "_text"], "left").withColumns({
+        "spans": F.coalesce("spans", none), "ids": F.coalesce("ids", F.array().cast("array<string>"))})
     out = out.withColumn("n_hit", _covered(F.col("spans")))
     return out.select(
         "doc_id", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"),
@@ -110,7 +116,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10,
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, length: int = 10, set_size: int = 50_000) -> DataFrame:
-    """``docs`` without the documents that hold a window of the benchmark, all in one scan."""
-    grams = cut(item_windows(benchmark, length), "benchmark-grams")
-    _, found = hits(F.col("text"), grams, set_size)
-    return docs.where(F.size(found) == 0)
+    """``docs`` without the documents that hold a window of the benchmark; only their keys leave the scan."""
+    grams = item_windows(benchmark, length)
+    found = cut(look_up(docs, grams, set_size).where("n is not null"), "benchmark-hits")
+    bad = cut(verify(docs, found, grams, length).select("_id", "_text").distinct(), "contaminated")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *_keys())
+    return rows.join(bad, ["_id", "_text"], "left_anti").select("row.*")
