@@ -1,8 +1,8 @@
 """Benchmark decontamination by a hash set of test n-grams.
 
 The windows of all benchmark items form a hash set that is broadcast while its size allows. Every window of a document
-is looked up in it by hash, so only hits leave the scan; the few documents that have any are read again and their hits
-verified word for word.
+is looked up in it by one 64-bit hash and verified by a second, independent one, so only hits leave the scan and no text
+is shuffled.
 """
 
 from __future__ import annotations
@@ -21,21 +21,21 @@ def words(text: Column) -> Column:
     return F.coalesce(F.array_remove(F.split(F.translate(text, UPPER, LOWER), GAP), ""), F.array().cast("array<string>"))
 
 
-def _hash(hashes: list[Column]) -> Column:
-    """Key of a window, told apart by its number of words."""
-    return F.xxhash64(F.lit(len(hashes)), *hashes)
+def _key(hashes: list[Column]) -> Column:
+    """(hash, check) of a window, told apart by its number of words."""
+    return F.struct(F.xxhash64(F.lit(len(hashes)), *hashes).alias("hash"),
+                    F.xxhash64(*reversed(hashes), F.lit(-len(hashes))).alias("check"))
 
 
 def item_windows(benchmark: DataFrame, length: int) -> DataFrame:
-    """item_id, n (words of the window), gram (its words), hash; an item shorter than ``length`` is one window."""
+    """item_id, n (words of the window), hash, check; an item shorter than ``length`` is one window."""
     items = benchmark.select("item_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
     items = items.withColumn("n", F.least(F.size("w"), F.lit(length)))
     starts = F.sequence(F.lit(1), F.size("w") - F.col("n") + 1)
     grams = items.select("item_id", "n", F.explode(F.transform(starts, lambda i: F.slice("w", i, F.col("n")))).alias("g"))
     hashes = [F.xxhash64(F.get("g", F.lit(k))) for k in range(length)]
-    key = F.coalesce(*[F.when(F.col("n") == n, _hash(hashes[:n])) for n in range(1, length + 1)])
-    return cut(grams.select("item_id", "n", F.concat_ws(" ", "g").alias("gram"), key.alias("hash")).distinct(),
-               "benchmark-grams")
+    key = F.coalesce(*[F.when(F.col("n") == n, _key(hashes[:n])) for n in range(1, length + 1)])
+    return cut(grams.select("item_id", "n", key.alias("key")).select("item_id", "n", "key.*").distinct(), "benchmark-grams")
 
 
 def _keys() -> list[Column]:
@@ -44,40 +44,30 @@ def _keys() -> list[Column]:
 
 
 def look_up(docs: DataFrame, grams: DataFrame, set_size: int) -> DataFrame:
-    """doc_id, _id, _text, n_words, n, start: a row per window whose hash is in the set, and one with a null n per row.
+    """The columns of ``docs`` but text, with n_words, n, start, hash, check: a row for each place where a window of
+    the benchmark stands, and one with a null n for every document.
 
     The set is broadcast up to ``set_size`` windows; beyond, both sides are shuffled by hash.
     """
-    known = grams.select("hash", "n").distinct()
+    others = [c for c in docs.columns if c != "text"]
+    known = grams.select("hash", F.col("check").alias("known"), "n").distinct()
     sizes = sorted(r["n"] for r in grams.select("n").distinct().collect())  # at most as many as a window has words
     if known.count() <= set_size:
         known = F.broadcast(known)
-    found = docs.select("doc_id", *_keys(), F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("h"))
+    found = docs.select(*others, F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("h"))
 
     def windows(n: int) -> Column:
-        return F.transform("h", lambda x, i: F.when(i + n <= F.size("h"), _hash([F.get("h", i + k) for k in range(n)])))
+        return F.transform("h", lambda x, i: F.when(i + n <= F.size("h"), _key([F.get("h", i + k) for k in range(n)])))
 
-    own = F.array(F.lit(None).cast("bigint"))  # the document's own row comes last
-    found = found.select("doc_id", "_id", "_text", F.size("h").alias("n_words"),
-                         F.concat(*[windows(n) for n in sizes], own).alias("hashes"))
+    own = F.array(F.lit(None).cast("struct<hash:bigint,check:bigint>"))  # the document's own row comes last
+    found = found.select(*others, F.size("h").alias("n_words"), F.concat(*[windows(n) for n in sizes], own).alias("keys"))
     # outer, though never empty: else a test of the size is pushed down, with all of the array's making in it
-    found = found.select("doc_id", "_id", "_text", "n_words", F.posexplode_outer("hashes").alias("at", "hash"))
+    found = found.select(*others, "n_words", F.posexplode_outer("keys").alias("at", "key"))
+    found = found.select(*others, "n_words", "at", "key.*")
     found = found.where(F.col("hash").isNotNull() | (F.col("at") == F.col("n_words") * len(sizes)))
-    return found.join(known, "hash", "left").where("n is not null or hash is null").select(
-        "doc_id", "_id", "_text", F.col("n_words").cast("long").alias("n_words"), "n",
-        F.when(F.col("n").isNotNull(), F.col("at") % F.col("n_words")).alias("start"))
-
-
-def verify(docs: DataFrame, found: DataFrame, grams: DataFrame, length: int) -> DataFrame:
-    """_id, _text, n, start, gram of the found windows whose words are those of a benchmark window."""
-    spots = found.where("n is not null").groupBy("_id", "_text").agg(F.collect_set(F.struct("n", "start")).alias("spots"))
-    spots = cut(spots, "benchmark-spots")
-    texts = docs.select("text", *_keys()).join(spots, ["_id", "_text"]).dropDuplicates(["_id", "_text"])
-    texts = texts.select("_id", "_text", "spots", words(F.col("text")).alias("w"))
-    gram = F.transform("spots", lambda s: F.struct(s["n"].alias("n"), s["start"].alias("start"), F.concat_ws(
-        " ", *[F.when(s["n"] > k, F.get("w", s["start"] + k)) for k in range(length)]).alias("gram")))
-    return texts.select("_id", "_text", F.inline(gram)).join(
-        grams.select("n", "gram").distinct(), ["n", "gram"], "left_semi")
+    found = found.join(known, "hash", "left").where("check = known or hash is null")
+    return found.select(*others, F.col("n_words").cast("long").alias("n_words"), "n",
+                        F.when(F.col("n").isNotNull(), F.col("at") % F.col("n_words")).alias("start"), "hash", "check")
 
 
 def _covered(spans: Column) -> Column:
@@ -100,14 +90,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10,
     are ignored.
     """
     grams = item_windows(benchmark, length)
-    found = cut(look_up(docs, grams, set_size), "benchmark-hits")
-    items = grams.groupBy("n", "gram").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
-    hits = verify(docs, found, grams, length).join(items, ["n", "gram"]).groupBy("_id", "_text").agg(
-        F.collect_list(F.struct("start", "n")).alias("spans"),
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    items = grams.groupBy("n", "hash", "check").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
+    hits = look_up(rows, grams, set_size).join(items, ["n", "hash", "check"], "left")
+    out = hits.groupBy("row", "doc_id", "n_words").agg(
+        F.collect_list(F.when(F.col("n").isNotNull(), F.struct("start", "n"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("ids"))
-    none = F.array().cast("array<struct<start:int,n:int>>")
-    out = found.where("n is null").join(hits, ["_id", "_text"], "left").withColumns({
-        "spans": F.coalesce("spans", none), "ids": F.coalesce("ids", F.array().cast("array<string>"))})
     out = out.withColumn("n_hit", _covered(F.col("spans")))
     return out.select(
         "doc_id", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"),
@@ -118,7 +106,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10,
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, length: int = 10, set_size: int = 50_000) -> DataFrame:
     """``docs`` without the documents that hold a window of the benchmark; only their keys leave the scan."""
     grams = item_windows(benchmark, length)
-    found = cut(look_up(docs, grams, set_size).where("n is not null"), "benchmark-hits")
-    bad = cut(verify(docs, found, grams, length).select("_id", "_text").distinct(), "contaminated")
+    keys = docs.select("text", *_keys())
+    bad = cut(look_up(keys, grams, set_size).where("n is not null").select("_id", "_text").distinct(), "contaminated")
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *_keys())
     return rows.join(bad, ["_id", "_text"], "left_anti").select("row.*")
