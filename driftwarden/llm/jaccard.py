@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -175,7 +176,7 @@ def shared_postings(postings: DataFrame) -> DataFrame:
     return postings.groupBy("bucket").applyInPandas(merge, "gram long, node string, n int, place int")
 
 
-def chains(shared: DataFrame, orders: int = 2, salts: int = 64) -> DataFrame:
+def chains(shared: DataFrame, orders: int = 1, salts: int = 64) -> DataFrame:
     """a, b: neighbours within each list of sets that share a shingle, under a few fixed orders of the sets.
 
     A list is cut into ``salts`` runs by the order itself, so no task holds a whole long list; the runs' first
@@ -229,27 +230,34 @@ def cross_pairs(shared: DataFrame, percent: int, block: int = 512) -> DataFrame:
     return rows.groupBy("gram", "i", "j").applyInPandas(meet, "a string, b string").distinct()
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets' similarity reaches ``percent``; suffix filter first, then the whole intersection."""
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a")
-    both = left.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b")
+def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs whose sets' similarity reaches ``percent``; suffix filter first, then the whole intersection.
+
+    Compressed texts travel, being a third of their sets' size.
+    """
+    left = pairs.join(texts.select(F.col("node").alias("a"), F.col("packed").alias("ta")), "a")
+    both = left.join(texts.select(F.col("node").alias("b"), F.col("packed").alias("tb")), "b")
 
     def check(frames):
+        unzip = zstandard.ZstdDecompressor().decompress
         for frame in frames:
-            keep = []
-            last, x = None, None
-            for a, ga, gb in zip(frame["a"], frame["ga"], frame["gb"]):
-                if a != last:
-                    last, x = a, np.frombuffer(ga, np.uint64)
-                y = np.frombuffer(gb, np.uint64)
-                need = -(-percent * (len(x) + len(y)) // (100 + percent))
-                if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)) or _bound(x, y) < need:
-                    keep.append(False)
-                    continue
-                keep.append(len(np.intersect1d(x, y, assume_unique=True)) >= need)
-            yield frame.loc[keep, ["a", "b"]]
-
-    return both.select("a", "b", "ga", "gb").mapInPandas(check, "a string, b string")
+            for i, j in by_bytes([len(x) + len(y) for x, y in zip(frame["ta"], frame["tb"])], BATCH_BYTES // 4):
+                part = frame.iloc[i:j]
+                known = {n: unzip(t).decode() for c, d in (("a", "ta"), ("b", "tb")) for n, t in zip(part[c], part[d])}
+                sizes, hashes = shingle_sets(list(known.values()), width)
+                ends = np.cumsum(sizes)
+                sets = {n: hashes[e - k:e] for n, e, k in zip(known, ends, sizes)}
+                keep = [_similar(sets[x], sets[y], percent) for x, y in zip(part["a"], part["b"])]
+                yield part.loc[keep, ["a", "b"]]
+
+    return both.select("a", "b", "ta", "tb").mapInPandas(check, "a string, b string")
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    need = -(-percent * (len(x) + len(y)) // (100 + percent))
+    if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)) or _bound(x, y) < need:
+        return False
+    return len(np.intersect1d(x, y, assume_unique=True)) >= need
 
 
 def _bound(x: np.ndarray, y: np.ndarray, parts: int = 8) -> int:
@@ -260,23 +268,25 @@ def _bound(x: np.ndarray, y: np.ndarray, parts: int = 8) -> int:
     return int(np.minimum(cx, cy).sum())
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """node, grams of the wanted (node, text_key): one text of each is read again."""
-    texts = docs.select("text", F.xxhash64("text").alias("text_key")).join(
-        wanted.select("text_key").distinct(), "text_key", "left_semi").groupBy("text_key").agg(
-        F.min("text").alias("text"), F.max("text").alias("other"))
+def texts_of(docs: DataFrame, wanted: DataFrame, width: int, most: int = 2_000_000) -> DataFrame:
+    """node, packed (a compressed text) of the wanted (node, text_key): one text of each is read again.
+
+    Up to ``most`` keys are broadcast; beyond, the texts are shuffled to them.
+    """
+    wanted = cut(wanted.select("text_key").distinct(), "jaccard-wanted")
+    keys = F.broadcast(wanted) if wanted.count() <= most else wanted
 
     def build(frames):
         for frame in _batches(frames):
             sizes, hashes = shingle_sets(list(frame["text"]), width)
             a, b = set_keys(sizes, hashes)
-            ends = np.cumsum(sizes)
             node = [f"{x:016x}{y:016x}" for x, y in zip(a.tolist(), b.tolist())]
-            yield pd.DataFrame({"node": node, "grams": [hashes[e - s:e].tobytes() for e, s in zip(ends, sizes)]})
+            zip_up = zstandard.ZstdCompressor(level=3).compress
+            yield pd.DataFrame({"node": node, "packed": [zip_up(t.encode()) for t in frame["text"]]})
 
-    both = texts.select("text").unionByName(texts.where("text <> other").select(F.col("other").alias("text")))
-    found = both.mapInPandas(build, "node string, grams binary")
-    return found.dropDuplicates(["node"])
+    found = docs.select("text", F.xxhash64("text").alias("text_key")).join(keys, "text_key", "left_semi")
+    return found.select("text").mapInPandas(build, "node string, packed binary").groupBy("node").agg(
+        F.min("packed").alias("packed"))
 
 
 def _id_key():
@@ -293,13 +303,13 @@ def _placed(docs: DataFrame, width: int, percent: int) -> DataFrame:
     shared = cut(shared_postings(postings), "jaccard-shared")
     members = shared.select("node").distinct()
     wanted = nodes.groupBy("node").agg(F.min("text_key").alias("text_key")).join(members, "node", "left_semi")
-    sets = cut(sets_of(docs, wanted, width), "jaccard-sets")
+    texts = cut(texts_of(docs, wanted, width), "jaccard-texts")
     tried = cut(chains(shared), "jaccard-chains")
-    links = cut(verify(tried, sets, percent), "jaccard-links")
+    links = cut(verify(tried, texts, width, percent), "jaccard-links")
     components = connected(links)
     labelled = shared.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rest = cross_pairs(labelled, percent).join(tried, ["a", "b"], "left_anti")
-    more = cut(verify(rest, sets, percent), "jaccard-links")
+    more = cut(verify(rest, texts, width, percent), "jaccard-links")
     if not more.isEmpty():
         components = connected(links.unionByName(more))
     return nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")).withColumn(
