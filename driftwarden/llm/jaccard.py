@@ -1,7 +1,7 @@
 """N-gram Jaccard join: rare-first prefix filter with length, positional and suffix filters.
 
-A document's set of word shingles is ordered rare-first: by the order of magnitude of a shingle's frequency, counted
-over all documents in a table of fixed size, then by its hash. Two sets of similarity t or more share a shingle in
+A document's set of word shingles is ordered rare-first: by the frequency of a shingle's hash class, counted over all
+documents in a table of fixed size, then by its hash. Two sets of similarity t or more share a shingle in
 their first ``n - ceil(t n) + 1``. These prefixes meet by shingle. Equal sets are one node throughout, under a 128-bit
 key, so exact copies cost nothing.
 
@@ -21,7 +21,7 @@ from driftwarden.llm.common import by_bytes, mix64, pack, partitions, ranges, un
 from driftwarden.llm.components import connected
 from driftwarden.runtime import cut
 
-SKETCH_BITS = 18
+SKETCH_BITS = 20
 BATCH_BYTES = 4_000_000
 _PRIMES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
@@ -89,7 +89,7 @@ def nodes_of(docs: DataFrame, width: int) -> DataFrame:
 
 
 def sketch(docs: DataFrame, width: int) -> np.ndarray:
-    """log2 of the frequency of every hash class of shingles, over all documents."""
+    """Frequency of every hash class of shingles (65535 at most), over all documents."""
     size, slices = 1 << SKETCH_BITS, 16
 
     def count(frames):
@@ -109,7 +109,7 @@ def sketch(docs: DataFrame, width: int) -> np.ndarray:
     total = np.zeros((slices, size // slices), np.int64)
     for row in rows:
         total[row["slice"]] = unpack(row["counts"], np.int64)
-    return np.log2(total.reshape(-1) + 1).astype(np.uint8)
+    return np.minimum(total.reshape(-1), 65535).astype(np.uint16)
 
 
 def prefix_postings(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
@@ -117,7 +117,7 @@ def prefix_postings(docs: DataFrame, width: int, percent: int, buckets: int) ->
     classes = docs.sparkSession.sparkContext.broadcast(sketch(docs, width))
 
     def postings(frames):
-        log = classes.value
+        frequency = classes.value
         for frame in _batches(frames):
             sizes, hashes = shingle_sets(list(frame["text"]), width)
             a, b = set_keys(sizes, hashes)
@@ -129,7 +129,7 @@ def prefix_postings(docs: DataFrame, width: int, percent: int, buckets: int) ->
             hashes, doc = hashes[keep[doc]], doc[keep[doc]]
             if not len(doc):
                 continue
-            rare = log[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+            rare = frequency[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
             order = np.lexsort((hashes, rare, doc))
             hashes, doc = hashes[order], doc[order]
             kept = sizes[keep]
