@@ -200,11 +200,21 @@ def chains(shared: DataFrame, orders: int = 1, salts: int = 64) -> DataFrame:
 def cross_pairs(shared: DataFrame, percent: int, block: int = 512) -> DataFrame:
     """a, b: the pairs of every list that lie in different components and pass length and positional filter.
 
-    A list is dealt in blocks of sets; every pair of blocks meets once, so a long list is spread over many tasks.
+    Lists of up to ``block`` sets are joined with themselves. A longer one is dealt in blocks of sets; every pair of
+    blocks meets once, so it is spread over many tasks.
     """
     spread = shared.groupBy("gram").agg(F.count(F.lit(1)).alias("of"), F.min("component").alias("lo"),
                                         F.max("component").alias("hi")).where("lo <> hi").select("gram", "of")
-    rows = shared.join(spread, "gram")
+    rows = cut(shared.join(spread, "gram"), "jaccard-lists")
+    short = rows.where(F.col("of") <= block).select("gram", "node", "component", "n", "place")
+    x, y = short.alias("x"), short.alias("y")
+    need = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent) - 1e-9)
+    rest = 1 + F.least("x.place", "y.place") + F.least(F.expr("x.n - x.place - 1"), F.expr("y.n - y.place - 1"))
+    near = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
+    joined = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.node") < F.col("y.node"))
+                    & (F.col("x.component") != F.col("y.component")) & near & (rest >= need))
+    joined = joined.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    rows = rows.where(F.col("of") > block)
     blocks = F.greatest(F.ceil(F.col("of") / block), F.lit(1)).cast("int")
     mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
     rows = rows.withColumn("_of", blocks).withColumn("_mine", mine)
@@ -227,7 +237,7 @@ def cross_pairs(shared: DataFrame, percent: int, block: int = 512) -> DataFrame:
         low = a < b
         return pd.DataFrame({"a": np.where(low, a, b), "b": np.where(low, b, a)})
 
-    return rows.groupBy("gram", "i", "j").applyInPandas(meet, "a string, b string").distinct()
+    return joined.unionByName(rows.groupBy("gram", "i", "j").applyInPandas(meet, "a string, b string")).distinct()
 
 
 def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
