@@ -194,7 +194,12 @@ def chains(shared: DataFrame, orders: int = 1, salts: int = 64) -> DataFrame:
             F.col("node").alias("a"), "b")
         both = linked.unionByName(across).where("b is not null")
         out = both if out is None else out.unionByName(both)
-    return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    edges = out.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    edges = cut(edges, "jaccard-edges")
+    # each set keeps the neighbour it has in most lists; what that leaves unlinked is found among the cross pairs
+    left = edges.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
+    right = edges.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a"))
+    return left.select("a", "b").unionByName(right.select("a", "b")).distinct()
 
 
 def cross_pairs(shared: DataFrame, percent: int, block: int = 512) -> DataFrame:
