@@ -5,8 +5,9 @@ documents in a table of fixed size, then by its hash. Two sets of similarity t o
 their first ``n - ceil(t n) + 1``. These prefixes meet by shingle. Equal sets are one node throughout, under a 128-bit
 key, so exact copies cost nothing.
 
-Only components are asked for, so a list of sets that share a shingle is first linked along chains, a few edges per
-set; pairs that still lie in different components after that are then formed, filtered and verified, all of them.
+Only components are asked for, so a list of sets that share a shingle is first linked along chains, an edge or two per
+set, then among the nearest few in a fixed order; pairs that still lie in different components after that are then
+formed, filtered and verified, all of them.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from driftwarden.llm.components import connected
 from driftwarden.runtime import cut
 
 SKETCH_BITS = 20
+SIGNATURE_WORDS = 8
 BATCH_BYTES = 4_000_000
 _PRIMES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
@@ -202,22 +204,64 @@ def chains(shared: DataFrame, orders: int = 1, salts: int = 64) -> DataFrame:
     return left.select("a", "b").unionByName(right.select("a", "b")).distinct()
 
 
+def signatures(sizes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """A row of SIGNATURE_WORDS 64-bit numbers per set: bit k says whether an odd number of its hashes fall in class k.
+
+    Two signatures differ in no more bits than the sets differ in members.
+    """
+    bits = 64 * SIGNATURE_WORDS
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    kind = (mix64(hashes) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(doc * bits + kind, minlength=len(sizes) * bits).reshape(-1, bits) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+
+
+def _possible(percent: int):
+    """Length, positional and suffix filter of x and y: false only where their sets can't be similar enough."""
+    need = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent) - 1e-9)
+    rest = 1 + F.least("x.place", "y.place") + F.least(F.expr("x.n - x.place - 1"), F.expr("y.n - y.place - 1"))
+    near = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
+    apart = sum((F.bit_count(F.get("x.sig", F.lit(i)).bitwiseXOR(F.get("y.sig", F.lit(i))))
+                 for i in range(SIGNATURE_WORDS)), F.lit(0))
+    return near & (rest >= need) & (apart <= F.col("x.n") + F.col("y.n") - 2 * need)
+
+
+def near_neighbours(shared: DataFrame, percent: int, reach: int = 8, run: int = 1024) -> DataFrame:
+    """a, b: for each set its ``reach`` partners that stand near it in most lists, in one fixed order of the sets.
+
+    Only sets of different components that pass length, positional and suffix filter. These are pairs to try first:
+    whatever they leave unlinked is still found among the cross pairs. Lists longer than ``run`` are cut by hash.
+    """
+    spread = shared.groupBy("gram").agg(F.count(F.lit(1)).alias("of"), F.min("component").alias("lo"),
+                                        F.max("component").alias("hi")).where("lo <> hi").select("gram", "of")
+    runs = F.ceil(F.col("of") / run)
+    rows = shared.join(spread, "gram").withColumn("_run", F.pmod(F.xxhash64(F.lit(-2), "node"), runs))
+    order = Window.partitionBy("gram", "_run").orderBy(F.xxhash64(F.lit(-1), "node"), "node")
+    me = F.struct("node", "component", "n", "place", "sig")
+    met = rows.select(me.alias("x"), F.collect_list(me).over(order.rowsBetween(1, reach)).alias("ys"))
+    met = met.select("x", F.explode("ys").alias("y"))
+    pairs = met.where((F.col("x.component") != F.col("y.component")) & _possible(percent)).groupBy(
+        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).agg(
+        F.count(F.lit(1)).alias("lists"))
+    best = Window.partitionBy("a").orderBy(F.desc("lists"), "b")
+    return pairs.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= reach).select("a", "b")
+
+
 def cross_pairs(shared: DataFrame, percent: int, block: int = 512) -> DataFrame:
-    """a, b: the pairs of every list that lie in different components and pass length and positional filter.
+    """a, b: the pairs of every list that lie in different components and pass length, positional and suffix filter.
 
     Lists of up to ``block`` sets are joined with themselves. A longer one is dealt in blocks of sets; every pair of
-    blocks meets once, so it is spread over many tasks.
+    blocks meets once, so it is spread over many tasks. Without a column ``sig`` the suffix filter lets all pairs pass.
     """
+    if "sig" not in shared.columns:
+        shared = shared.withColumn("sig", F.array_repeat(F.lit(0).cast("long"), SIGNATURE_WORDS))
     spread = shared.groupBy("gram").agg(F.count(F.lit(1)).alias("of"), F.min("component").alias("lo"),
                                         F.max("component").alias("hi")).where("lo <> hi").select("gram", "of")
     rows = cut(shared.join(spread, "gram"), "jaccard-lists")
-    short = rows.where(F.col("of") <= block).select("gram", "node", "component", "n", "place")
+    short = rows.where(F.col("of") <= block).select("gram", "node", "component", "n", "place", "sig")
     x, y = short.alias("x"), short.alias("y")
-    need = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent) - 1e-9)
-    rest = 1 + F.least("x.place", "y.place") + F.least(F.expr("x.n - x.place - 1"), F.expr("y.n - y.place - 1"))
-    near = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
     joined = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.node") < F.col("y.node"))
-                    & (F.col("x.component") != F.col("y.component")) & near & (rest >= need))
+                    & (F.col("x.component") != F.col("y.component")) & _possible(percent))
     joined = joined.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     rows = rows.where(F.col("of") > block)
     blocks = F.greatest(F.ceil(F.col("of") / block), F.lit(1)).cast("int")
@@ -225,7 +269,7 @@ def cross_pairs(shared: DataFrame, percent: int, block: int = 512) -> DataFrame:
     rows = rows.withColumn("_of", blocks).withColumn("_mine", mine)
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_of") - 1)))
     rows = rows.select("gram", F.least("_mine", "_other").alias("i"), F.greatest("_mine", "_other").alias("j"),
-                       "_mine", "node", "component", "n", "place")
+                       "_mine", "node", "component", "n", "place", "sig")
 
     def meet(key, frame):
         _, i, j = key
@@ -238,6 +282,12 @@ def cross_pairs(shared: DataFrame, percent: int, block: int = 512) -> DataFrame:
         ok &= left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :]
         ok &= left["node"].to_numpy()[:, None] < right["node"].to_numpy()[None, :] if i == j else True
         x, y = np.nonzero(ok)
+        if len(x):
+            ls, rs = np.stack(left["sig"].to_list()), np.stack(right["sig"].to_list())
+            apart = sum(np.bitwise_count((ls[x, k] ^ rs[y, k]).view(np.uint64)).astype(np.int64)
+                        for k in range(ls.shape[1]))
+            fits = apart <= (ln + rn - 2 * need)[x, y]
+            x, y = x[fits], y[fits]
         a, b = left["node"].to_numpy()[x], right["node"].to_numpy()[y]
         low = a < b
         return pd.DataFrame({"a": np.where(low, a, b), "b": np.where(low, b, a)})
@@ -284,7 +334,8 @@ def _bound(x: np.ndarray, y: np.ndarray, parts: int = 8) -> int:
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame, width: int, most: int = 2_000_000) -> DataFrame:
-    """node, packed (a compressed text) of the wanted (node, text_key): one text of each is read again.
+    """node, packed (a compressed text), sig (its signature) of the wanted (node, text_key): one text of each
+    is read again.
 
     Up to ``most`` keys are broadcast; beyond, the texts are shuffled to them.
     """
@@ -297,11 +348,12 @@ def texts_of(docs: DataFrame, wanted: DataFrame, width: int, most: int = 2_000_0
             a, b = set_keys(sizes, hashes)
             node = [f"{x:016x}{y:016x}" for x, y in zip(a.tolist(), b.tolist())]
             zip_up = zstandard.ZstdCompressor(level=3).compress
-            yield pd.DataFrame({"node": node, "packed": [zip_up(t.encode()) for t in frame["text"]]})
+            yield pd.DataFrame({"node": node, "packed": [zip_up(t.encode()) for t in frame["text"]],
+                                "sig": list(signatures(sizes, hashes))})
 
     found = docs.select("text", F.xxhash64("text").alias("text_key")).join(keys, "text_key", "left_semi")
-    return found.select("text").mapInPandas(build, "node string, packed binary").groupBy("node").agg(
-        F.min("packed").alias("packed"))
+    return found.select("text").mapInPandas(build, "node string, packed binary, sig array<bigint>").groupBy(
+        "node").agg(F.min_by(F.struct("packed", "sig"), "packed").alias("t")).select("node", "t.*")
 
 
 def _id_key():
@@ -322,8 +374,17 @@ def _placed(docs: DataFrame, width: int, percent: int) -> DataFrame:
     tried = cut(chains(shared), "jaccard-chains")
     links = cut(verify(tried, texts, width, percent), "jaccard-links")
     components = connected(links)
-    labelled = shared.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rest = cross_pairs(labelled, percent).join(tried, ["a", "b"], "left_anti")
+
+    def labelled():
+        known = shared.join(components, "node", "left").join(texts.select("node", "sig"), "node")
+        return known.withColumn("component", F.coalesce("component", "node"))
+
+    near = cut(near_neighbours(labelled(), percent).join(tried, ["a", "b"], "left_anti"), "jaccard-near")
+    if not near.isEmpty():
+        tried = tried.unionByName(near)
+        links = links.unionByName(cut(verify(near, texts, width, percent), "jaccard-links"))
+        components = connected(links)
+    rest = cross_pairs(labelled(), percent).join(tried, ["a", "b"], "left_anti")
     more = cut(verify(rest, texts, width, percent), "jaccard-links")
     if not more.isEmpty():
         components = connected(links.unionByName(more))
