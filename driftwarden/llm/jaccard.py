@@ -12,6 +12,8 @@ formed, filtered and verified, all of them.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 import zstandard
@@ -26,33 +28,78 @@ SKETCH_BITS = 20
 SIGNATURE_WORDS = 8
 BATCH_BYTES = 4_000_000
 _PRIMES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
+_INVERSE = pow(_PRIMES[3], -1, 1 << 64)
+
+
+def _is_space() -> np.ndarray:
+    space = np.zeros(256, bool)
+    space[[0x20, *range(0x09, 0x0E)]] = True
+    return space
+
+
+def _byte_values() -> np.ndarray:
+    """A 64-bit number per byte, the same for A-Z as for a-z."""
+    values = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(_PRIMES[0]))
+    values[65:91] = values[97:123]
+    return values
+
+
+@functools.cache
+def _powers(base: int) -> tuple[np.ndarray, np.uint64]:
+    """The first 4096 powers of an odd number modulo 2^64, and the next one."""
+    powers = np.cumprod(np.r_[np.uint64(1), np.full(4096, np.uint64(base))])
+    return powers[:-1], powers[-1]
+
+
+def _power(base: int, at: np.ndarray) -> np.ndarray:
+    """base^at modulo 2^64, from the powers of 4096 and the rest."""
+    low, step = _powers(base)
+    high = np.cumprod(np.r_[np.uint64(1), np.full(int(at.max(initial=0)) >> 12, step)])
+    return high[at >> 12] * low[at & 4095]
+
+
+def word_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """(words of each text, their hashes in order): lower-cased words between whitespace.
+
+    A word's hash is a polynomial of its bytes, taken from running sums over all texts at once.
+    """
+    raw = [t.encode() if t else b"" for t in texts]
+    ends = np.cumsum([len(r) + 1 for r in raw])  # a space closes every text
+    data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
+    inside = ~_is_space()[data]
+    edge = np.flatnonzero(np.diff(inside, prepend=False))
+    start, stop = edge[::2], edge[1::2]
+    with np.errstate(over="ignore"):
+        sums = _byte_values()[data]
+        sums *= _power(_PRIMES[3], np.arange(len(data)))
+        np.cumsum(sums, out=sums)
+        before = np.where(start > 0, sums[start - 1], np.uint64(0))
+        hashes = mix64((sums[stop - 1] - before) * _power(_INVERSE, start) + (stop - start).astype(np.uint64))
+    return np.diff(np.searchsorted(start, ends), prepend=0), hashes
 
 
 def shingle_sets(texts: list, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(sizes, hashes): each text's distinct shingle hashes, ascending, one text after the other."""
-    tokens = [t.encode().lower().split() if t else [] for t in texts]
-    lengths = np.array([len(t) for t in tokens], dtype=np.int64)
-    if not lengths.sum():
+    if not len(texts):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    lengths, word = word_hashes(texts)
+    if not len(word):
         return np.zeros(len(texts), np.int64), np.zeros(0, np.uint64)
-    flat = np.empty(int(lengths.sum()), dtype=object)
-    flat[:] = [w for t in tokens for w in t]
-    codes, names = pd.factorize(flat)
-    word = pd.util.hash_array(np.asarray(names, dtype=object), categorize=False)[codes]
-    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+    starts = np.cumsum(lengths) - lengths
     counts = np.where(lengths >= width, lengths - width + 1, np.minimum(lengths, 1))
     at = ranges(starts, counts)
     left = np.repeat(starts + lengths, counts) - at  # words from here to the text's end
     with np.errstate(over="ignore"):
         total = np.zeros(len(at), np.uint64)
         for i in range(width):
-            inside = left > i
-            part = np.where(inside, word[np.minimum(at + i, len(word) - 1)], np.uint64(0))
             multiplier = _PRIMES[i % 4] + 2 * i & 0xFFFFFFFFFFFFFFFF | 1
-            total += mix64(part + np.uint64(i + 1)) * np.uint64(multiplier) * inside.astype(np.uint64)
+            part = mix64(word + np.uint64(i + 1)) * np.uint64(multiplier)
+            total += np.where(left > i, part[np.minimum(at + i, len(word) - 1)], np.uint64(0))
     hashes = mix64(total)
+    ends = np.cumsum(counts)
+    for a, b in zip((ends - counts).tolist(), ends.tolist()):
+        hashes[a:b].sort()
     doc = np.repeat(np.arange(len(texts)), counts)
-    order = np.lexsort((hashes, doc))
-    hashes, doc = hashes[order], doc[order]
     first = np.ones(len(hashes), bool)
     first[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
     return np.bincount(doc[first], minlength=len(texts)).astype(np.int64), hashes[first]
