@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwarden.llm.common import by_bytes, mix64, pack, partitions, ranges, unpack
-from driftwarden.llm.components import connected
+from driftwarden.llm.components import connected, joined
 from driftwarden.runtime import cut
 
 SKETCH_BITS = 20
@@ -420,7 +420,7 @@ def _placed(docs: DataFrame, width: int, percent: int) -> DataFrame:
     texts = cut(texts_of(docs, wanted, width), "jaccard-texts")
     tried = cut(chains(shared), "jaccard-chains")
     links = cut(verify(tried, texts, width, percent), "jaccard-links")
-    components = connected(links)
+    components = cut(connected(links), "jaccard-components")
 
     def labelled():
         known = shared.join(components, "node", "left").join(texts.select("node", "sig"), "node")
@@ -429,12 +429,12 @@ def _placed(docs: DataFrame, width: int, percent: int) -> DataFrame:
     near = cut(near_neighbours(labelled(), percent).join(tried, ["a", "b"], "left_anti"), "jaccard-near")
     if not near.isEmpty():
         tried = tried.unionByName(near)
-        links = links.unionByName(cut(verify(near, texts, width, percent), "jaccard-links"))
-        components = connected(links)
+        found = cut(verify(near, texts, width, percent), "jaccard-links")
+        components = joined(components, found)
     rest = cross_pairs(labelled(), percent).join(tried, ["a", "b"], "left_anti")
     more = cut(verify(rest, texts, width, percent), "jaccard-links")
     if not more.isEmpty():
-        components = connected(links.unionByName(more))
+        components = joined(components, more)
     return nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")).withColumn(
         "_id", _id_key())
 
