@@ -16,8 +16,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one whose id is the component's."""
-    return jaccard.keep_one(docs)
+    """One document of each group of near duplicates: that of least id. Five-word shingles, similarity 0.8 or more."""
+    return jaccard.keep_one(docs, width=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
