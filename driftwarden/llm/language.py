@@ -2,7 +2,8 @@
 
 Text likelihoods come from byte-trigram models; the declared language, the address suffix and the host add their own
 factors. The host factor is a prior smoothed in two steps: a host's counts towards those of its suffix, and a suffix's
-towards the whole table. All counts are grouped aggregates over every row.
+towards the whole table. All counts are grouped aggregates over every row. Besides the languages there is a class for
+everything else, with a text model, declarations and priors of its own; rows where it wins are rejected.
 """
 
 from __future__ import annotations
@@ -18,11 +19,18 @@ from driftwarden.llm.common import by_bytes, pack, source_key, unpack
 from driftwarden.runtime import cut
 
 LANGUAGES = ("de", "en", "es", "fr")
+OTHER = "other"
 TABLE = 1 << 15
 BATCH_BYTES = 2_000_000
 # a text's trigrams overlap and repeat; beyond this many they add no further certainty
 EVIDENCE = 60.0
-
+# a language's share for trigrams it was not seen with lies between these
+UNSEEN = (0.02, 0.25)
+# log odds by which a text must speak against all languages before the other class is as likely
+DOUBT = math.log(1000)
+# declarations that name no language, and longer codes of the languages
+UNDETERMINED = ("", "mis", "mul", "und", "xx", "zxx")
+CODES = {"deu": "de", "ger": "de", "eng": "en", "spa": "es", "fra": "fr", "fre": "fr"}
 
 def _trigrams(texts: list) -> tuple[np.ndarray, np.ndarray]:
     """(classes, counts): hashed trigrams of each text's lower-cased letters, and how many each text has."""
@@ -45,14 +53,21 @@ def _pieces(texts):
         yield list(texts[a:b])
 
 
-def train(rows: DataFrame, languages=LANGUAGES, smoothing: float = 0.5) -> np.ndarray:
-    """log probabilities, one row per language and a last one for all rows together, from all labelled ``rows``
-    (text, declared); other labels count for the last row only."""
+def train(rows: DataFrame, languages=LANGUAGES) -> np.ndarray:
+    """log probabilities, one row per language and a last one for any other text, from all ``rows`` (text, declared)
+    with a declaration.
+
+    Each language mixes its trigrams with a uniform share that follows how many of them are new (Witten and Bell).
+    Any other text has each trigram with the uniform probability, or half its share in the rows that declare another
+    language where that is more. The trigrams of all rows are not its model: they would explain a text that mixes two
+    of the languages better than either of them.
+    """
     index = {name: i for i, name in enumerate(languages)}
 
     def count(frames):
         total = np.zeros((len(languages) + 1, TABLE), np.int64)
         for frame in frames:
+            frame = frame[frame["declared"].notna()]
             label = frame["declared"].map(lambda x: index.get(x, len(languages))).to_numpy()
             texts = frame["text"].tolist()
             for k in np.unique(label):
@@ -63,18 +78,22 @@ def train(rows: DataFrame, languages=LANGUAGES, smoothing: float = 0.5) -> np.nd
     def add(key, frame):
         return pd.DataFrame({"k": [key[0]], "counts": [pack(sum(unpack(c, np.int64) for c in frame["counts"]))]})
 
-    parts = rows.select("text", "declared").mapInPandas(count, "k int, counts binary").groupBy("k").applyInPandas(
-        add, "k int, counts binary").collect()  # a table of fixed size
+    parts = rows.select("text", "declared").mapInPandas(
+        count, "k int, counts binary").groupBy("k").applyInPandas(add, "k int, counts binary").collect()  # a table of fixed size
     total = np.zeros((len(languages) + 1, TABLE))
     for row in parts:
         total[row["k"]] = unpack(row["counts"], np.int64)
-    total[-1] = total.sum(0)
-    total += smoothing
-    return np.log(total / total.sum(1, keepdims=True))
+    n, kinds = total.sum(1, keepdims=True), (total > 0).sum(1, keepdims=True)
+    unseen = np.clip(kinds / np.maximum(n + kinds, 1), *UNSEEN)
+    shares = total / np.maximum(n, 1)
+    known = (1 - unseen) * shares + unseen / TABLE
+    other = np.maximum(shares[len(languages)] / 2, 1 / TABLE)
+    return np.log(np.vstack([known[:len(languages)], other]))
 
 
 def text_evidence(rows: DataFrame, model: np.ndarray) -> Column:
-    """Column: array of log-likelihoods per language, scaled to at most EVIDENCE trigrams; empty without letters."""
+    """Column: array of log-likelihoods per language against the other class, scaled to at most EVIDENCE trigrams,
+    and the latter's own, -DOUBT; empty without letters."""
     table = rows.sparkSession.sparkContext.broadcast((model[:-1] - model[-1]).astype(np.float32))
 
     @F.pandas_udf("array<double>")
@@ -86,7 +105,7 @@ def text_evidence(rows: DataFrame, model: np.ndarray) -> Column:
             sums = np.stack([np.diff(np.concatenate(([0.0], np.cumsum(w[codes], dtype=np.float64)))[
                 np.concatenate(([0], ends))]) for w in table.value], axis=1)
             scale = np.minimum(1.0, EVIDENCE / np.maximum(counts, 1))
-            out += [list(s * f) if n else [] for s, f, n in zip(sums, scale, counts)]
+            out += [[*(s * f), -DOUBT] if n else [] for s, f, n in zip(sums, scale, counts)]
         return pd.Series(out)
 
     return likelihood(F.col("text"))
@@ -128,35 +147,44 @@ def host_priors(beliefs: DataFrame, n: int, strength: float = 10.0) -> DataFrame
         "_host", "_suffix", F.array(*level).alias("prior"), F.array(*own).alias("suffix_factor")), "host-priors")
 
 
+def declaration(column: Column) -> Column:
+    """The declared language without its region; null if it names none."""
+    code = F.lower(F.regexp_extract(column, r"^\s*([A-Za-z]{2,3})(?![A-Za-z])", 1))
+    short = F.create_map(*[F.lit(x) for pair in CODES.items() for x in pair])
+    # through an array, so that the code is worked out once and not once per use
+    return F.get(F.transform(F.array(code), lambda c: F.when(
+        ~c.isin(*UNDETERMINED), F.coalesce(F.try_element_at(short, c), c))), F.lit(0))
+
+
 def identify(rows: DataFrame, keep: list[str], languages=LANGUAGES, trust: float = 0.95,
              least: float = 0.5) -> DataFrame:
     """The ``keep`` columns of ``rows`` plus language, probability and accepted.
 
     ``rows`` has text, declared, suffix and host. Rows without any letter have no language and are rejected; others
-    get the likeliest one and are rejected below the probability ``least``. A null or unknown declaration is no
-    evidence; null hosts and suffixes share one prior each. With no labelled row at all every language is equally
-    likely. Repeated rows count as often as they occur.
+    get the likeliest language or ``OTHER``, and are rejected with the latter or below the probability ``least``. A
+    declaration of another language speaks for ``OTHER``, a null one for nothing; null hosts and suffixes share one
+    prior each. A language that no row declares is not recognised. Repeated rows count as often as they occur.
     """
-    n = len(languages)
-    model = train(rows, languages)
-    scored = rows.withColumns({"_host": source_key(F.col("host")), "_suffix": source_key(F.col("suffix")),
-                               "_ll": text_evidence(rows, model)})
+    n = len(languages) + 1
+    model = train(rows.select("text", declaration(F.col("declared")).alias("declared")), languages)
+    scored = rows.withColumns({"_named": declaration(F.col("declared")), "_host": source_key(F.col("host")),
+                               "_suffix": source_key(F.col("suffix")), "_ll": text_evidence(rows, model)})
     beliefs = scored.where(F.size("_ll") > 0).select("_host", "_suffix", _posterior(F.col("_ll")).alias("p"))
     priors = host_priors(beliefs, n)
+    named = F.when(F.col("_named").isin(list(languages)), F.col("_named")).otherwise(OTHER)
     said = F.array(*[
-        F.when(F.col("declared").isin(list(languages)),
-               F.when(F.col("declared") == name, math.log(trust)).otherwise(math.log((1 - trust) / (n - 1)))
-               ).otherwise(0.0) for name in languages])
+        F.when(F.col("_named").isNull(), 0.0).when(named == name, math.log(trust)).otherwise(
+            math.log((1 - trust) / (n - 1))) for name in (*languages, OTHER)])
     joined = scored.withColumn("_said", said).join(priors, ["_host", "_suffix"], "left")
     weights = F.transform(F.col("_ll"), lambda w, i: w + F.get("_said", i) + F.log(F.get("prior", i))
                           + F.get("suffix_factor", i))
     joined = joined.withColumn("_p", F.when((F.size("_ll") > 0) & F.col("prior").isNotNull(), _posterior(weights)))
     best = F.array_max("_p")
     joined = joined.withColumn("probability", F.round(best, 6))
-    names = F.array(*[F.lit(x) for x in languages])
-    language = F.element_at(names, F.array_position("_p", best).cast("int"))
+    names = F.array(*[F.lit(x) for x in (*languages, OTHER)])
+    language = F.when(best.isNotNull(), F.element_at(names, F.array_position("_p", best).cast("int")))
     return joined.select(*keep, language.alias("language"), "probability",
-                         F.coalesce(F.col("probability") >= least, F.lit(False)).alias("accepted"))
+                         F.coalesce((F.col("probability") >= least) & (language != OTHER), F.lit(False)).alias("accepted"))
 
 
 def page_rows(pages: DataFrame) -> DataFrame:

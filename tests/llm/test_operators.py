@@ -331,6 +331,26 @@ def test_documents_with_letters_stay(docs, rows):
         str(r[0]) for r in rows if r[1] and r[1].strip())
 
 
+def test_other_languages_and_junk_are_rejected(spark, rows):
+    odd = ["Каждый человек имеет право на жизнь, на свободу и на личную неприкосновенность.",
+           "Każdy człowiek ma prawo do życia, wolności i bezpieczeństwa swojej osoby.",
+           "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+           "xkq vbnt zrtk pqwx jkl mnbv cxzq wrtp ghjk lkjh fdsq zxcv bnmq wpsd fghj", "z" * 600]
+    found = [(str(r[0]), r[1], r[2], "com", r[3]) for r in rows]
+    found += [(f"odd{i}", text, None, "com", "src0") for i, text in enumerate(odd)]
+    found += [("said", odd[0], "en", "com", "src0")]
+    clean = next(r for r in rows if r[2] == "en" and r[1] and len(r[1]) > 2000)
+    found += [(f"{code}", clean[1], code, "com", "src0") for code in ("en-US", "eng", "und")]
+    found += [(f"nl{i}", "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren.", "nl", "com", "src0") for i in range(3)]
+    frame = spark.createDataFrame(found, "id string, text string, declared string, suffix string, host string")
+    got = {r["id"]: r for r in language.identify(frame, ["id"]).collect()}
+    for name in [f"odd{i}" for i in range(len(odd))] + ["said", "nl0", "nl1", "nl2"]:
+        assert (got[name]["language"], got[name]["accepted"]) == ("other", False), name
+    assert all(got[str(r[0])]["accepted"] for r in rows if r[1] and r[1].strip())
+    assert all(got[code]["language"] == "en" for code in ("en-US", "eng", "und"))
+    assert got["10002"]["language"] is None
+
+
 # 10
 @pytest.mark.parametrize("hot", [1024, 1])
 def test_repeats(spark, rows, hot):
