@@ -188,11 +188,14 @@ def identify(rows: DataFrame, keep: list[str], languages=LANGUAGES, trust: float
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
-    """page_id, text (tags, scripts and entities taken out), declared, suffix, host of raw pages."""
+    """page_id, text (tags, scripts and entities taken out), declared, suffix, host of raw pages.
+
+    The declaration is looked for in the whole page, comments and scripts taken out.
+    """
     html = F.coalesce(F.col("html"), F.lit(""))
     bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
     text = F.regexp_replace(bare, r"<[^>]*>|&#?\w+;", " ")
-    declared = F.lower(F.regexp_extract(F.substring(html, 1, 4096), r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z]{2,3})""", 1))
+    declared = F.lower(F.regexp_extract(bare, r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z]{2,3})""", 1))
     host = F.lower(F.regexp_extract("url", r"://([^/?#]*)", 1))
     return pages.select("page_id", text.alias("text"), F.nullif(declared, F.lit("")).alias("declared"),
                         F.nullif(F.regexp_extract(host, r"\.([a-z]+)(?::\d+)?$", 1), F.lit("")).alias("suffix"),

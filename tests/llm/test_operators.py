@@ -351,6 +351,13 @@ def test_other_languages_and_junk_are_rejected(spark, rows):
     assert got["10002"]["language"] is None
 
 
+def test_declaration_after_a_long_preamble(spark):
+    html = ["<!-- " + "x " * 5000 + "-->", " \n" * 5000, "<!-- <html lang='de'> -->", "<script>'<html lang=de>'</script>", ""]
+    pages = spark.createDataFrame([(i, "http://h.org/", f"{before}<html class='c' lang='fr-CA'><p>a</p></html>")
+                                   for i, before in enumerate(html)], "page_id long, url string, html string")
+    assert [r["declared"] for r in language.page_rows(pages).collect()] == ["fr"] * len(html)
+
+
 # 10
 @pytest.mark.parametrize("hot", [1024, 1])
 def test_repeats(spark, rows, hot):
