@@ -77,7 +77,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
 def judge_pages(pages: DataFrame, rules=RULES, threshold: float = 0.0) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust of every page.
 
-    A rule's verdict stands. Without one a host is blocked when distrust - trust > ``threshold``; hosts that no walk
+    Scores have ten significant digits. A rule's verdict stands. Without one a host is blocked when distrust - trust > ``threshold``; hosts that no walk
     reaches, and pages without a host, are allowed. Null urls have empty host and path; null html has no links.
     Repeated pages are judged one by one; an empty table gives no rows.
     """
@@ -96,7 +96,9 @@ def judge_pages(pages: DataFrame, rules=RULES, threshold: float = 0.0) -> DataFr
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     distrust = propagate(back, bad).withColumnRenamed("score", "distrust")
     scores = cut(trust.join(distrust, "host", "full").select(
-        "host", *[F.coalesce(F.round(c, 12), F.lit(0.0)).alias(c) for c in ("trust", "distrust")]), "host-scores")
+        "host", *[F.format_string("%.9e", F.coalesce(c, F.lit(0.0))).cast("double").alias(c)
+                  for c in ("trust", "distrust")]),
+        "host-scores")  # ten significant digits: seeds sum to 1, so scores shrink as the table grows
     zero = F.lit(0.0)
     judged = ruled.join(scores, "host", "left").withColumns(
         {"trust": F.coalesce("trust", zero), "distrust": F.coalesce("distrust", zero)})

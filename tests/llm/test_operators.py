@@ -244,6 +244,16 @@ def test_url_rules_and_walk(spark):
     assert urls.judge_pages(empty).count() == 0
 
 
+def test_small_scores_still_block(spark):
+    hosts = ["x.com", "n1.test", "n2.test", "n3.test", "n4.test"]
+    rows = [(0, "http://x.com/de/", "")]
+    for i, host in enumerate(hosts[1:], 1):
+        link = f'<a href="http://{hosts[i - 1]}/">z</a>'
+        rows += [(i, f"http://{host}/", link)] + [(10_000 * i + k, f"http://hub{i}.test/", link) for k in range(2000)]
+    got = urls.judge_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).where("page_id = 4").first()
+    assert 0 < got["distrust"] < 5e-13 and got["trust"] == 0 and got["verdict"] == "block"
+
+
 def test_propagation_equals_power_iteration(spark):
     edges = [("a", "b", 1.0), ("a", "c", 3.0), ("b", "c", 1.0), ("c", "a", 1.0), ("c", "d", 1.0)]
     got = {r["host"]: r["score"] for r in urls.propagate(
