@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from driftwarden.llm import (decontamination, embeddings, jaccard, language, lm, mixing, repeats, secret_scan,
-                             sharding, urls)
+import public_tokenizers
+
+from driftwarden.llm import (decontamination, divergence, embeddings, jaccard, language, lm, mixing, packing, repeats,
+                             secret_scan, sharding, urls, vafile)
 from driftwarden.llm.common import read
 
 
@@ -48,7 +50,21 @@ def op10_repeated_bytes(spark, sf_dir):
     return repeats.remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit_sources(spark, read(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clustering(spark, sf_dir):
+    return vafile.cluster_vectors(spark, read(spark, sf_dir, "embeddings"))
+
+
+def op13_best_fit_packing(spark, sf_dir):
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(spark, read(spark, sf_dir, "documents"), vocabulary)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_neardup, op2_lm_scoring, op3_secret_scan, op4_sharding, op5_decontamination, op6_jaccard_join,
-    op7_url_filter, op8_source_mix, op9_language_id, op10_repeated_bytes)}
+    op7_url_filter, op8_source_mix, op9_language_id, op10_repeated_bytes, op11_source_divergence,
+    op12_centroid_clustering, op13_best_fit_packing)}
 ORACLES: dict[str, str] = {}
