@@ -33,6 +33,14 @@ SLICE_CHARS = 200_000
 CACHED_WORDS, CACHED_CHARS = 300_000, 40
 # a blank at an end of the text or beside white space
 _AT_BLANK = re.compile(r"[^\S ] | [^\S ]|\A | \Z")
+# fixed: how the vocabulary cuts a text into tokens, for texts of ASCII and Latin letters alone
+_LATIN = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
+_LATIN_TEXT = re.compile(f"[\\x00-\\x1B\\x20-\\x7F{_LATIN}]*")  # Python counts 1C-1F as white space, the vocabulary does not
+_LATIN_TOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\s0-9{_LATIN}]+|\s+(?!\S)|\s+")
+# fixed: the character that stands for each byte in the vocabulary
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_HIDDEN = [b for b in range(256) if b not in _SHOWN]
+_BYTE_CHARACTERS = {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
 PLAN_SCHEMA = "length int, from_rank long, to_rank long, first_sequence long, per_sequence long, first_offset long"
 
 
@@ -45,10 +53,12 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker per core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.of_tokens = Tokenizer(self.tokenizer.model)  # for tokens that are cut out and spelled in bytes already
+        self.of_tokens.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
         vocabulary = self.tokenizer.get_vocab()
         self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a character stands for a byte
         self.token_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
@@ -58,15 +68,26 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
         parts = [[self._words(s) for s in _slices(t)] for t in texts]
-        self._learn({w for slices in parts for words in slices for w in words})
-        return [b"".join(b"".join(map(self.young.__getitem__, words)) for words in slices) for slices in parts]
+        found = [[list(map(self.young.get, words)) for words in slices] for slices in parts]
+        self._learn({w for slices, ids in zip(parts, found) for words, known in zip(slices, ids) if None in known
+                     for w, k in zip(words, known) if k is None})
+        out = []
+        for slices, ids in zip(parts, found):
+            whole = [known if None not in known else [self.young[w] if k is None else k for w, k in zip(words, known)]
+                     for words, known in zip(slices, ids)]
+            out.append(b"".join(map(b"".join, whole)))
+        if len(self.young) > CACHED_WORDS:
+            self.old = {w: i for w, i in self.young.items() if len(w) <= CACHED_CHARS}
+            self.young = {}
+        return out
 
     def _words(self, text: str) -> list[str]:
         """The text cut before every blank that surely starts a token."""
         pieces = text.split(" ")
         words = [" " + p for p in pieces]
         words[0] = pieces[0]
-        if "  " in text or _AT_BLANK.search(text):
+        single = " ".join(text.split()) == text.replace("\n", " ")  # no two white-space characters side by side
+        if not single and ("  " in text or _AT_BLANK.search(text)):
             joined = [words[0]]
             for before, piece, word in zip(pieces, pieces[1:], words[1:]):
                 if not before or not piece or before[-1].isspace() or piece[0].isspace():
@@ -78,33 +99,48 @@ class Encoder:
 
     def _learn(self, words: set[str]) -> None:
         """All ``words`` are in the young generation afterwards."""
-        if len(self.young) > CACHED_WORDS:
-            self.old = {w: i for w, i in self.young.items() if len(w) <= CACHED_CHARS}
-            self.young = {}
-        missing, odd = [], []
-        for word in words - self.young.keys():
+        tokens, others, cut_up = set(), [], []
+        for word in words:
             known = self.old.get(word)
             if known is not None:
                 self.young[word] = known
-            elif word[:1] == " " and not word[1:2].isspace() and not word[-1].isspace():
-                missing.append(word)
+            elif word.isascii() and word[1:].isalpha() and word[0] == " ":  # a token as it stands
+                tokens.add(word)
+            elif _LATIN_TEXT.fullmatch(word):
+                own = _LATIN_TOKEN.findall(word)
+                cut_up.append((word, own))
+                tokens.update(own)
             else:
-                odd.append(word)
-        # words between sure boundaries keep their ids when they stand side by side in one text
-        for a, b in by_bytes([len(w) for w in missing], SLICE_CHARS):
-            self._share(missing[a:b], self._ids("".join(missing[a:b])))
-        for word in odd:
-            self.young[word] = self._ids(word).tobytes()
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def _share(self, words: list[str], ids: np.ndarray) -> None:
+                others.append(word)
+        plain, odd = [], []
+        for token in tokens:
+            known = self.young.get(token) or self.old.get(token)
+            if known is not None:
+                self.young[token] = known
+            elif token.isascii() and token.isprintable():
+                plain.append(token)
+            else:
+                odd.append(token)
+        for a, b in by_bytes(list(map(len, plain)), SLICE_CHARS):
+            self._token_ids(plain[a:b], "\n".join(plain[a:b]).replace(" ", _BYTE_CHARACTERS[32]), map(len, plain[a:b]))
+        for a, b in by_bytes(list(map(len, odd)), SLICE_CHARS):
+            raw = [t.encode() for t in odd[a:b]]
+            spelled = "\n".join(t.decode("latin-1").translate(_BYTE_CHARACTERS) for t in raw)
+            self._token_ids(odd[a:b], spelled, map(len, raw))
+        for word, own in cut_up:
+            if len(own) != 1:
+                self.young[word] = b"".join([self.young[t] for t in own])
+        for word in others:
+            ids = self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids
+            self.young[word] = np.array(ids, "<u4").tobytes()
+
+    def _token_ids(self, tokens: list[str], spelled: str, sizes) -> None:
+        """Learn ``tokens``, given by the characters for their bytes, one to a line, and their numbers of bytes."""
+        ids = np.array(self.of_tokens.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
         ends = np.cumsum(self.token_bytes[ids])
-        stops = np.searchsorted(ends, np.cumsum([len(w.encode()) for w in words]), side="right")
-        data, stops = ids.tobytes(), (4 * stops).tolist()
-        for word, start, stop in zip(words, [0, *stops], stops):
-            self.young[word] = data[start:stop]
+        stops = (4 * np.searchsorted(ends, np.cumsum(list(sizes)), side="right")).tolist()
+        data = ids.tobytes()
+        self.young.update(zip(tokens, [data[a:b] for a, b in zip([0, *stops], stops)]))
 
 
 def _slices(text: str) -> Iterator[str]:

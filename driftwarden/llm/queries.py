@@ -7,6 +7,7 @@ import public_tokenizers
 from driftwarden.llm import (decontamination, divergence, embeddings, jaccard, language, lm, mixing, packing, repeats,
                              secret_scan, sharding, urls, vafile)
 from driftwarden.llm.common import read
+from driftwarden.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_embedding_neardup(spark, sf_dir):
@@ -67,4 +68,3 @@ QUERIES = {f.__name__: f for f in (
     op1_embedding_neardup, op2_lm_scoring, op3_secret_scan, op4_sharding, op5_decontamination, op6_jaccard_join,
     op7_url_filter, op8_source_mix, op9_language_id, op10_repeated_bytes, op11_source_divergence,
     op12_centroid_clustering, op13_best_fit_packing)}
-ORACLES: dict[str, str] = {}
