@@ -26,7 +26,9 @@ from driftwarden.runtime import cut
 
 SKETCH_BITS = 20
 SIGNATURE_WORDS = 8
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_000_000
+#: Bytes of text whose prefix shingles share a bucket, on average.
+BUCKET_BYTES = 8_000_000
 _PRIMES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 _INVERSE = pow(_PRIMES[3], -1, 1 << 64)
 
@@ -132,9 +134,12 @@ def nodes_of(docs: DataFrame, width: int) -> DataFrame:
             a, b = set_keys(sizes, hashes)
             node = [f"{x:016x}{y:016x}" if n else None for x, y, n in zip(a.tolist(), b.tolist(), sizes.tolist())]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "text_key": frame["text_key"], "n_shingles": sizes,
-                                "node": node})
+                                "node": pd.Series(node, frame.index, dtype=object)})
 
-    return docs.mapInPandas(keys, "doc_id long, text_key long, n_shingles long, node string")
+    # ids as text: a null among them would turn the others into floating point
+    named = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
+    return named.mapInPandas(keys, "doc_id string, text_key long, n_shingles long, node string").withColumn(
+        "doc_id", F.col("doc_id").cast("long"))
 
 
 def sketch(docs: DataFrame, width: int) -> np.ndarray:
@@ -219,7 +224,7 @@ def shared_postings(postings: DataFrame) -> DataFrame:
 
     def merge(frame):
         gram, a, b, n, place = _gather(frame)
-        node = [f"{x:016x}{y:016x}" for x, y in zip(a.tolist(), b.tolist())]
+        node = pd.Series([f"{x:016x}{y:016x}" for x, y in zip(a.tolist(), b.tolist())], dtype=object)
         return pd.DataFrame({"gram": gram.view(np.int64), "node": node, "n": n, "place": place})
 
     return postings.groupBy("bucket").applyInPandas(merge, "gram long, node string, n int, place int")
@@ -413,7 +418,8 @@ def _placed(docs: DataFrame, width: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     nodes = cut(nodes_of(docs.withColumn("text_key", F.xxhash64("text")), width), "jaccard-nodes")
-    postings = prefix_postings(docs, width, percent, 4 * partitions(spark))
+    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    postings = prefix_postings(docs, width, percent, max(4 * partitions(spark), -(-held // BUCKET_BYTES)))
     shared = cut(shared_postings(postings), "jaccard-shared")
     members = shared.select("node").distinct()
     wanted = nodes.groupBy("node").agg(F.min("text_key").alias("text_key")).join(members, "node", "left_semi")

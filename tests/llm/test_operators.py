@@ -403,3 +403,26 @@ def test_column_wise_order_is_the_sorted_one():
 
 def test_repeats_of_nothing(spark):
     assert repeats.remove_repeats(h.documents(spark, [])).count() == 0
+
+
+# ids and buckets
+def test_large_ids_stay_exact_beside_a_null_id(spark):
+    ids = [2 ** 60 + 1, None, 2 ** 60 + 3]
+    docs = h.documents(spark, [(i, f"{i} tells nobody anything", "en", "s", 1, 0, "", "") for i in ids]).coalesce(1)
+    for found in (jaccard.jaccard_components(docs), secret_scan.scan_documents(docs)):
+        assert {r["doc_id"] for r in found.collect()} == set(ids)
+
+
+@pytest.mark.parametrize("buckets", [1, 211, 2000])
+def test_buckets_without_shared_shingles(spark, buckets):
+    docs = h.documents(spark, h.awkward_documents()[:40])
+    shared = jaccard.shared_postings(jaccard.prefix_postings(docs, 4, 85, buckets))
+    want = jaccard.shared_postings(jaccard.prefix_postings(docs, 4, 85, 7))
+    assert h.ordered(shared.collect()) == h.ordered(want.collect())
+
+
+@pytest.mark.parametrize("rows", [1, 2, 40])
+def test_jaccard_join_of_few_documents(spark, rows):
+    some = h.awkward_documents()[:rows]
+    got = jaccard.jaccard_components(h.documents(spark, some)).collect()
+    assert h.ordered(got) == h.ordered(h.brute_jaccard([(r[0], r[1]) for r in some]))
