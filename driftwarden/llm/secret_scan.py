@@ -215,5 +215,7 @@ def scan_documents(docs: DataFrame, threshold: float = 1.0) -> DataFrame:
                             ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in both)))
             yield pd.DataFrame(out, columns=["doc_id", "n_assign", "n_access", "n_hex", "n_format", "base_sha256", "spans"])
 
-    return docs.select("doc_id", "text").mapInPandas(
-        scan, "doc_id long, n_assign long, n_access long, n_hex long, n_format long, base_sha256 string, spans string")
+    # ids as text: a null among them would turn the others into floating point
+    found = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(
+        scan, "doc_id string, n_assign long, n_access long, n_hex long, n_format long, base_sha256 string, spans string")
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
