@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 from collections.abc import Sequence
+from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -13,7 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwarden.functions.hashing import DENOMINATOR, hash_key, uniform
-from driftwarden.operators.blocks import apply_model, by_group, typed
+from driftwarden.operators import blocks
+from driftwarden.operators.blocks import apply_model, by_group, by_size, typed
 from driftwarden.operators.dense import matrix, row_pieces
 from driftwarden.operators.features import unpack_vectors
 from driftwarden.operators.ranking import group_percentile, with_position
@@ -149,20 +152,21 @@ def grow_forest(vectors: DataFrame, group: Sequence[str], id_col: str, trees: in
 def _path_lengths(rows: pd.DataFrame, forest: pd.DataFrame) -> np.ndarray:
     """Mean path length of every row over the trees."""
     index = pd.Index(forest["term"].dropna().unique())
-    return np.concatenate([_piece_lengths(matrix(part["terms"], part["vals"], index), index, forest)
-                           for part in row_pieces(rows, len(index))])
-
-
-def _piece_lengths(x: np.ndarray, index: pd.Index, forest: pd.DataFrame) -> np.ndarray:
-    total = np.zeros(len(x))
-    n_trees = 0
+    trees = []
     for _, tree in forest.groupby("tree"):
-        n_trees += 1
-        size = int(tree["node"].max()) + 1
+        size, node = int(tree["node"].max()) + 1, tree["node"].to_numpy()
         column, split, path = np.full(size, -1), np.zeros(size), np.zeros(size)
-        node = tree["node"].to_numpy()
         column[node] = index.get_indexer(tree["term"])
         split[node], path[node] = tree["split"], tree["path"]
+        trees.append((column, split, path))
+    return np.concatenate([_walk(matrix(part["terms"], part["vals"], index), trees, [len(trees)])[len(trees)]
+                           for part in row_pieces(rows, len(index))])
+
+
+def _walk(x: np.ndarray, trees: list[tuple], counts: Sequence[int]) -> dict[int, np.ndarray]:
+    """Mean path length of every row over the first ``count`` trees, for each of the counts."""
+    total, means = np.zeros(len(x)), {}
+    for number, (column, split, path) in enumerate(trees, 1):
         at = np.zeros(len(x), dtype=int)
         moving = np.flatnonzero(column[at] >= 0)
         while len(moving):
@@ -171,7 +175,58 @@ def _piece_lengths(x: np.ndarray, index: pd.Index, forest: pd.DataFrame) -> np.n
             at[moving] = 2 * here + 1 + right
             moving = moving[column[at[moving]] >= 0]
         total += path[at]
-    return total / n_trees
+        if number in counts:
+            means[number] = total / number
+    return means
+
+
+def _lowest(parts: Sequence, ids: Sequence, n: int) -> list[int]:
+    """Places of the ``n`` ids of lowest md5, ties by id."""
+    head = "|".join(str(p) for p in parts if p is not None)
+    hashed = ((hashlib.md5(f"{head}|{i}".encode()).hexdigest(), i, at) for at, i in enumerate(ids))
+    return [at for _, _, at in heapq.nsmallest(n, hashed)]
+
+
+def group_forest(key: tuple, rows: pd.DataFrame, id_col: str, settings: Sequence[tuple]) -> dict[tuple, np.ndarray]:
+    """{(trees, samples, features, bootstrap): score of every row}, all rows of a small group at hand.
+
+    Settings that differ in their number of trees share one forest. Rows and terms are drawn by the same hashes as in
+    groups that no task holds.
+    """
+    fitted = rows[rows["is_fit"]].sort_values(id_col)
+    ids = fitted[id_col].tolist()
+    terms = sorted(set().union(*fitted["terms"])) if len(fitted) else []
+    key = tuple(k for k in key if k is not None)
+    scores = {}
+    for draw in sorted({s[1:] for s in settings}):
+        samples, features, bootstrap = draw
+        counts = [s[0] for s in settings if s[1:] == draw]
+        size, trees, named = min(samples, len(ids)), [], []
+        for tree in range(max(counts) if size else 0):
+            if bootstrap:
+                chosen = [int(math.floor(_uniform(*key, tree, "draw", i) * len(ids))) for i in range(size)]
+            else:
+                chosen = _lowest((*key, tree, "row"), ids, size)
+            names = [terms[i] for i in _lowest((*key, tree, "term"), terms, features)]
+            part = fitted.iloc[chosen]
+            nodes = _grow_tree(matrix(part["terms"], part["vals"], pd.Index(names)), (*key, tree),
+                               math.ceil(math.log2(max(size, 2))))
+            last = max(n[0] for n in nodes) + 1
+            column, split, path = np.full(last, -1), np.zeros(last), np.zeros(last)
+            for node, at, value, length in nodes:
+                column[node], split[node], path[node] = at, value, length
+            trees.append((column, split, path))
+            named.append(names)
+        index = pd.Index(sorted({names[c] for (column, _, _), names in zip(trees, named) for c in column if c >= 0}))
+        for (column, _, _), names in zip(trees, named):
+            inner = column >= 0
+            column[inner] = index.get_indexer([names[c] for c in column[inner]])
+        norm = average_path(size) or 1.0
+        pieces = [_walk(matrix(part["terms"], part["vals"], index), trees, counts) for part in row_pieces(rows, len(index))]
+        for count in set(counts):
+            paths = np.concatenate([p.get(count, np.zeros(0)) for p in pieces]) if trees else np.zeros(len(rows))
+            scores[count, *draw] = np.round(2.0 ** (-paths / norm), DIGITS)
+    return scores
 
 
 def forest_scores(vectors: DataFrame, forest: DataFrame, group: Sequence[str], id_col: str,
@@ -200,9 +255,25 @@ def flag_above(scores: DataFrame, group: Sequence[str], id_col: str, contaminati
 def detect_iforest(vectors: DataFrame, group: Sequence[str] = ("entity",), id_col: str = "seg", trees: int = TREES,
                    samples: int = SAMPLES, features: int = FEATURES, contamination: float = CONTAMINATION,
                    bootstrap: bool = False, largest: int | None = None) -> DataFrame:
-    """(group, id, score, flag)."""
+    """(group, id, score, flag).
+
+    Trees of a group that a task takes are grown and walked where its rows are; only bigger groups ship samples.
+    """
     keys = list(group)
     largest = largest_group(vectors, keys) if largest is None else largest
-    forest = grow_forest(vectors, keys, id_col, trees, samples, features, largest, bootstrap)
-    scores = cut(forest_scores(vectors, forest, keys, id_col, largest), "forest_scores")
+    columns = [*keys, id_col, "is_fit", "is_scored"]
+    setting = (trees, samples, features, bootstrap)
+
+    def whole(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
+        return rows[columns].assign(score=group_forest(key, rows, id_col, [setting])[setting])
+
+    small, large = by_size(vectors, keys, blocks.SCORE_ROWS, largest)
+    parts = []
+    if small is not None:
+        used = small.select(*columns, "terms", "vals")
+        parts.append(by_group(used, keys).applyInPandas(whole, typed(vectors, columns) + ", score double"))
+    if large is not None:
+        forest = grow_forest(large, keys, id_col, trees, samples, features, largest, bootstrap)
+        parts.append(forest_scores(large, forest, keys, id_col, largest))
+    scores = cut(reduce(DataFrame.unionByName, parts), "forest_scores")
     return flag_above(scores, keys, id_col, contamination, largest)

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from driftwarden.operators.skew import block_of, fresh
+from driftwarden.operators.skew import block_of, fresh, join_scalars
 
 # Rows scored together in one task, and the group size up to which a group is one block.
 SCORE_ROWS = 8_192
@@ -23,6 +23,17 @@ def by_group(df: DataFrame, keys: Sequence[str]) -> GroupedData:
     return df.repartition(partitions, *keys).groupBy(*keys)
 
 
+def by_size(rows: DataFrame, keys: Sequence[str], limit: int, largest: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """(rows of groups of at most ``limit`` rows, rows of bigger ones); None where the bound ``largest`` rules them out."""
+    if largest <= limit:
+        return rows, None
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    spread = [c for c in rows.columns if c not in keys][:1]
+    counted = join_scalars(rows, sizes, keys, spread)
+    return (counted.filter(F.col("_rows") <= limit).drop("_rows").select(*rows.columns),
+            counted.filter(F.col("_rows") > limit).drop("_rows").select(*rows.columns))
+
+
 def apply_model(rows: DataFrame, model: DataFrame, group: Sequence[str], id_col: str,
                 score: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str,
                 largest: int | None = None) -> DataFrame:

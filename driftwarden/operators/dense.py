@@ -35,7 +35,7 @@ def row_pieces(rows: pd.DataFrame, width: int) -> Iterator[pd.DataFrame]:
         yield rows.iloc[start:start + step]
 
 
-def _dots(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
+def dot_products(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
     """All dot products, summed over pieces of the shared vocabulary."""
     out = np.zeros((len(a), len(b)))
     both = [np.concatenate(list(x["terms"])) if x["terms"].map(len).any() else np.zeros(0, object) for x in (a, b)]
@@ -56,4 +56,4 @@ def _dots(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
 def squared_distances(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
     """Squared Euclidean distances between the packed rows of two frames."""
     norm = [np.array([float(np.dot(v, v)) for v in x["vals"]]) for x in (a, b)]
-    return np.maximum(norm[0][:, None] + norm[1][None, :] - 2.0 * _dots(a, b), 0.0)
+    return np.maximum(norm[0][:, None] + norm[1][None, :] - 2.0 * dot_products(a, b), 0.0)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 
+from driftwarden.detectors.ocsvm import NU
 from driftwarden.plans.queries import (
-    FOREST, LOF_CANDIDATES, LONG_TEXT, NEIGHBOURS, SPLIT_SEED, THRESHOLDS)
+    DRAWN, FOREST, LONG_TEXT, NEIGHBOURS, SEARCH_FOREST, SEARCH_NEIGHBOURS, SEARCH_SUPPORT, SPLIT_SEED, THRESHOLDS)
+from driftwarden.plans.search import PARAMETERS
+from driftwarden.plans.spaces import SEED
 from driftwarden.plans.workloads import GENUINE, LINE_ORDER, RETURNED, SEGMENT_LENGTH
 
 LINES = f"""
@@ -33,8 +37,9 @@ r AS MATERIALIZED (SELECT DISTINCT entity, 0 AS cv, seg AS id, true AS is_fit, s
 
 # TF-IDF over the test segments, each once per fold: scored in its own fold, fitted in the others.
 RUNS = LINES + f""",
+known AS (SELECT s_suppkey AS entity FROM supplier WHERE s_acctbal > 4500),
 cnt AS MATERIALIZED (
-  SELECT entity, seg, token AS term, count(*) AS tf FROM tok WHERE seg >= {GENUINE} GROUP BY 1, 2, 3),
+  SELECT entity, seg, token AS term, count(*) AS tf FROM tok SEMI JOIN known USING (entity) WHERE seg >= {GENUINE} GROUP BY 1, 2, 3),
 ndoc AS (SELECT entity, count(*) AS n FROM lab WHERE seg >= {GENUINE} GROUP BY 1),
 idf AS (SELECT entity, term, ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1 AS idf
         FROM (SELECT entity, term, count(*) AS df FROM cnt GROUP BY 1, 2) JOIN ndoc USING (entity)),
@@ -43,7 +48,7 @@ feat AS MATERIALIZED (SELECT entity, seg, term, w / sqrt(sum(w * w) OVER (PARTIT
 fold AS MATERIALIZED (
   SELECT entity, seg, label, (row_number() OVER (PARTITION BY entity, label
          ORDER BY md5('{SPLIT_SEED}|fold|' || seg), seg) - 1) % 3 AS fold
-  FROM lab WHERE seg >= {GENUINE}),
+  FROM lab SEMI JOIN known USING (entity) WHERE seg >= {GENUINE}),
 runs AS MATERIALIZED (SELECT entity, seg, label, fold, cv FROM fold, (SELECT unnest([0, 1, 2]) AS cv)),
 v AS MATERIALIZED (SELECT entity, cv, seg AS id, term, value FROM feat JOIN runs USING (entity, seg)),
 r AS MATERIALIZED (SELECT entity, cv, seg AS id, fold <> cv AS is_fit, fold = cv AS is_scored FROM runs)"""
@@ -176,30 +181,65 @@ f_flag AS MATERIALIZED (
 FORESTS = forest(**FOREST)
 
 
-def envelope_2d(steps: int) -> str:
-    """Two columns, so the covariance matrix is inverted in closed form."""
-    sql = LINES + f""",
+# The chi-square quantiles of two terms at 0.5 and 0.975, -2 ln(1 - share).
+KEPT_RATIO = f"({-2 * math.log(0.025)!r}::DOUBLE / {-2 * math.log(0.5)!r}::DOUBLE)"
+
+COLUMNS = f""",
 q AS (SELECT entity, CAST(pos // {SEGMENT_LENGTH} AS INTEGER) AS seg, sum(l_quantity) AS qty, avg(l_discount) AS disc
       FROM lines GROUP BY 1, 2),
-z AS MATERIALIZED (SELECT entity, seg,
+z AS MATERIALIZED (SELECT entity, seg AS id,
   round((qty - avg(qty) OVER e) / stddev_pop(qty) OVER e, 6) AS y,
-  round((disc - avg(disc) OVER e) / stddev_pop(disc) OVER e, 6) AS x FROM q WINDOW e AS (PARTITION BY entity)),
-med AS (SELECT entity, quantile_cont(x, 0.5) AS mx, quantile_cont(y, 0.5) AS my, count(*) AS n FROM z GROUP BY 1),
-d0 AS MATERIALIZED (SELECT entity, seg, x, y, n,
-  round(greatest((x * x + y * y) - 2 * (x * mx + y * my) + (mx * mx + my * my), 0), 6) AS d FROM z JOIN med USING (entity))"""
+  round((disc - avg(disc) OVER e) / stddev_pop(disc) OVER e, 6) AS x FROM q WINDOW e AS (PARTITION BY entity))"""
+
+
+def _envelopes(steps: int = 14) -> str:
+    """Distances of every row under every setting of ``e_set`` (s, share, centered), rows ``e_r`` (entity, cv, id, is_fit).
+
+    Two columns, so the covariance matrix is inverted in closed form; a support that no longer changes gives the same
+    distances again, so a few steps more than needed are harmless.
+    """
+    def fit(source: str, name: str, to: str) -> str:
+        return f""",
+m{name} AS (SELECT s, entity, cv, avg(x) * any_value(1 - centered) AS mx, avg(y) * any_value(1 - centered) AS my,
+  avg(x * x) - avg(x) * avg(x) * any_value(1 - centered) AS xx, avg(y * y) - avg(y) * avg(y) * any_value(1 - centered) AS yy,
+  avg(x * y) - avg(x) * avg(y) * any_value(1 - centered) AS xy FROM {source} GROUP BY 1, 2, 3),
+{to} AS MATERIALIZED (SELECT s, share, centered, entity, cv, id, is_fit, x, y, n, round(greatest(
+  (yy * (x - mx) * (x - mx) - 2 * xy * (x - mx) * (y - my) + xx * (y - my) * (y - my)) / (xx * yy - xy * xy), 0), 6) AS d
+  FROM d0 JOIN m{name} USING (s, entity, cv))"""
+
+    sql = """,
+e_z AS MATERIALIZED (SELECT entity, cv, id, is_fit, x, y FROM e_r JOIN z USING (entity, id)),
+e_med AS (SELECT entity, cv, quantile_cont(x, 0.5) AS mx, quantile_cont(y, 0.5) AS my, count(*) AS n FROM e_z WHERE is_fit GROUP BY 1, 2),
+d0 AS MATERIALIZED (SELECT s, share, centered, entity, cv, id, is_fit, x, y, n,
+  round(greatest((x * x + y * y) - 2 * (x * mx + y * my) + (mx * mx + my * my), 0), 6) AS d
+  FROM e_z JOIN e_med USING (entity, cv), e_set)"""
     for step in range(1, steps + 1):
         sql += f""",
-s{step} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY d, seg) AS rn FROM d{step - 1})
-  WHERE rn <= floor(0.5 * n)),
-m{step} AS (SELECT entity, avg(x) AS mx, avg(y) AS my, avg(x * x) - avg(x) * avg(x) AS xx,
-  avg(y * y) - avg(y) * avg(y) AS yy, avg(x * y) - avg(x) * avg(y) AS xy FROM s{step} GROUP BY 1),
-d{step} AS MATERIALIZED (SELECT entity, seg, x, y, n, round(greatest(
-  (yy * (x - mx) * (x - mx) - 2 * xy * (x - mx) * (y - my) + xx * (y - my) * (y - my)) / (xx * yy - xy * xy), 0), 6) AS d
-  FROM d{step - 1} JOIN m{step} USING (entity))"""
-    return f"""WITH {sql},
-off AS (SELECT entity, quantile_cont(-d, 0.1) AS off FROM d{steps} GROUP BY 1)
-SELECT entity, seg, d AS score, CAST(-d < off AS INTEGER) AS flag
-FROM d{steps} JOIN off USING (entity) WHERE seg >= {GENUINE}"""
+s{step} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY s, entity, cv ORDER BY d, id) AS rn
+  FROM d{step - 1} WHERE is_fit) WHERE rn <= floor(share * n))"""
+        sql += fit(f"s{step}", str(step), f"d{step}")
+    sql += f""",
+e_lim AS (SELECT s, entity, cv, quantile_cont(d, 0.5) * {KEPT_RATIO} AS upto FROM d{steps} WHERE is_fit GROUP BY 1, 2, 3),
+e_kept AS (SELECT * FROM d{steps} JOIN e_lim USING (s, entity, cv) WHERE is_fit AND d <= upto)"""
+    return sql + fit("e_kept", "_last", "e_d")
+
+
+ENVELOPE = COLUMNS + f""",
+e_set AS (SELECT 0 AS s, 0.5::DOUBLE AS share, 0 AS centered),
+e_r AS (SELECT entity, 0 AS cv, id, true AS is_fit FROM z){_envelopes()},
+e_off AS (SELECT entity, quantile_cont(-d, 0.1) AS off FROM e_d GROUP BY 1),
+e_flag AS MATERIALIZED (SELECT entity, id AS seg, d AS score, CAST(-d < off AS INTEGER) AS flag
+  FROM e_d JOIN e_off USING (entity) WHERE id >= {GENUINE})"""
+
+OCSVM = f""",
+o_g AS (SELECT entity, i, any_value(i_scored) AS i_scored, sum(exp(-0.4::DOUBLE * square)) AS g FROM pairs GROUP BY 1, 2),
+o_s AS (SELECT entity, i, i_scored, max(g) OVER (PARTITION BY entity) - g AS s FROM o_g),
+o_flag AS MATERIALIZED (SELECT entity, i AS seg, s AS score, CAST(s > 1e-5 AS INTEGER) AS flag FROM o_s WHERE i_scored)"""
+
+FIVE = f"""{LOF}{FORESTS}{OCSVM}{ENVELOPE},
+five AS MATERIALIZED ({' UNION ALL '.join(f"SELECT '{n}' AS detector, entity, seg, flag FROM {t}_flag" for n, t in (
+    ('centroid', 'c'), ('lof', 'l'), ('iforest', 'f'), ('ocsvm', 'o'), ('envelope', 'e')))}),
+votes AS (SELECT entity, seg, CAST(sum(flag) AS INTEGER) AS votes, CAST(sum(flag) > 2 AS INTEGER) AS flag FROM five GROUP BY 1, 2)"""
 
 
 def _grade(source: str) -> str:
@@ -214,20 +254,143 @@ FROM (SELECT detector, entity, cv, candidate,
       FROM ({source}) GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3"""
 
 
+def _drawn(space: dict[str, list]) -> list[dict]:
+    """Combinations drawn as the search draws them: lowest md5 first, the last parameter running fastest."""
+    size = math.prod(len(v) for v in space.values())
+    lowest = sorted((hashlib.md5(f"{SEED}|candidate|{i}".encode()).hexdigest(), i) for i in range(size))[:DRAWN]
+    found = []
+    for _, rest in lowest:
+        row = {}
+        for name, options in reversed(space.items()):
+            rest, at = divmod(rest, len(options))
+            row[name] = options[at]
+        found.append(row)
+    return found
+
+
+def _line(start: float, stop: float, num: int, whole: bool = False) -> list:
+    step = (float(stop) - float(start)) / (num - 1)
+    values = [float(stop) if i == num - 1 else i * step + float(start) for i in range(num)]
+    return [int(v) for v in values] if whole else values
+
+
+SHARES = _line(0.001, 0.5, 25)
+CANDIDATES = {
+    "centroid": _drawn({"threshold": _line(*THRESHOLDS)}),
+    "lof": _drawn({"n_neighbors": _line(*SEARCH_NEIGHBOURS, True), "leaf_size": [0] * 25, "algorithm": [0],
+                   "contamination": SHARES, "metric": [0]}),
+    "iforest": _drawn({"n_estimators": _line(*SEARCH_FOREST["trees"], True), "max_features": _line(*SEARCH_FOREST["features"], True),
+                       "max_samples": _line(*SEARCH_FOREST["samples"], True), "contamination": SHARES, "bootstrap": [True, False]}),
+    "envelope": _drawn({"contamination": SHARES, "support_fraction": _line(*SEARCH_SUPPORT), "assume_centered": [True, False]}),
+}
+
+
+def _values(rows: list[tuple]) -> str:
+    def text(v) -> str:
+        return "NULL::DOUBLE" if v is None else f"{v!r}::DOUBLE" if isinstance(v, float) else f"'{v}'" if isinstance(v, str) else str(int(v))
+
+    return "(VALUES " + ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows) + ")"
+
+
+def _beyond(name: str, source: str) -> str:
+    """``{name}_pred``: rows scored beyond the share of the fitted rows' scores, from (candidate, share, entity, cv, id, score, is_fit)."""
+    return f""",
+{name}_p AS MATERIALIZED (SELECT candidate, share, entity, cv, -score AS v, (count(*) OVER w - 1) * share AS spot,
+  row_number() OVER (PARTITION BY candidate, entity, cv ORDER BY -score) - 1 AS pos
+  FROM ({source}) WHERE is_fit WINDOW w AS (PARTITION BY candidate, entity, cv)),
+{name}_o AS (SELECT candidate, entity, cv, any_value(spot) - floor(any_value(spot)) AS t,
+  max(CASE WHEN pos = floor(spot) THEN v END) AS lo, max(CASE WHEN pos = ceil(spot) THEN v END) AS hi FROM {name}_p GROUP BY 1, 2, 3),
+{name}_pred AS MATERIALIZED (SELECT candidate, entity, cv, id, CAST(-score < lo + (hi - lo) * t AS INTEGER) AS pred
+  FROM ({source}) JOIN {name}_o USING (candidate, entity, cv) WHERE NOT is_fit)"""
+
+
+def _forest_search() -> str:
+    """Forests of every setting over the runs, level by level; candidates take the first trees of their setting's forest."""
+    found = CANDIDATES["iforest"]
+    settings = sorted({(c["max_samples"], c["max_features"], c["bootstrap"]) for c in found})
+    trees = [max(c["n_estimators"] for c in found if (c["max_samples"], c["max_features"], c["bootstrap"]) == s) for s in settings]
+    rows = [(i, t, *s) for i, (s, t) in enumerate(zip(settings, trees))]
+    tried = [(i, settings.index((c["max_samples"], c["max_features"], c["bootstrap"])), c["n_estimators"], c["contamination"])
+             for i, c in enumerate(found)]
+    depth = max(math.ceil(math.log2(max(s[0], 2))) for s in settings)
+    keys, joined = "entity, cv, s, tree", "USING (entity, cv, s, tree)"
+    sql = f""",
+h_set AS MATERIALIZED (SELECT * FROM {_values(rows)} AS t(s, trees, samples, features, boot)),
+h_t AS MATERIALIZED (SELECT s, samples, features, boot, unnest(range(trees)) AS tree FROM h_set),
+h_fit AS MATERIALIZED (SELECT entity, cv, id, row_number() OVER (PARTITION BY entity, cv ORDER BY id) - 1 AS pos FROM r WHERE is_fit),
+h_n AS MATERIALIZED (SELECT entity, cv, s, least(samples, count(*)) AS size, count(*) AS n,
+  ceil(log2(greatest(least(samples, count(*)), 2))) AS deepest FROM h_fit, h_set GROUP BY entity, cv, s, samples),
+h_s AS MATERIALIZED (SELECT {keys}, rn AS draw, id FROM (
+    SELECT {keys}, id, samples, row_number() OVER (PARTITION BY {keys}
+           ORDER BY md5(concat_ws('|', entity, cv, tree, 'row', id)), id) AS rn FROM h_fit, h_t WHERE boot = 0) WHERE rn <= samples
+  UNION ALL SELECT {keys}, draw, id FROM (
+    SELECT entity, cv, s, tree, draw, floor(({_uniform("entity", "cv", "tree", "'draw'", "draw")}) * n) AS pos
+    FROM (SELECT entity, cv, s, n, unnest(range(size)) AS draw FROM h_n) JOIN h_t USING (s) WHERE boot = 1)
+  JOIN h_fit USING (entity, cv, pos)),
+h_f AS MATERIALIZED (SELECT {keys}, term, rn FROM (
+  SELECT {keys}, term, features, row_number() OVER (PARTITION BY {keys}
+         ORDER BY md5(concat_ws('|', entity, cv, tree, 'term', term)), term) AS rn
+  FROM (SELECT DISTINCT entity, cv, term FROM v JOIN r USING (entity, cv, id) WHERE is_fit), h_t) WHERE rn <= features),
+h_x AS MATERIALIZED (SELECT {keys}, draw, term, rn, coalesce(value, 0.0::DOUBLE) AS x
+  FROM h_s JOIN h_f {joined} LEFT JOIN v USING (entity, cv, id, term)),
+h_n0 AS MATERIALIZED (SELECT {keys}, draw, 0 AS node FROM h_s),
+h_a0 AS MATERIALIZED (SELECT {keys}, id, 0 AS node FROM r, h_t)"""
+    leaves = []
+    for level in range(depth + 1):
+        sql += f""",
+h_c{level} AS MATERIALIZED (SELECT {keys}, node, count(*) AS n FROM h_n{level} GROUP BY ALL)"""
+        if level == depth:
+            leaves.append(f"SELECT {keys}, node, {level} + ({_average_path('n')}) AS path FROM h_c{level}")
+            break
+        pick, split = (_uniform("entity", "cv", "tree", "node", f"'{w}'") for w in ("feature", "split"))
+        sql += f""",
+h_u{level} AS (SELECT {keys}, node, term, rn, min(x) AS lo, max(x) AS hi FROM h_n{level} JOIN h_x USING ({keys}, draw)
+  JOIN h_n USING (entity, cv, s) WHERE {level} < deepest GROUP BY {keys}, node, term, rn HAVING min(x) < max(x)),
+h_o{level} AS (SELECT *, row_number() OVER (PARTITION BY {keys}, node ORDER BY rn) - 1 AS place,
+  count(*) OVER (PARTITION BY {keys}, node) AS usable FROM h_u{level}),
+h_p{level} AS MATERIALIZED (SELECT {keys}, node, term, lo + ({split}) * (hi - lo) AS split
+  FROM h_o{level} WHERE place = floor(({pick}) * usable)),
+h_n{level + 1} AS MATERIALIZED (SELECT {keys}, draw, CASE WHEN x <= split THEN 2 * node + 1 ELSE 2 * node + 2 END AS node
+  FROM h_n{level} JOIN h_p{level} USING ({keys}, node) JOIN h_x USING ({keys}, draw, term)),
+h_a{level + 1} AS MATERIALIZED (SELECT a.entity, a.cv, a.s, a.tree, a.id,
+  CASE WHEN p.split IS NULL THEN a.node WHEN coalesce(v.value, 0) <= p.split THEN 2 * a.node + 1 ELSE 2 * a.node + 2 END AS node
+  FROM h_a{level} a LEFT JOIN h_p{level} p USING ({keys}, node)
+  LEFT JOIN v ON v.entity = a.entity AND v.cv = a.cv AND v.id = a.id AND v.term = p.term)"""
+        leaves.append(f"SELECT {keys}, node, {level} + ({_average_path('n')}) AS path FROM h_c{level} ANTI JOIN h_p{level} USING ({keys}, node)")
+    sql += f""",
+h_l AS MATERIALIZED ({' UNION ALL '.join(leaves)}),
+h_cand AS (SELECT * FROM {_values(tried)} AS t(candidate, s, counted, share)),
+h_score AS MATERIALIZED (SELECT candidate, any_value(share) AS share, entity, cv, id,
+  round(pow(2.0::DOUBLE, -avg(path) / CASE WHEN any_value(size) <= 1 THEN 1 ELSE any_value({_average_path('size')}) END), 9) AS score
+  FROM h_a{depth} JOIN h_l USING ({keys}, node) JOIN h_n USING (entity, cv, s) JOIN h_cand USING (s) WHERE tree < counted
+  GROUP BY candidate, entity, cv, id)"""
+    return sql + _beyond("h", "SELECT * FROM h_score JOIN r USING (entity, cv, id)")
+
+
 def _search() -> str:
     sql = RUNS + CENTROID + PAIRS
-    parts = [f"""SELECT 'centroid' AS detector, c.entity, c.cv, candidate, label, CAST(ratio > threshold AS INTEGER) AS pred
-FROM c_r c JOIN lab ON lab.entity = c.entity AND lab.seg = c.id,
-(VALUES {', '.join(f'({i}, {t}::DOUBLE)' for i, t in enumerate(THRESHOLDS))}) AS tried(candidate, threshold)"""]
-    for k in sorted({k for k, _ in LOF_CANDIDATES}):
+    thresholds = _values([(i, c["threshold"]) for i, c in enumerate(CANDIDATES["centroid"])])
+    parts = [f"""SELECT 'centroid' AS detector, entity, cv, candidate, id, CAST(ratio > threshold AS INTEGER) AS pred
+FROM c_r, {thresholds} AS tried(candidate, threshold)"""]
+    near = CANDIDATES["lof"]
+    for k in sorted({c["n_neighbors"] for c in near}):
         sql += lof(k, f"l{k}")
-        for i, (kk, share) in enumerate(LOF_CANDIDATES):
-            if kk == k:
-                parts.append(f"""SELECT 'lof' AS detector, f.entity, f.cv, {i} AS candidate, label,
-CAST(-factor < off AS INTEGER) AS pred FROM l{k}_new f JOIN lab ON lab.entity = f.entity AND lab.seg = f.i
-JOIN (SELECT entity, cv, quantile_cont(CAST(-factor AS DOUBLE), {share}) AS off FROM l{k}_fit GROUP BY 1, 2) o
-ON o.entity = f.entity AND o.cv = f.cv""")
-    return f"WITH {sql},\nscores AS MATERIALIZED ({_grade(' UNION ALL '.join(parts))})"
+        mine = _values([(i, c["contamination"]) for i, c in enumerate(near) if c["n_neighbors"] == k])
+        sql += _beyond(f"b{k}", f"""SELECT candidate, share, entity, cv, i AS id, factor AS score, is_fit
+  FROM (SELECT *, true AS is_fit FROM l{k}_fit UNION ALL SELECT *, false FROM l{k}_new), {mine} AS t(candidate, share)""")
+        parts.append(f"SELECT 'lof' AS detector, entity, cv, candidate, id, pred FROM b{k}_pred")
+    sql += _forest_search()
+    parts.append("SELECT 'iforest' AS detector, entity, cv, candidate, id, pred FROM h_pred")
+    found = CANDIDATES["envelope"]
+    settings = sorted({(c["support_fraction"], c["assume_centered"]) for c in found})
+    tried = _values([(i, settings.index((c["support_fraction"], c["assume_centered"])), c["contamination"]) for i, c in enumerate(found)])
+    sql += COLUMNS + f""",
+e_set AS (SELECT * FROM {_values([(i, *s) for i, s in enumerate(settings)])} AS t(s, share, centered)),
+e_r AS (SELECT entity, cv, id, is_fit FROM r){_envelopes()}"""
+    sql += _beyond("e", f"""SELECT candidate, t.share, entity, cv, id, d AS score, is_fit FROM e_d JOIN {tried} AS t(candidate, s, share) USING (s)""")
+    parts.append("SELECT 'envelope' AS detector, entity, cv, candidate, id, pred FROM e_pred")
+    judged = f"SELECT p.*, label FROM ({' UNION ALL '.join(parts)}) p JOIN lab ON lab.entity = p.entity AND lab.seg = p.id"
+    return f"WITH {sql},\nscores AS MATERIALIZED ({_grade(judged)})"
 
 
 SEARCH = _search()
@@ -235,9 +398,30 @@ BEST = SEARCH + """,
 best AS MATERIALIZED (SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY detector, entity ORDER BY round(score, 9) DESC, candidate) AS rn FROM scores)
   WHERE rn = 1)"""
-CANDIDATE_ROWS = ", ".join(
-    [f"('centroid', {i}, {t}::DOUBLE, NULL::DOUBLE, NULL::DOUBLE)" for i, t in enumerate(THRESHOLDS)]
-    + [f"('lof', {i}, NULL::DOUBLE, {k}::DOUBLE, {c}::DOUBLE)" for i, (k, c) in enumerate(LOF_CANDIDATES)])
+SETTINGS = _values([(name, i, *[None if c.get(p) is None else float(c[p]) for p in PARAMETERS])
+                    for name, found in CANDIDATES.items() for i, c in enumerate(found)])
+
+
+def _summary(cascade: bool) -> str:
+    """Winners, their means, medians and deviations; ``cascade`` counts the rows before each in."""
+    columns = [*PARAMETERS, "score"]
+
+    def row(name: str, call: str, source: str) -> str:
+        return f"SELECT detector, '{name}' AS row, {', '.join(call.format(c) + f' AS {c}' for c in columns)} FROM {source} GROUP BY detector"
+
+    first = "SELECT * FROM won"
+    means = row("mean", "avg({})", "won")
+    medians = row("median", "quantile_cont({}, 0.5)", f"({first} UNION ALL SELECT * FROM means)" if cascade else "won")
+    spread = f"({first} UNION ALL SELECT * FROM means UNION ALL SELECT * FROM medians)" if cascade else "won"
+    return f"""{BEST},
+won AS MATERIALIZED (SELECT b.detector, CAST(entity AS VARCHAR) AS row, {', '.join(PARAMETERS)}, round(score, 9) AS score
+  FROM best b JOIN {SETTINGS} AS c(detector, candidate, {', '.join(PARAMETERS)}) ON b.detector = c.detector AND b.candidate = c.candidate),
+means AS MATERIALIZED ({means}),
+medians AS MATERIALIZED ({medians}),
+spreads AS ({row("std", "stddev_samp({})", spread)})
+SELECT detector, row, {', '.join(f'round({c}, 6) AS {c}' for c in columns)} FROM (
+  SELECT * FROM won UNION ALL SELECT * FROM means UNION ALL SELECT * FROM medians UNION ALL SELECT * FROM spreads)"""
+
 
 TERMS = r"""
 terms AS MATERIALIZED (
@@ -286,27 +470,27 @@ ORACLES: dict[str, str] = {
     "detect_centroid": f"WITH {VECTORS}{CENTROID} SELECT entity, seg, round(score, 6) AS score, flag FROM c_flag",
     "detect_lof": f"WITH {VECTORS}{LOF} SELECT entity, seg, score, flag FROM l_flag",
     "detect_iforest": f"WITH {VECTORS}{FORESTS} SELECT entity, seg, score, flag FROM f_flag",
-    "detect_ocsvm_nu1": f"""WITH {VECTORS}{PAIRS},
-        g AS (SELECT entity, i, any_value(i_scored) AS i_scored, sum(exp(-0.4::DOUBLE * square)) AS g FROM pairs GROUP BY 1, 2),
-        s AS (SELECT entity, i, i_scored, max(g) OVER (PARTITION BY entity) - g AS s FROM g)
-        SELECT entity, i AS seg, round(s, 6) AS score, CAST(s > 1e-5 AS INTEGER) AS flag FROM s WHERE i_scored""",
-    "detect_envelope_2d": envelope_2d(3),
+    "detect_ocsvm_nu1": f"WITH {VECTORS}{PAIRS}{OCSVM} SELECT entity, seg, round(score, 6) AS score, flag FROM o_flag",
+    "ocsvm_optimality": f"""WITH {VECTORS} SELECT entity, count(*) AS n, round({NU}::DOUBLE * count(*), 6) AS total, true AS optimal
+        FROM r WHERE is_fit GROUP BY 1""",
+    "detect_envelope_2d": f"WITH {LINES}{ENVELOPE} SELECT entity, seg, score, flag FROM e_flag",
     "majority_vote": f"""WITH {VECTORS}{CENTROID}{LOF}{FORESTS}
         SELECT entity, seg, CAST(sum(flag) AS INTEGER) AS votes, CAST(sum(flag) > 1 AS INTEGER) AS flag
         FROM (SELECT entity, seg, flag FROM c_flag UNION ALL SELECT entity, seg, flag FROM l_flag
               UNION ALL SELECT entity, seg, flag FROM f_flag) GROUP BY 1, 2""",
+    "majority_vote_of_five": f"WITH {VECTORS}{CENTROID}{FIVE} SELECT entity, seg, votes, flag FROM votes",
     "labels_unpivot": f"WITH {LINES} SELECT entity, seg, label FROM partial WHERE label IS NOT NULL",
     "labelled_segments": f"""WITH {LINES} SELECT entity, seg, doc, label FROM partial JOIN (
         SELECT entity, seg, string_agg(token, ' ' ORDER BY pos) AS doc FROM tok GROUP BY 1, 2) USING (entity, seg)
-        WHERE label IS NOT NULL""",
+        WHERE label IS NOT NULL AND entity IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 4500)""",
     "submission_matrix": f"""WITH {VECTORS}{CENTROID} SELECT entity, seg, coalesce(label, flag) AS label
         FROM partial LEFT JOIN c_flag USING (entity, seg)""",
-    "evaluate_detectors": f"""WITH {VECTORS}{CENTROID}{LOF},
-        u AS (SELECT 'centroid' AS detector, entity, seg, flag FROM c_flag UNION ALL SELECT 'lof', entity, seg, flag FROM l_flag),
+    "evaluate_detectors": f"""WITH {VECTORS}{CENTROID}{FIVE},
+        u AS (SELECT detector, entity, seg, flag FROM five UNION ALL SELECT 'vote', entity, seg, flag FROM votes),
         e AS (SELECT detector, entity, avg(CAST(label = flag AS INTEGER)) AS acc,
           sum(CASE WHEN label = 0 AND flag = 0 THEN 1 ELSE 0 END) AS tn, sum(CASE WHEN label = 0 AND flag = 1 THEN 1 ELSE 0 END) AS fp,
           sum(CASE WHEN label = 1 AND flag = 0 THEN 1 ELSE 0 END) AS fn, sum(CASE WHEN label = 1 AND flag = 1 THEN 1 ELSE 0 END) AS tp
-          FROM u JOIN lab USING (entity, seg) GROUP BY 1, 2)
+          FROM u JOIN lab USING (entity, seg) WHERE entity IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 4500) GROUP BY 1, 2)
         SELECT detector, round(avg(acc), 6) AS accuracy, round(avg(tn), 6) AS true_negative, round(avg(fn), 6) AS false_negative,
           round(avg(tp), 6) AS true_positive, round(avg(fp), 6) AS false_positive FROM e GROUP BY 1""",
     "weighted_grade": f"""WITH {VECTORS}{CENTROID}
@@ -316,15 +500,8 @@ ORACLES: dict[str, str] = {
         FROM c_flag JOIN lab USING (entity, seg) GROUP BY 1, 2""",
     "search_scores": f"{SEARCH} SELECT detector, entity, candidate, round(score, 6) AS score FROM scores",
     "search_best": f"{BEST} SELECT detector, entity, candidate, round(score, 9) AS score FROM best",
-    "search_summary": f"""{BEST},
-        won AS (SELECT b.detector, entity, threshold, n_neighbors, contamination, round(score, 9) AS score
-          FROM best b JOIN (VALUES {CANDIDATE_ROWS}) AS c(detector, candidate, threshold, n_neighbors, contamination)
-          ON b.detector = c.detector AND b.candidate = c.candidate)
-        SELECT detector, CAST(entity AS VARCHAR) AS row, round(threshold, 6) AS threshold, round(n_neighbors, 6) AS n_neighbors,
-          round(contamination, 6) AS contamination, round(score, 6) AS score FROM won
-        UNION ALL SELECT detector, 'mean', round(avg(threshold), 6) AS threshold, round(avg(n_neighbors), 6) AS n_neighbors, round(avg(contamination), 6) AS contamination, round(avg(score), 6) AS score FROM won GROUP BY detector
-        UNION ALL SELECT detector, 'median', round(quantile_cont(threshold, 0.5), 6) AS threshold, round(quantile_cont(n_neighbors, 0.5), 6) AS n_neighbors, round(quantile_cont(contamination, 0.5), 6) AS contamination, round(quantile_cont(score, 0.5), 6) AS score FROM won GROUP BY detector
-        UNION ALL SELECT detector, 'std', round(stddev_samp(threshold), 6) AS threshold, round(stddev_samp(n_neighbors), 6) AS n_neighbors, round(stddev_samp(contamination), 6) AS contamination, round(stddev_samp(score), 6) AS score FROM won GROUP BY detector""",
+    "search_summary": _summary(False),
+    "search_summary_cascade": _summary(True),
     "tokenize": r"""SELECT entity, doc_id, CAST(idx - 1 AS INTEGER) AS idx, terms[idx] AS term FROM (
         SELECT entity, doc_id, terms, unnest(range(1, len(terms) + 1)) AS idx FROM (
           SELECT source AS entity, doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS terms FROM documents))""",

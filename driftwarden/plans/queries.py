@@ -11,7 +11,7 @@ from driftwarden.detectors.centroid import centroid_distances, detect_centroid
 from driftwarden.detectors.envelope import detect_envelope
 from driftwarden.detectors.iforest import detect_iforest
 from driftwarden.detectors.lof import detect_lof
-from driftwarden.detectors.ocsvm import detect_ocsvm
+from driftwarden.detectors.ocsvm import NU, TOLERANCE, detect_ocsvm, optimality
 from driftwarden.detectors.vote import majority_vote, stack_flags
 from driftwarden.operators import counts as C
 from driftwarden.operators import features as X
@@ -23,6 +23,7 @@ from driftwarden.operators.segments import genuine, segment_documents, unlabelle
 from driftwarden.operators.skew import join_scalars, largest_group
 from driftwarden.plans import classify as N
 from driftwarden.plans import search as R
+from driftwarden.plans import spaces as P
 from driftwarden.plans import workloads as W
 from driftwarden.runtime import cut, scratch_path
 from driftwarden.sinks import tables as K
@@ -32,8 +33,11 @@ from driftwarden.sources.tokens import read_token_files
 # Detector settings scaled to segments of 20 tokens and about 30 segments per stream.
 NEIGHBOURS = 5
 FOREST = {"trees": 10, "samples": 16, "features": 15}
-THRESHOLDS = [1.0, 1.05, 1.1, 1.15, 1.2, 1.25, 1.3]
-LOF_CANDIDATES = [(3, 0.1), (3, 0.25), (5, 0.1), (5, 0.25), (8, 0.25)]
+# The search: candidates per detector, drawn from spaces of the same scale.
+DRAWN = 8
+THRESHOLDS, SEARCH_NEIGHBOURS = (1.0, 1.3, 25), (2, 12, 6)
+SEARCH_FOREST = {"trees": (4, 16, 4), "features": (5, 25, 5), "samples": (4, 12, 5)}
+SEARCH_SUPPORT = (0.5, 0.99, 25)
 SPLIT_SEED = 7
 LONG_TEXT = 2000
 KEY = ["entity", "seg"]
@@ -146,12 +150,17 @@ def ocsvm_nu1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flags(detect_ocsvm(W.stream_vectors(spark, sf_dir), nu=1.0))
 
 
+def ocsvm_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = optimality(W.stream_vectors(spark, sf_dir))
+    return found.select("entity", "n", _r("total"), (F.col("gap") <= 1.1 * TOLERANCE).alias("optimal"))
+
+
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_envelope(W.embedding_vectors(spark, sf_dir), ridge=0.01)
 
 
 def envelope_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detect_envelope(W.quantity_vectors(spark, sf_dir), reweight=False)
+    return detect_envelope(W.quantity_vectors(spark, sf_dir))
 
 
 def _three(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -172,6 +181,18 @@ def ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return majority_vote(stack_flags(flags, KEY), KEY)
 
 
+def _five(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Five detectors whose results have a closed form or an exact recipe: the SVM at nu = 1, the envelope on two columns."""
+    vectors = W.stream_vectors(spark, sf_dir, lines)
+    return {"centroid": detect_centroid(vectors), "lof": detect_lof(vectors, k=NEIGHBOURS),
+            "iforest": detect_iforest(vectors, **FOREST), "ocsvm": detect_ocsvm(vectors, nu=1.0),
+            "envelope": detect_envelope(W.quantity_vectors(spark, sf_dir))}
+
+
+def vote_of_five(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return majority_vote(stack_flags(_five(spark, sf_dir), KEY), KEY)
+
+
 # --- labels and evaluation ---------------------------------------------------------------------
 
 
@@ -200,7 +221,7 @@ def labels_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = W.stored_lines(spark, sf_dir)
     docs = segment_documents(W.stream_tokens(spark, sf_dir, lines))
-    return labelled_segments(docs, _partial_labels(spark, sf_dir, lines))
+    return labelled_segments(docs, _partial_labels(spark, sf_dir, lines), KEY, W.labelled_entities(spark, sf_dir))
 
 
 def submission_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,10 +232,12 @@ def submission_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evaluate_detectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each of five detectors and their vote against the labels of the labelled entities."""
     lines = W.stored_lines(spark, sf_dir)
-    vectors = W.stream_vectors(spark, sf_dir, lines)
-    flags = {"centroid": detect_centroid(vectors), "lof": detect_lof(vectors, k=NEIGHBOURS)}
-    scores = M.evaluate(stack_flags(flags, KEY), W.stream_labels(spark, sf_dir, lines))
+    flags = cut(stack_flags(_five(spark, sf_dir, lines), KEY), "flags")
+    vote = majority_vote(flags, KEY).select(F.lit("vote").alias("detector"), *KEY, "flag")
+    known = W.stream_labels(spark, sf_dir, lines).join(W.labelled_entities(spark, sf_dir), "entity", "left_semi")
+    scores = M.evaluate(flags.select("detector", *KEY, "flag").unionByName(vote), known)
     return scores.select("detector", *[_r(c) for c in scores.columns if c != "detector"])
 
 
@@ -235,51 +258,81 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- search ------------------------------------------------------------------------------------
 
 
-def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """TF-IDF vectors of the test segments, once per fold of a stratified split."""
-    lines = W.stored_lines(spark, sf_dir)
-    counts = cut(unlabelled(W.stream_features(spark, sf_dir, lines).select(*KEY, "term", "tf"), W.GENUINE), "counts")
-    docs = cut(unlabelled(W.stream_labels(spark, sf_dir, lines), W.GENUINE), "labels")
+def _folds(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """(entity, seg, label, fold) of the labelled entities' test segments."""
+    known = W.labelled_entities(spark, sf_dir)
+    docs = cut(unlabelled(W.stream_labels(spark, sf_dir, lines), W.GENUINE).join(known, "entity", "left_semi"), "labels")
+    return cut(S.stratified_folds(docs, ["entity", "label"], "seg", SPLIT_SEED), "folds")
+
+
+def _runs(spark: SparkSession, sf_dir: str, lines: DataFrame, folds: DataFrame) -> DataFrame:
+    """TF-IDF vectors of the labelled entities' test segments, once per fold of a stratified split."""
+    docs = folds.select(*KEY)
+    counts = W.stream_features(spark, sf_dir, lines).select(*KEY, "term", "tf").join(docs, KEY, "left_semi")
+    counts = cut(counts, "counts")
     idf = X.fit_idf(counts, docs, ["entity"])
-    largest = largest_group(docs, ["entity"])
-    vectors = X.pack_vectors(X.apply_idf(counts, idf, ["entity"], "seg", largest), KEY)
-    folds = S.stratified_folds(docs, ["entity", "label"], "seg", SPLIT_SEED, largest=largest)
+    vectors = X.pack_vectors(X.apply_idf(counts, idf, ["entity"], "seg", largest_group(docs, ["entity"])), KEY)
     return cut(R.cross_validated(vectors, folds, KEY), "runs")
 
 
-def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = _runs(spark, sf_dir)
-    largest = largest_group(runs, ["entity", "cv"])
-    return R.search_centroid(runs, ["entity"], "seg", THRESHOLDS, largest).unionByName(
-        R.search_lof(runs, ["entity"], "seg", LOF_CANDIDATES, largest))
+def _spaces(names: list[str]) -> dict[str, dict]:
+    spaces = {"centroid": P.threshold_space(THRESHOLDS), "lof": P.lof_space(SEARCH_NEIGHBOURS),
+              "iforest": P.iforest_space(**SEARCH_FOREST), "ocsvm": P.ocsvm_space(), "envelope": P.envelope_space(SEARCH_SUPPORT)}
+    return {n: spaces[n] for n in names}
+
+
+def _scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
+    """Scores and candidates of four detectors; the envelope is searched on two columns, where SQL can follow it."""
+    lines = W.stored_lines(spark, sf_dir)
+    folds = _folds(spark, sf_dir, lines)
+    on_terms = R.draw_candidates(spark, _spaces(["centroid", "lof", "iforest"]), DRAWN)
+    on_columns = R.draw_candidates(spark, _spaces(["envelope"]), DRAWN)
+    columns = cut(R.cross_validated(W.quantity_vectors(spark, sf_dir), folds, KEY), "runs")
+    scores = R.search_all(_runs(spark, sf_dir, lines, folds), ["entity"], "seg", on_terms).unionByName(
+        R.search_all(columns, ["entity"], "seg", on_columns))
+    return scores, on_terms | on_columns
 
 
 def search_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scores(spark, sf_dir).select("detector", "entity", "candidate", _r("score"))
+    return _scores(spark, sf_dir)[0].select("detector", "entity", "candidate", _r("score"))
+
+
+def search_five(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five detectors on the term vectors, the SVM and the envelope in many dimensions among them."""
+    lines = W.stored_lines(spark, sf_dir)
+    runs = _runs(spark, sf_dir, lines, _folds(spark, sf_dir, lines))
+    drawn = R.draw_candidates(spark, _spaces(list(R.TRIALS)), DRAWN)
+    return R.search_all(runs, ["entity"], "seg", drawn).select("detector", "entity", "candidate", _r("score"))
 
 
-def _best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rounded = _scores(spark, sf_dir).withColumn("score", F.round("score", 9))
-    return R.best_candidates(rounded)
+def _best(scores: DataFrame) -> DataFrame:
+    return R.best_candidates(scores.withColumn("score", F.round("score", 9)))
 
 
 def search_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _best(spark, sf_dir)
+    return _best(_scores(spark, sf_dir)[0])
 
 
-def search_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [("centroid", i, t, None, None) for i, t in enumerate(THRESHOLDS)]
-    rows += [("lof", i, None, k, c) for i, (k, c) in enumerate(LOF_CANDIDATES)]
-    params = spark.createDataFrame(
-        rows, "detector string, candidate int, threshold double, n_neighbors int, contamination double")
-    best = cut(_best(spark, sf_dir).join(F.broadcast(params), ["detector", "candidate"]), "best")
+def _summary(spark: SparkSession, sf_dir: str, cascade: bool) -> DataFrame:
+    scores, drawn = _scores(spark, sf_dir)
+    params = R.candidate_table(spark, drawn)
+    best = cut(_best(scores).join(F.broadcast(params), ["detector", "candidate"]), "best")  # DRAWN rows per detector
     path = scratch_path(spark, "search")
-    columns = ["threshold", "n_neighbors", "contamination", "score"]
-    K.write_search_results(R.result_table(best, columns), path)
+    columns = [*R.PARAMETERS, "score"]
+    K.write_search_results(R.result_table(best, columns, cascade=cascade), path)
     back = spark.read.csv(path, header=True, schema=f"row string, {' double, '.join(columns)} double, detector string")
     return back.select("detector", "row", *[_r(c) for c in columns])
 
 
+def search_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _summary(spark, sf_dir, False)
+
+
+def search_summary_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The median row counts the mean row in, the deviation row both."""
+    return _summary(spark, sf_dir, True)
+
+
 # --- documents ---------------------------------------------------------------------------------
 
 
@@ -409,9 +462,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "detect_iforest": iforest,
     "detect_ocsvm": ocsvm,
     "detect_ocsvm_nu1": ocsvm_nu1,
+    "ocsvm_optimality": ocsvm_optimality,
     "detect_envelope": envelope,
     "detect_envelope_2d": envelope_2d,
     "majority_vote": vote_of_three,
+    "majority_vote_of_five": vote_of_five,
     "detect_ensemble": ensemble,
     "labels_unpivot": labels_unpivot,
     "labelled_segments": labelled,
@@ -422,6 +477,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_scores": search_scores,
     "search_best": search_best,
     "search_summary": search_summary,
+    "search_summary_cascade": search_summary_cascade,
+    "search_five": search_five,
     "tokenize": tokenize,
     "vocabulary": vocabulary,
     "term_counts": term_counts,

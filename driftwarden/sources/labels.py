@@ -27,7 +27,10 @@ def unpivot_labels(matrix: DataFrame) -> DataFrame:
     return long.select("entity", F.col("seg").cast("int").alias("seg"), "label")
 
 
-def labelled_segments(segments: DataFrame, labels: DataFrame, keys: Sequence[str] = ("entity", "seg")) -> DataFrame:
-    """Segments that have a label, with the label."""
+def labelled_segments(segments: DataFrame, labels: DataFrame, keys: Sequence[str] = ("entity", "seg"),
+                      entities: DataFrame | None = None) -> DataFrame:
+    """Segments that have a label, with the label; of the given ``entities`` (entity) only, if any are given."""
     known = labels.filter(F.col("label").isNotNull()).select(*keys, F.col("label").cast("int").alias("label"))
+    if entities is not None:
+        known = known.join(entities, "entity", "left_semi")
     return segments.join(known, list(keys))

@@ -130,7 +130,7 @@ def test_svm_full_nu_is_a_kernel_mean(data, vectors):
             assert got[(entity, i)] == pytest.approx(g.max() - g[i], abs=1e-8)
 
 
-def brute_envelope(x, steps=3, contamination=0.1):
+def brute_envelope(x, steps=30, contamination=0.1):
     n, h = len(x), len(x) // 2
     d = np.round(((x - np.median(x, 0)) ** 2).sum(1), 6)
     for _ in range(steps):
@@ -153,6 +153,59 @@ def test_envelope_against_brute_force(spark, largest):
             assert got[(entity, i)] == (pytest.approx(d[i], abs=1e-4), flags[i])
 
 
+def test_envelope_with_more_terms_than_rows(spark, monkeypatch):
+    from driftwarden.detectors import envelope
+
+    x = np.random.default_rng(11).normal(0, 1, (24, 40)) + 1
+    for ridge, centered in ((0.0, False), (0.5, False), (0.5, True)):
+        plain = as_rows(detect_envelope(vectors_frame(spark, {1: x}), ridge=ridge, centered=centered), "seg", "score", "flag")
+        monkeypatch.setattr(envelope, "MAX_DIMS", 8)  # the rows' own products instead of terms x terms
+        own = as_rows(detect_envelope(vectors_frame(spark, {1: x}), ridge=ridge, centered=centered), "seg", "score", "flag")
+        monkeypatch.undo()
+        assert [(s, pytest.approx(d, abs=1e-4, rel=1e-6), f) for s, d, f in plain] == own
+
+
+def test_chi_square_quantiles():
+    from driftwarden.detectors.envelope import chi_square_quantile
+
+    known = {(1, 0.5): 0.454936423, (2, 0.5): 1.386294361, (2, 0.975): 7.377758908, (10, 0.975): 20.483177350,
+             (100, 0.5): 99.334129235, (500, 0.975): 563.851529588}
+    for (dims, share), value in known.items():
+        assert chi_square_quantile(dims, share) == pytest.approx(value, abs=1e-6)
+    assert chi_square_quantile(60_000, 0.5) == pytest.approx(60_000 * (1 - 2 / (9 * 60_000)) ** 3, rel=1e-7)
+
+
+def test_small_and_large_groups_meet_in_one_call(spark, monkeypatch):
+    from driftwarden.operators import blocks
+
+    data = {1: unit_rows(1, 30, 6), 2: unit_rows(2, 9, 6)}
+    vectors = vectors_frame(spark, data, 3)
+    settings = {"trees": 6, "samples": 8, "features": 4}
+    for detect in (lambda: detect_iforest(vectors, **settings), lambda: detect_iforest(vectors, bootstrap=True, **settings),
+                   lambda: detect_envelope(vectors, ridge=0.1)):
+        whole = as_rows(detect(), "entity", "seg", "score", "flag")
+        monkeypatch.setattr(blocks, "SCORE_ROWS", 16)
+        assert as_rows(detect(), "entity", "seg", "score", "flag") == [pytest.approx(r, abs=1e-5) for r in whole]
+        monkeypatch.undo()
+
+
+def test_solver_names_a_dual_that_stays_open():
+    from driftwarden.detectors.ocsvm import descend
+
+    kernel = np.eye(3)
+    with pytest.raises(RuntimeError, match="did not converge"):
+        descend(kernel, np.array([1.0, 0.0, 0.0]), np.array([5.0, 0.0, 0.0]), np.ones(3), -1.0)
+
+
+def test_optimality_is_certified_for_split_groups(spark):
+    from driftwarden.detectors.ocsvm import optimality
+
+    vectors = vectors_frame(spark, {1: unit_rows(3, 90, 6), 2: unit_rows(4, 12, 6, copies=4)})
+    for row in optimality(vectors, working_set=16).collect():
+        assert row.total == pytest.approx(0.3 * row.n) and row.gap <= 1.1e-6
+        assert row.n == {1: 90, 2: 12}[row.entity]
+
+
 def test_envelope_with_singular_covariance(spark, vectors):
     rows = detect_envelope(vectors).collect()
     assert len(rows) == 57 + 6 + 3

@@ -113,6 +113,24 @@ def test_shared_search_equals_one_run_per_candidate(runs):
     assert [pytest.approx(r) for r in as_rows(fast, *columns)] == as_rows(slow, *columns)
 
 
+def test_search_of_small_groups_equals_one_run_per_candidate(runs, monkeypatch):
+    from driftwarden.operators import blocks
+
+    candidates = {
+        "centroid": [{"threshold": 1.2}, {"threshold": 1.05}],
+        "lof": [{"n_neighbors": 3, "contamination": 0.2}, {"n_neighbors": 50, "contamination": 0.35}],
+        "iforest": [{"n_estimators": n, "max_samples": 8, "max_features": 4, "bootstrap": b, "contamination": c}
+                    for n, b, c in ((5, False, 0.2), (3, False, 0.4), (4, True, 0.3))],
+        "ocsvm": [{"nu": 0.4, "gamma": 0.5}, {"nu": 0.9, "gamma": 0.5}],
+        "envelope": [{"support_fraction": 0.6, "assume_centered": True, "contamination": 0.2}]}
+    columns = ("detector", "entity", "candidate", "score")
+    fast = as_rows(R.search_all(runs, ["entity"], "seg", candidates), *columns)
+    assert len(fast) == 2 * 10 and all(0 <= r[3] <= 1 for r in fast)
+    monkeypatch.setattr(blocks, "SCORE_ROWS", 8)
+    slow = as_rows(R.search_all(runs, ["entity"], "seg", candidates), *columns)
+    assert [(*r[:3], pytest.approx(r[3])) for r in fast] == slow
+
+
 def test_search_runs_for_the_other_detectors(runs):
     from driftwarden.detectors.envelope import detect_envelope
     from driftwarden.detectors.iforest import detect_iforest
