@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables a
 
 CHECKED = ["segments", "vocab_ranked", "knn_segments", "detect_centroid", "detect_lof", "detect_iforest",
            "detect_ocsvm_nu1", "detect_envelope_2d", "tfidf_l2", "tfidf_train_test", "vocabulary", "roc_auc",
-           "train_test_split", "stratified_folds", "upsample_minority", "submission_matrix", "search_scores"]
+           "train_test_split", "stratified_folds", "upsample_minority", "submission_matrix", "ocsvm_optimality"]
 
 
 @pytest.fixture(scope="module")
