@@ -55,23 +55,31 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.unionByName(parents).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 12) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6,
+              together: int = 4) -> DataFrame:
     """host, score: PageRank that restarts at ``seeds`` (host, seed; seeds sum to 1).
 
-    edges has src, dst and weight. A host without outgoing edges sends nothing on; its mass is not restarted.
+    edges has src, dst and weight. A host without outgoing edges sends nothing on; its mass is not restarted. Rounds go on,
+    ``together`` of them between two written tables, until no host is reached for the first time any more and all scores
+    together change by ``tolerance`` at most.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("_all"))
     steps = cut(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("_all")).alias("share")), "host-steps")
     start = cut(seeds, "host-seeds")
     rank = start.select("host", F.col("seed").alias("score"))
-    for k in range(rounds):
-        moved = steps.join(rank, F.col("src") == F.col("host")).select(
-            F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("score"))
-        rank = moved.unionByName(start.select("host", (F.col("seed") * (1 - damping)).alias("score"))).groupBy(
-            "host").agg(F.sum("score").alias("score"))
-        if k % 4 == 3:
-            rank = cut(rank, "host-rank")
-    return rank
+    while True:
+        before = rank
+        for _ in range(together):
+            moved = steps.join(rank, F.col("src") == F.col("host")).select(
+                F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("score"))
+            rank = moved.unionByName(start.select("host", (F.col("seed") * (1 - damping)).alias("score"))).groupBy(
+                "host").agg(F.sum("score").alias("score"))
+        rank = cut(rank, "host-rank")
+        change = rank.select("host", F.col("score").alias("now")).join(before, "host", "full").agg(
+            F.sum(F.abs(F.coalesce("now", F.lit(0.0)) - F.coalesce("score", F.lit(0.0)))).alias("moved"),
+            F.sum(F.col("score").isNull().cast("long")).alias("new")).first()
+        if not change["new"] and (change["moved"] or 0.0) <= tolerance:
+            return rank
 
 
 def judge_pages(pages: DataFrame, rules=RULES, threshold: float = 0.0) -> DataFrame:
