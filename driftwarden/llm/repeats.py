@@ -32,7 +32,9 @@ LENGTH = 200
 GRAM = 48
 REACH = LENGTH - GRAM  # how far before its anchor a window may start
 WIDTH = REACH + LENGTH
-BLOCK_BYTES = 3_000_000
+BLOCK_BYTES = 1_000_000
+#: Bytes of text per bucket of requests, on average, and strings that are constructed together, whole anchors at a time.
+BUCKET_BYTES, RUN_STRINGS = 4_000_000, 2_048
 HOT = 1024  # different strings around an anchor from which on its windows are counted one by one
 _BASE = 0x9E3779B97F4A7C15
 _SYMBOLS = np.random.default_rng(200).integers(1, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -291,8 +293,13 @@ def string_answers(requests: DataFrame) -> DataFrame:
             string = np.empty(len(order), np.int64)
             string[order] = np.cumsum(new) - 1
             one = order[new]
-            texts = [raw[e - n:e] for e, n in zip(stops[one].tolist(), sizes[one].tolist())]
-            found = np.packbits(construct(texts, left[one]), axis=1)[string]
+            heads = np.flatnonzero(np.r_[True, keys[one][1:] != keys[one][:-1]])  # strings of an anchor stay together
+            found = []
+            for a, z in by_bytes(np.diff(np.r_[heads, len(one)]).tolist(), RUN_STRINGS):
+                run = one[heads[a]:heads[z] if z < len(heads) else len(one)]
+                texts = [raw[e - n:e] for e, n in zip(stops[run].tolist(), sizes[run].tolist())]
+                found.append(np.packbits(construct(texts, left[run]), axis=1))
+            found = np.concatenate(found)[string]
             data = [pack(found[e - n:e].reshape(-1)) for e, n in zip(ends, counts)]
         else:
             times = np.concatenate([unpack(x, np.uint8) for x in frame["sizes"]])
@@ -342,7 +349,8 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     Null texts are empty; texts shorter than LENGTH keep all bytes. Repeated rows are texts of their own, so long
     ones go entirely. Null ids stay null. An empty table gives no rows. ``hot`` changes the plan, not the result.
     """
-    buckets = power_of_two(4 * partitions(docs.sparkSession))
+    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = power_of_two(max(4 * partitions(docs.sparkSession), -(-held // BUCKET_BYTES)))
     blocks = cut(write_blocks(docs), "repeat-blocks")
     first = cut(anchor_answers(anchor_requests(blocks, buckets), hot), "repeat-anchors")
     asked = cut(string_requests(blocks, first, buckets), "repeat-strings")
