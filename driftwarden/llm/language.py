@@ -21,7 +21,7 @@ from driftwarden.runtime import cut
 LANGUAGES = ("de", "en", "es", "fr")
 OTHER = "other"
 TABLE = 1 << 15
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 500_000
 # a text's trigrams overlap and repeat; beyond this many they add no further certainty
 EVIDENCE = 60.0
 # a language's share for trigrams it was not seen with lies between these
@@ -169,6 +169,8 @@ def identify(rows: DataFrame, keep: list[str], languages=LANGUAGES, trust: float
     model = train(rows.select("text", declaration(F.col("declared")).alias("declared")), languages)
     scored = rows.withColumns({"_named": declaration(F.col("declared")), "_host": source_key(F.col("host")),
                                "_suffix": source_key(F.col("suffix")), "_ll": text_evidence(rows, model)})
+    # read twice: for the priors and for the fusion, without the texts' models running again
+    scored = cut(scored.select(*keep, "_named", "_host", "_suffix", "_ll"), "language-evidence")
     beliefs = scored.where(F.size("_ll") > 0).select("_host", "_suffix", _posterior(F.col("_ll")).alias("p"))
     priors = host_priors(beliefs, n)
     named = F.when(F.col("_named").isin(list(languages)), F.col("_named")).otherwise(OTHER)
