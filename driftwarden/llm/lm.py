@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from driftwarden.llm.common import by_bytes, mix64, pack, pack_sorted, partitions, unpack, unpack_sorted
 from driftwarden.runtime import cut
 
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
+#: Bytes of text per bucket of counts, on average.
+BUCKET_BYTES = 8_000_000
 END, START = np.uint64(1), np.uint64(2)  # keys of the end token and of the start state
 
 
@@ -124,7 +126,7 @@ def _answers(requests: DataFrame, kind: int) -> DataFrame:
         ends = np.cumsum(sizes)
         out = pd.DataFrame({
             "block": frame["block"].astype("Int64"), "kind": kind, "bucket": key[0],
-            "counts": [pack(total[inverse[e - n:e]].astype(np.uint32)) for e, n in zip(ends, sizes)],
+            "counts": [pack(total[inverse[e - n:e]]) for e, n in zip(ends, sizes)],
             "tokens": 0, "types": 0})
         whole = pd.DataFrame({"block": pd.array([None], "Int64"), "kind": kind, "bucket": key[0], "counts": [None],
                               "tokens": int(total.sum()), "types": int((total > 0).sum())})
@@ -142,7 +144,8 @@ def score_documents(docs: DataFrame, strength: float = 30.0) -> DataFrame:
     root and costs its share of P. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    buckets = power_of_two(4 * partitions(spark))
+    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = power_of_two(max(4 * partitions(spark), -(-held // BUCKET_BYTES)))
     blocks = cut(encode_blocks(docs), "lm-blocks")
     words = cut(_answers(_requests(blocks, False, buckets), 0), "lm-words")
     pairs = _answers(_requests(blocks, True, buckets), 1)
@@ -156,7 +159,7 @@ def score_documents(docs: DataFrame, strength: float = 30.0) -> DataFrame:
             return pd.DataFrame({"doc_id": pd.array([], "Int64"), "held_out": [], "n_tokens": [], "n_known": [],
                                  "base_score": [], "score": []})
         answer = answer.sort_values(["kind", "bucket"])
-        count = [np.concatenate([unpack(c, np.uint32) for c in answer["counts"][answer["kind"] == k]]) for k in (0, 1)]
+        count = [np.concatenate([unpack(c, np.int64) for c in answer["counts"][answer["kind"] == k]]) for k in (0, 1)]
         row = block.iloc[0]
         word_keys, codes, lengths, held = _read(row)
         pair_keys = _pairs(word_keys, codes, lengths)
