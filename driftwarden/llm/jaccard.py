@@ -24,7 +24,7 @@ from driftwarden.llm.common import by_bytes, mix64, pack, partitions, ranges, un
 from driftwarden.llm.components import connected, joined
 from driftwarden.runtime import cut
 
-SKETCH_BITS = 20
+SKETCH_BITS, SKETCH_SLICES = 20, 16
 SIGNATURE_WORDS = 8
 BATCH_BYTES = 1_000_000
 #: Bytes of text whose prefix shingles share a bucket, on average.
@@ -126,49 +126,63 @@ def _batches(frames, column="text"):
 
 
 def nodes_of(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, node (a string, the set's key; null for an empty set)."""
+    """doc_id, n_shingles, node (a string, the set's key; null for an empty set), and the counts of hash classes.
+
+    The counts, rows with a ``slice``, come from the same shingles, so texts are gone through once for both.
+    """
 
     def keys(frames):
+        total = np.zeros(1 << SKETCH_BITS, np.int64)
         for frame in _batches(frames):
             sizes, hashes = shingle_sets(list(frame["text"]), width)
+            total += _class_counts(hashes)
             a, b = set_keys(sizes, hashes)
             node = [f"{x:016x}{y:016x}" if n else None for x, y, n in zip(a.tolist(), b.tolist(), sizes.tolist())]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "text_key": frame["text_key"], "n_shingles": sizes,
-                                "node": pd.Series(node, frame.index, dtype=object)})
+                                "node": pd.Series(node, frame.index, dtype=object), "slice": pd.array([None] * len(frame), "Int32"),
+                                "counts": pd.Series([None] * len(frame), frame.index, dtype=object)})
+        parts = _slices(total)
+        nothing = pd.Series([None] * len(parts), dtype=object)
+        yield parts.assign(doc_id=nothing, text_key=0, n_shingles=0, node=nothing)[
+            ["doc_id", "text_key", "n_shingles", "node", "slice", "counts"]]
 
     # ids as text: a null among them would turn the others into floating point
     named = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
-    return named.mapInPandas(keys, "doc_id string, text_key long, n_shingles long, node string").withColumn(
+    return named.mapInPandas(
+        keys, "doc_id string, text_key long, n_shingles long, node string, slice int, counts binary").withColumn(
         "doc_id", F.col("doc_id").cast("long"))
 
 
-def sketch(docs: DataFrame, width: int) -> np.ndarray:
-    """Frequency of every hash class of shingles (65535 at most), over all documents."""
-    size, slices = 1 << SKETCH_BITS, 16
+def _class_counts(hashes: np.ndarray) -> np.ndarray:
+    return np.bincount((hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
 
-    def count(frames):
-        total = np.zeros(size, np.int64)
-        for frame in _batches(frames):
-            _, hashes = shingle_sets(list(frame["text"]), width)
-            total += np.bincount((hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
-        parts = total.reshape(slices, -1).astype(np.uint32)
-        yield pd.DataFrame({"slice": range(slices), "counts": [pack(p) for p in parts]})
 
+def _slices(total: np.ndarray) -> pd.DataFrame:
+    parts = total.reshape(SKETCH_SLICES, -1)
+    return pd.DataFrame({"slice": pd.array(range(SKETCH_SLICES), "Int32"), "counts": [pack(p) for p in parts]})
+
+
+def add_sketches(rows: DataFrame) -> np.ndarray:
+    """Frequency of every hash class of shingles (65535 at most), from the counts (slice, counts) of all tasks."""
     def add(key, frame):
-        total = sum(unpack(c, np.uint32).astype(np.int64) for c in frame["counts"])
-        return pd.DataFrame({"slice": [key[0]], "counts": [pack(total)]})
-
-    rows = docs.select("text").mapInPandas(count, "slice int, counts binary").groupBy("slice").applyInPandas(
-        add, "slice int, counts binary").collect()  # a table of fixed size
-    total = np.zeros((slices, size // slices), np.int64)
-    for row in rows:
-        total[row["slice"]] = unpack(row["counts"], np.int64)
+        return pd.DataFrame({"slice": [key[0]], "counts": [pack(sum(unpack(c, np.int64) for c in frame["counts"]))]})
+
+    total = np.zeros((SKETCH_SLICES, (1 << SKETCH_BITS) // SKETCH_SLICES), np.int64)
+    for row in rows.select("slice", "counts").groupBy("slice").applyInPandas(add, "slice int, counts binary").collect():
+        total[row["slice"]] = unpack(row["counts"], np.int64)  # a table of fixed size
     return np.minimum(total.reshape(-1), 65535).astype(np.uint16)
 
 
-def prefix_postings(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
-    """(bucket, payload): prefix shingles with node key, set size and place, distinct within a batch."""
-    classes = docs.sparkSession.sparkContext.broadcast(sketch(docs, width))
+def prefix_postings(docs: DataFrame, width: int, percent: int, buckets: int,
+                    frequency: np.ndarray | None = None) -> DataFrame:
+    """(bucket, payload): prefix shingles with node key, set size and place, distinct within a batch.
+
+    ``frequency`` has a number per hash class, counted here if not given; rarer classes come first.
+    """
+    if frequency is None:
+        counted = nodes_of(docs.withColumn("text_key", F.xxhash64("text")), width).where("slice is not null")
+        frequency = add_sketches(counted)
+    classes = docs.sparkSession.sparkContext.broadcast(frequency)
 
     def postings(frames):
         frequency = classes.value
@@ -417,9 +431,11 @@ def _placed(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, _id, text_key, n_shingles, node, component (null for an empty set) of every row."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    nodes = cut(nodes_of(docs.withColumn("text_key", F.xxhash64("text")), width), "jaccard-nodes")
+    found = cut(nodes_of(docs.withColumn("text_key", F.xxhash64("text")), width), "jaccard-nodes")
+    nodes = found.where("slice is null").drop("slice", "counts")
+    frequency = add_sketches(found.where("slice is not null"))
     held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    postings = prefix_postings(docs, width, percent, max(4 * partitions(spark), -(-held // BUCKET_BYTES)))
+    postings = prefix_postings(docs, width, percent, max(4 * partitions(spark), -(-held // BUCKET_BYTES)), frequency)
     shared = cut(shared_postings(postings), "jaccard-shared")
     members = shared.select("node").distinct()
     wanted = nodes.groupBy("node").agg(F.min("text_key").alias("text_key")).join(members, "node", "left_semi")

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from driftwarden.llm import (decontamination, embeddings, jaccard, language, lm, mixing, repeats, secret_scan, sharding,
                              urls)
@@ -423,8 +424,10 @@ def test_large_ids_stay_exact_beside_a_null_id(spark):
 @pytest.mark.parametrize("buckets", [1, 211, 2000])
 def test_buckets_without_shared_shingles(spark, buckets):
     docs = h.documents(spark, h.awkward_documents()[:40])
-    shared = jaccard.shared_postings(jaccard.prefix_postings(docs, 4, 85, buckets))
-    want = jaccard.shared_postings(jaccard.prefix_postings(docs, 4, 85, 7))
+    found = jaccard.nodes_of(docs.withColumn("text_key", F.xxhash64("text")), 4).where("slice is not null")
+    frequency = jaccard.add_sketches(found)
+    shared = jaccard.shared_postings(jaccard.prefix_postings(docs, 4, 85, buckets, frequency))
+    want = jaccard.shared_postings(jaccard.prefix_postings(docs, 4, 85, 7, frequency))
     assert h.ordered(shared.collect()) == h.ordered(want.collect())
 
 
