@@ -58,7 +58,53 @@ FROM a{rounds} JOIN c{rounds} USING (cluster)
 """
 
 
+_REACH = """
+reach AS (SELECT id AS v, id AS m FROM {nodes} UNION SELECT reach.v, b FROM reach JOIN links ON reach.m = links.a),
+least AS (SELECT v AS id, min(m) AS component_id FROM reach GROUP BY v)"""
+
+EMBEDDING_NEARDUP = f"""
+WITH RECURSIVE e AS (SELECT vec_id AS id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+u AS MATERIALIZED (SELECT id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM e
+     WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = len(e)),
+links AS MATERIALIZED (SELECT x.id AS a, y.id AS b FROM u x JOIN u y ON x.label = y.label AND x.id <> y.id AND len(x.e) = len(y.e)
+     AND x.norm > 0 AND y.norm > 0 AND list_inner_product(x.e, y.e) / (x.norm * y.norm) >= 0.93),
+{_REACH.format(nodes="e")}
+SELECT e.id AS vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, e.id = component_id AS kept
+FROM e JOIN least USING (id) LEFT JOIN (SELECT a AS id, count(*) AS n FROM links GROUP BY a) USING (id)
+"""
+
+_LATIN_WORDS = rf"regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+DECONTAMINATION = f"""
+WITH i AS (SELECT item_id, w, least(len(w), 10) AS n FROM (SELECT item_id, {_LATIN_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+g AS MATERIALIZED (SELECT DISTINCT item_id::VARCHAR AS item, n, unnest(list_transform(range(1, len(w) - n + 2),
+     lambda s: array_to_string(w[s:s + n - 1], ' '))) AS k FROM i),
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce({_LATIN_WORDS}, []) AS w FROM documents),
+places AS (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS s FROM d JOIN (SELECT DISTINCT n FROM g) ON len(w) >= n),
+hits AS MATERIALIZED (SELECT r, p.n, s, item FROM (SELECT r, n, s, array_to_string(w[s:s + n - 1], ' ') AS k FROM places) p
+     JOIN g ON p.n = g.n AND p.k = g.k),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hits) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS line FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(line, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
+JACCARD_JOIN = rf"""
+WITH RECURSIVE d AS (SELECT doc_id AS id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[^\x20\x09-\x0D]+'), []) AS w
+     FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT id, unnest(list_transform(range(1, greatest(len(w) - 3, 1) + 1),
+     lambda p: hash(array_to_string(w[p:p + 3], ' ')))) AS g FROM d WHERE len(w) > 0),
+n AS MATERIALIZED (SELECT id, count(*) AS n FROM s GROUP BY id),
+met AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.id <> y.id GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT a, b FROM met JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+{_REACH.format(nodes="d")}
+SELECT d.id AS doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM d JOIN least USING (id) LEFT JOIN n USING (id)
+"""
+
 ORACLES = {
+    "op1_embedding_neardup": EMBEDDING_NEARDUP,
+    "op5_decontamination": DECONTAMINATION,
+    "op6_jaccard_join": JACCARD_JOIN,
     "op11_source_divergence": SOURCE_DIVERGENCE,
     "op12_centroid_clustering": _centroid_clustering(),
 }
