@@ -22,17 +22,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftwarden.llm.common import by_bytes
+from driftwarden.llm.common import by_bytes, ranges
 from driftwarden.runtime import cut
 
 END_ID = 0
-BATCH_BYTES = 1_000_000
+BATCH_BYTES = 4_000_000
 #: Characters of a text that are split into words at once.
 SLICE_CHARS = 200_000
 #: Words kept with their ids, in each of two generations, and the longest word kept.
 CACHED_WORDS, CACHED_CHARS = 300_000, 40
-# a blank at an end of the text or beside white space
+# a blank at an end of the text or beside white space; the first for texts one by one, the second for columns of them
 _AT_BLANK = re.compile(r"[^\S ] | [^\S ]|\A | \Z")
+_WHITE = r"[\t-\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_ODD_BLANK = rf"(?:\A|{_WHITE}) | (?:{_WHITE}|\z)|\x00"
 # fixed: how the vocabulary cuts a text into tokens, for texts of ASCII and Latin letters alone
 _LATIN = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
 _LATIN_TEXT = re.compile(f"[\\x00-\\x1B\\x20-\\x7F{_LATIN}]*")  # Python counts 1C-1F as white space, the vocabulary does not
@@ -64,30 +66,80 @@ class Encoder:
         self.token_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        # words of plain texts as they are cut, and where their ids lie; ``used`` is the turn a word was last seen in
+        self.known, self.ids = pa.array([], pa.string()), np.zeros(0, "<u4")
+        self.starts, self.sizes, self.used = (np.zeros(0, np.int64) for _ in range(3))
+        self.turn = 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
-        parts = [[self._words(s) for s in _slices(t)] for t in texts]
-        found = [[list(map(self.young.get, words)) for words in slices] for slices in parts]
-        self._learn({w for slices, ids in zip(parts, found) for words, known in zip(slices, ids) if None in known
-                     for w, k in zip(words, known) if k is None})
-        out = []
-        for slices, ids in zip(parts, found):
-            whole = [known if None not in known else [self.young[w] if k is None else k for w, k in zip(words, known)]
-                     for words, known in zip(slices, ids)]
-            out.append(b"".join(map(b"".join, whole)))
+        column = pa.array(texts, pa.string())
+        odd = pc.match_substring_regex(column, _ODD_BLANK).to_pylist()
+        plain = [i for i, t in enumerate(texts) if not odd[i] and len(t) <= 10 * SLICE_CHARS]
+        out: list[bytes] = [b""] * len(texts)
+        for i, data in zip(plain, self._plain([texts[i] for i in plain])):
+            out[i] = data
+        for i in sorted(set(range(len(texts))) - set(plain)):
+            out[i] = self._one(texts[i])
         if len(self.young) > CACHED_WORDS:
             self.old = {w: i for w, i in self.young.items() if len(w) <= CACHED_CHARS}
             self.young = {}
         return out
 
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Texts whose every blank starts a token: distinct words are looked up once for all of them."""
+        if not texts:
+            return []
+        lists = pc.split_pattern(pa.array(["\0" + t for t in texts]), " ")  # the mark tells first words from others
+        coded = lists.flatten().dictionary_encode()
+        place = pc.index_in(coded.dictionary, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            place[new] = len(self.known) + np.arange(len(new))
+            self._add(coded.dictionary.take(pa.array(new)))
+        self.turn += 1
+        self.used[place] = self.turn
+        at = place[coded.indices.to_numpy()]
+        counts = self.sizes[at]
+        flat = self.ids[ranges(self.starts[at], counts)]
+        stops = np.concatenate([[0], np.cumsum(counts)])[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
+        if len(self.known) > CACHED_WORDS or len(self.ids) > CACHED_CHARS * CACHED_WORDS:
+            self._forget()
+        return [flat[a:b].tobytes() for a, b in zip(stops, stops[1:])]
+
+    def _add(self, pieces: pa.Array) -> None:
+        words = [w[1:] if w[:1] == "\0" else " " + w for w in pieces.to_pylist()]
+        self._learn({w for w in words if w not in self.young})
+        found = [self.young[w] for w in words]
+        sizes = np.array([len(i) // 4 for i in found], np.int64)
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes, self.used = np.concatenate([self.sizes, sizes]), np.concatenate([self.used, np.zeros(len(sizes), np.int64)])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), "<u4")])
+        self.known = pa.concat_arrays([self.known, pieces])
+
+    def _forget(self) -> None:
+        """Keep the short words that were seen last, half as many as are held."""
+        short = np.flatnonzero(pc.utf8_length(self.known).to_numpy() <= CACHED_CHARS)
+        keep = np.sort(short[np.argsort(-self.used[short], kind="stable")[:CACHED_WORDS // 2]])
+        sizes = self.sizes[keep]
+        self.ids = self.ids[ranges(self.starts[keep], sizes)]
+        self.known, self.used = self.known.take(pa.array(keep)), self.used[keep]
+        self.starts, self.sizes = np.cumsum(sizes) - sizes, sizes
+
+    def _one(self, text: str) -> bytes:
+        found = []
+        for part in _slices(text):
+            words = self._words(part)
+            self._learn({w for w in words if w not in self.young})
+            found.append(b"".join(map(self.young.__getitem__, words)))
+        return b"".join(found)
+
     def _words(self, text: str) -> list[str]:
         """The text cut before every blank that surely starts a token."""
         pieces = text.split(" ")
         words = [" " + p for p in pieces]
         words[0] = pieces[0]
-        single = " ".join(text.split()) == text.replace("\n", " ")  # no two white-space characters side by side
-        if not single and ("  " in text or _AT_BLANK.search(text)):
+        if "  " in text or _AT_BLANK.search(text):
             joined = [words[0]]
             for before, piece, word in zip(pieces, pieces[1:], words[1:]):
                 if not before or not piece or before[-1].isspace() or piece[0].isspace():
