@@ -17,11 +17,12 @@ from driftwarden.operators import counts as C
 from driftwarden.operators import features as X
 from driftwarden.operators import metrics as M
 from driftwarden.operators import sampling as S
+from driftwarden.operators.grids import param_grid
 from driftwarden.operators.neighbours import nearest_segments
 from driftwarden.operators.ranking import with_position
 from driftwarden.operators.segments import genuine, segment_documents, unlabelled
 from driftwarden.operators.skew import join_scalars, largest_group
-from driftwarden.plans import classify as N
+from driftwarden.plans import network as N
 from driftwarden.plans import search as R
 from driftwarden.plans import spaces as P
 from driftwarden.plans import workloads as W
@@ -40,6 +41,8 @@ SEARCH_FOREST = {"trees": (4, 16, 4), "features": (5, 25, 5), "samples": (4, 12,
 SEARCH_SUPPORT = (0.5, 0.99, 25)
 SPLIT_SEED = 7
 LONG_TEXT = 2000
+NETWORK_EPOCHS = (2, 4, 6, 8)
+NETWORK_UNITS = ([4, 4, 4], [6, 6, 6], [8, 8, 8])
 KEY = ["entity", "seg"]
 
 
@@ -420,26 +423,27 @@ def auc_trapezoid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).select("lang", "order", _r("auc"))
 
 
-def _network_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _network_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(features, rows) of the labelled documents; every term of the training documents is an input."""
     labels = _doc_labels(spark, sf_dir).select("doc_id", "label")
     split = cut(S.train_test_split(labels, "doc_id", SPLIT_SEED), "split")
     docs = W.document_texts(spark, sf_dir).select("doc_id", "text").join(split.drop("label"), "doc_id")
-    features = cut(_train_test_features(spark, sf_dir, docs), "features")
-    rows = N.input_vectors(features.select("doc_id", "term", "value"), split, ["doc_id"])
-    return cut(rows, "network_rows")
+    return cut(_train_test_features(spark, sf_dir, docs).select("doc_id", "term", "value"), "features"), split
 
 
 def nn_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    predicted = N.classify(_network_rows(spark, sf_dir), "doc_id", [16, 8, 0], epochs=20)
+    features, rows = _network_inputs(spark, sf_dir)
+    predicted = N.train_networks(features, rows, "doc_id", [N.Network((16, 8, 0), 0.05, "Adam", (NETWORK_EPOCHS[-1],))])
     return predicted.select("doc_id", "is_train", "label", "pred", _r("score", 3))
 
 
 def nn_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = [{"rep": 0, "learning_rate": 0.1, "epochs": 10, "hidden_units": units, "optimizer": solver,
-             "loss_function": "binary_crossentropy"} for units in ([8, 0, 0], [8, 8, 8]) for solver in ("l-bfgs", "gd")]
-    rows = N.grid_metrics(_network_rows(spark, sf_dir), "doc_id", grid)
+    """The classifier's grid of 72 points, with narrower layers and fewer epochs than the full space."""
+    space = P.classifier_space(epochs=NETWORK_EPOCHS, hidden_units=NETWORK_UNITS)
+    grid = [r.asDict() for r in param_grid(spark, space).orderBy("candidate").drop("candidate").collect()]
+    features, rows = _network_inputs(spark, sf_dir)
     path = scratch_path(spark, "metrics")
-    K.append_metrics(rows, path)
+    K.append_metrics(N.grid_metrics(features, rows, "doc_id", grid), path)
     return spark.read.csv(path, header=True)
 
 
