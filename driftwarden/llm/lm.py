@@ -1,16 +1,20 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Smoothed bigrams form an automaton: one state per history word, an arc for every pair seen in training, and a failure
-arc to the root, whose arcs are the smoothed words. With c(u, w) pairs, c(u) histories and P(w) = (c(w) + 1) / (N + V + 1)
+Smoothed n-grams of up to three words form an automaton. Its states are the histories of two words, of one and of none
+(the root) that training texts hold; an arc leaves a state for every word seen after it and leads to the longest history
+known afterwards, and a failure arc leads to the history without its first word. With c(h, w) continuations of a history,
+c(h) their sum, P(w) = (c(w) + 1) / (N + V + 1) at the root and h' the history without its first word
 
-    arc u -> w:  (c(u, w) + strength P(w)) / (c(u) + strength)
-    failure arc: strength / (c(u) + strength), then the root's P(w)
+    arc h -> w:  P(w | h) = (c(h, w) + strength P(w | h')) / (c(h) + strength)
+    failure arc: strength / (c(h) + strength)
 
-so every state's arcs and what it passes on sum to 1. A text is read left to right, carrying the state.
+so every state's arcs and what it passes on sum to 1. A text is read once from left to right: the state is carried from
+word to word, failure arcs are followed until an arc fits, and the logarithms add up. An unknown word is an arc of the
+root that leads back to it.
 
 The automaton grows with the corpus, so it is never held whole. Texts are written once as blocks of word numbers; each
-block asks for the counts of its distinct words and pairs, which are added up by hash range, and gets back just the
-slice of the automaton that its texts can touch.
+block asks for the counts of its distinct words, pairs and triples, which are added up by hash range, and gets back just
+the slice of the automaton that its texts can touch.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from pyspark.sql import functions as F
 from driftwarden.llm.common import by_bytes, mix64, pack, pack_sorted, partitions, unpack, unpack_sorted
 from driftwarden.runtime import cut
 
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 #: Bytes of text per bucket of counts, on average.
 BUCKET_BYTES = 8_000_000
 END, START = np.uint64(1), np.uint64(2)  # keys of the end token and of the start state
@@ -81,17 +85,29 @@ def _read(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
             unpack(row["held"], np.uint8).astype(bool))
 
 
-def _pairs(words: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Key of every token's (history, word) pair."""
+def _grams(words: np.ndarray, codes: np.ndarray, lengths: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, places): the n-gram of ``order`` words that ends at each token; a text's first tokens follow its start."""
+    places = np.arange(len(codes))
+    if order == 1:
+        return words[codes], places
+    first = np.cumsum(lengths, dtype=np.int64) - lengths
+    start = mix64(np.array([START]))[0]
     with np.errstate(over="ignore"):
         spread = mix64(words)
         before = np.empty(len(codes), np.uint64)
         before[1:] = spread[codes[:-1]]
-        before[np.cumsum(lengths, dtype=np.int64) - lengths] = mix64(np.array([START]))[0]
-        return mix64(before * np.uint64(3) + spread[codes])
-
-
-def _requests(blocks: DataFrame, pairs: bool, buckets: int) -> DataFrame:
+        before[first] = start
+        keys = mix64(before * np.uint64(3) + spread[codes])
+        if order == 2:
+            return keys, places
+        earlier = np.empty(len(codes), np.uint64)
+        earlier[1:] = before[:-1]
+        inside = np.ones(len(codes), bool)
+        inside[first] = False
+        return mix64(earlier * np.uint64(5) + keys)[inside], places[inside]
+
+
+def _requests(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
     """bucket, block, keys, counts: the distinct keys of each block and how often training texts have them."""
 
     def ask(frames):
@@ -99,10 +115,12 @@ def _requests(blocks: DataFrame, pairs: bool, buckets: int) -> DataFrame:
             for _, row in frame.iterrows():
                 words, codes, lengths, held = _read(row)
                 learn = np.repeat(~held, lengths)
-                if pairs:
-                    keys, codes = np.unique(_pairs(words, codes, lengths), return_inverse=True)
-                else:
+                if order == 1:
                     keys = words
+                else:
+                    grams, places = _grams(words, codes, lengths, order)
+                    keys, codes = np.unique(grams, return_inverse=True)
+                    learn = learn[places]
                 counts = np.bincount(codes[learn], minlength=len(keys)).astype(np.uint32)
                 cuts = slices(keys, buckets)
                 at = np.flatnonzero(np.diff(cuts))
@@ -114,6 +132,65 @@ def _requests(blocks: DataFrame, pairs: bool, buckets: int) -> DataFrame:
     return blocks.mapInPandas(ask, "bucket int, block long, keys binary, counts binary")
 
 
+class Automaton:
+    """The slice of the automaton that a block's texts can touch.
+
+    State 0 is the root, 1 + u the history of word number u (after the last word: the start of a text), and from
+    ``pairs`` on come the histories of two words. ``counts`` holds the training counts of the block's distinct words,
+    pairs and triples in the order of their keys, ``n`` tokens and ``v`` words make up the training texts.
+    """
+
+    def __init__(self, words: np.ndarray, codes: np.ndarray, lengths: np.ndarray, counts: list[np.ndarray],
+                 n: int, v: int, strength: float):
+        m = len(words)
+        self.pairs, self.width = m + 2, m + 1
+        singles, doubles, triples = (c.astype(np.float64) for c in counts)
+        ends = singles[words == END]
+        history = np.concatenate((singles, ends if len(ends) else [0.0]))
+        self.start = 1 + m if history[m] else 0
+        self.plain = (singles + 1) / (n + v + 1)
+
+        grams, _ = _grams(words, codes, lengths, 2)
+        _, at, pair_of = np.unique(grams, return_index=True, return_inverse=True)
+        before = np.empty(len(codes), np.int64)
+        before[1:] = codes[:-1]
+        before[np.cumsum(lengths, dtype=np.int64) - lengths] = m
+        first, second = before[at], codes[at].astype(np.int64)
+        by_pair = (doubles + strength * self.plain[second]) / (history[first] + strength)
+
+        grams, places = _grams(words, codes, lengths, 3)
+        _, at = np.unique(grams, return_index=True)
+        end = places[at]
+        longer, shorter = pair_of[end - 1], pair_of[end]
+        by_triple = (triples + strength * by_pair[shorter]) / (doubles[longer] + strength)
+
+        two, three = np.flatnonzero(doubles), np.flatnonzero(triples)
+        source = np.concatenate((np.zeros(m, np.int64), 1 + first[two], self.pairs + longer[three]))
+        word = np.concatenate((np.arange(m), second[two], codes[end[three]]))
+        target = np.concatenate((np.where(singles > 0, 1 + np.arange(m), 0), self.pairs + two, self.pairs + shorter[three]))
+        self.weight = np.log10(np.concatenate((self.plain, by_pair[two], by_triple[three]))).tolist()
+        self.target = target.tolist()
+        self.arcs = dict(zip((source * self.width + word).tolist(), range(len(source))))
+        self.failure = np.concatenate(([0], np.zeros(m + 1, np.int64), 1 + second)).tolist()
+        passed = strength / (np.concatenate((history, doubles)) + strength)
+        self.passes = np.log10(np.concatenate(([1.0], passed))).tolist()
+
+    def read(self, text: list[int]) -> float:
+        """log10 of the probability of one text, given as word numbers."""
+        arcs, weight, target, width, failure, passes = (
+            self.arcs, self.weight, self.target, self.width, self.failure, self.passes)
+        state, total = self.start, 0.0
+        for word in text:
+            arc = arcs.get(state * width + word)
+            while arc is None:  # the root has an arc for every word
+                total += passes[state]
+                state = failure[state]
+                arc = arcs.get(state * width + word)
+            total += weight[arc]
+            state = target[arc]
+        return total
+
+
 def _answers(requests: DataFrame, kind: int) -> DataFrame:
     """block, kind, bucket, counts (total of every key asked for), tokens and types of the bucket (block null)."""
 
@@ -141,17 +218,17 @@ def score_documents(docs: DataFrame, strength: float = 30.0) -> DataFrame:
 
     Training texts are those whose crc32(doc_id) mod 7 is not 2; a null id counts as training. A null or empty text
     is its end token alone. Repeated rows are counted and scored as often as they occur. An unknown word leads to the
-    root and costs its share of P. An empty table gives no rows.
+    root and costs its share of P. An empty table gives no rows. Memory follows the longest text.
     """
     spark = docs.sparkSession
     held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = power_of_two(max(4 * partitions(spark), -(-held // BUCKET_BYTES)))
     blocks = cut(encode_blocks(docs), "lm-blocks")
-    words = cut(_answers(_requests(blocks, False, buckets), 0), "lm-words")
-    pairs = _answers(_requests(blocks, True, buckets), 1)
+    words = cut(_answers(_requests(blocks, 1, buckets), 1), "lm-words")
+    longer = [_answers(_requests(blocks, order, buckets), order) for order in (2, 3)]
     size = words.where("block is null").agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
     n, v = size["n"] or 0, size["v"] or 0
-    answers = words.where("block is not null").unionByName(pairs.where("block is not null")).select(
+    answers = words.unionByName(longer[0]).unionByName(longer[1]).where("block is not null").select(
         F.col("block").alias("of"), "kind", "bucket", "counts")
 
     def walk(key, block, answer):
@@ -159,27 +236,21 @@ def score_documents(docs: DataFrame, strength: float = 30.0) -> DataFrame:
             return pd.DataFrame({"doc_id": pd.array([], "Int64"), "held_out": [], "n_tokens": [], "n_known": [],
                                  "base_score": [], "score": []})
         answer = answer.sort_values(["kind", "bucket"])
-        count = [np.concatenate([unpack(c, np.int64) for c in answer["counts"][answer["kind"] == k]]) for k in (0, 1)]
+        counts = [np.concatenate([np.empty(0, np.int64), *(unpack(c, np.int64) for c in answer["counts"][answer["kind"] == k])])
+                  for k in (1, 2, 3)]
         row = block.iloc[0]
-        word_keys, codes, lengths, held = _read(row)
-        pair_keys = _pairs(word_keys, codes, lengths)
-        at = np.searchsorted(np.unique(pair_keys), pair_keys)
-        seen = count[0][codes].astype(np.float64)
-        plain = (seen + 1) / (n + v + 1)
-        first = np.cumsum(lengths, dtype=np.int64) - lengths
-        history = np.empty(len(codes))
-        history[1:] = seen[:-1]
-        ends = count[0][word_keys == END]
-        history[first] = ends[0] if len(ends) else 0
-        # state u: the arc if there is one, else the failure arc; at the root (unknown history) the word itself
-        arc = (count[1][at] + strength * plain) / (history + strength)
-        step = np.where(history > 0, arc, plain)
+        names, codes, lengths, held = _read(row)
+        automaton = Automaton(names, codes, lengths, counts, n, v, strength)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        first = ends - lengths
+        known = (counts[0] > 0)[codes]
         ids = pd.array(unpack(row["ids"], np.int64), "Int64")
         ids[unpack(row["missing"], np.uint8).astype(bool)] = pd.NA
         return pd.DataFrame({
             "doc_id": ids, "held_out": held, "n_tokens": lengths.astype(np.int64),
-            "n_known": np.add.reduceat((seen > 0).astype(np.int64), first),
-            "base_score": np.add.reduceat(np.log10(plain), first), "score": np.add.reduceat(np.log10(step), first)})
+            "n_known": np.add.reduceat(known.astype(np.int64), first),
+            "base_score": np.add.reduceat(np.log10(automaton.plain)[codes], first),
+            "score": [automaton.read(codes[a:b].tolist()) for a, b in zip(first, ends)]})
 
     scored = blocks.groupBy("block").cogroup(answers.groupBy("of")).applyInPandas(
         walk, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")

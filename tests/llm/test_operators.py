@@ -89,32 +89,57 @@ def test_language_model(docs, rows):
     texts = [(r[0], re.findall(WORD, "".join(c.lower() if "A" <= c <= "Z" else c for c in r[1] or "")) + [None])
              for r in rows]
     held = [d is not None and zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in texts]
-    words, pairs, history = Counter(), Counter(), Counter()
+    grams, follow = Counter(), Counter()
     for (_, t), out in zip(texts, held):
         if not out:
-            words.update(t)
-            pairs.update(zip(["<s>"] + t[:-1], t))
-            history.update(["<s>"] + t[:-1])
-    n, v = sum(words.values()), len(words)
+            for i, w in enumerate(t):
+                for history in {tuple((["<s>"] + t)[j:i + 1]) for j in range(max(0, i - 1), i + 2)}:
+                    grams[*history, w] += 1
+                    follow[history] += 1
+    n, v = follow[()], sum(len(g) == 1 for g in grams)
+
+    def p(history, w):
+        """Each history leans on the one without its first word."""
+        if not history:
+            return (grams[w,] + 1) / (n + v + 1)
+        return (grams[*history, w] + strength * p(history[1:], w)) / (follow[history] + strength)
+
     want = []
     for (d, t), out in zip(texts, held):
-        plain = [(words[w] + 1) / (n + v + 1) for w in t]
-        score = sum(math.log10((pairs[u, w] + strength * p) / (history[u] + strength) if history[u] else p)
-                    for u, w, p in zip(["<s>"] + t[:-1], t, plain))
-        want.append((d, out, len(t), sum(words[w] > 0 for w in t), n, sum(map(math.log10, plain)), score))
+        score = sum(math.log10(p(tuple((["<s>"] + t)[max(0, i - 1):i + 1]), w)) for i, w in enumerate(t))
+        want.append((d, out, len(t), sum(grams[w,] > 0 for w in t), n, sum(math.log10(p((), w)) for w in t), score))
     got = lm.score_documents(docs).collect()
     for a, b in zip(h.ordered(got), h.ordered(want), strict=True):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:])
-    # the states' arcs sum to one with what they pass on
-    u = next(iter(pairs))[0]
-    seen = [w for a, w in pairs if a == u]
-    arcs = sum((pairs[u, w] + strength * (words[w] + 1) / (n + v + 1)) / (history[u] + strength) for w in seen)
-    rest = 1 - sum((words[w] + 1) / (n + v + 1) for w in seen)
-    assert arcs + strength / (history[u] + strength) * rest == pytest.approx(1)
     held_out = [w for w in want if w[1]]
     assert sum(w[6] for w in held_out) > sum(w[5] for w in held_out)
 
 
+def test_automaton_carries_its_state():
+    """'a b c a b d', trained on itself: arcs of every state and what it passes on sum to 1."""
+    words = np.array([1, 11, 12, 13, 14], np.uint64)  # the end token, then a b c d
+    codes, lengths = np.array([1, 2, 3, 1, 2, 4, 0], np.int32), np.array([7], np.int32)
+    counts = [np.bincount(codes)] + [np.unique(lm._grams(words, codes, lengths, k)[0], return_counts=True)[1] for k in (2, 3)]
+    found = lm.Automaton(words, codes, lengths, counts, 7, 5, 2.0)
+    states = {k // found.width for k in found.arcs}
+    assert len(states) == 1 + 5 + 5  # root; a b c d and the start; start-a, ab, bc, ca, bd
+
+    def share(state, word):
+        total = 1.0
+        while state * found.width + word not in found.arcs:
+            total, state = total * 10 ** found.passes[state], found.failure[state]
+        return total * 10 ** found.weight[found.arcs[state * found.width + word]]
+
+    unknown = 1 / (7 + 5 + 1)  # the root keeps this for words it has not seen
+    for state in states:
+        left, at = unknown, state
+        while at:
+            left, at = left * 10 ** found.passes[at], found.failure[at]
+        assert sum(share(state, w) for w in range(5)) + left == pytest.approx(1)
+    assert found.read([1, 2]) == pytest.approx(
+        math.log10(share(found.start, 1)) + math.log10(share(found.target[found.arcs[found.start * found.width + 1]], 2)))
+
+
 def test_language_model_of_nothing(spark):
     assert lm.score_documents(h.documents(spark, []).coalesce(1)).count() == 0
 
