@@ -28,9 +28,11 @@ from pyspark.sql import functions as F
 from driftwarden.llm.common import by_bytes, mix64, pack, pack_sorted, partitions, unpack, unpack_sorted
 from driftwarden.runtime import cut
 
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 4_000_000
 #: Bytes of text per bucket of counts, on average.
 BUCKET_BYTES = 8_000_000
+#: Bits of a key beyond those that number the corpus' bytes: a word or n-gram shares its key with odds of 2^-20 at any size.
+SPARE_BITS = 20
 END, START = np.uint64(1), np.uint64(2)  # keys of the end token and of the start state
 
 
@@ -38,6 +40,12 @@ def power_of_two(n: int) -> int:
     return 1 << max(0, int(n - 1).bit_length())
 
 
+def key_mask(size: int) -> np.uint64:
+    """Keeps the leading bits of a hash that texts of ``size`` bytes need."""
+    bits = min(64, int(size).bit_length() + SPARE_BITS)
+    return np.uint64(((1 << bits) - 1) << (64 - bits))
+
+
 def slices(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Bounds of the ascending ``keys`` in each of ``buckets`` (a power of two) equal hash ranges."""
     bits = buckets.bit_length() - 1
@@ -45,7 +53,7 @@ def slices(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate((at, [len(keys)]))
 
 
-def encode_blocks(docs: DataFrame) -> DataFrame:
+def encode_blocks(docs: DataFrame, mask: np.uint64) -> DataFrame:
     """block, ids, missing, held, lengths, words (distinct keys, ascending), codes (number of each token's word)."""
 
     def encode(frames):
@@ -63,7 +71,7 @@ def encode_blocks(docs: DataFrame) -> DataFrame:
                 flat[:] = [w for t in tokens for w in t]
                 if len(flat):
                     codes, names = pd.factorize(flat)
-                    keys[inner] = pd.util.hash_array(np.asarray(names, dtype=object), categorize=False)[codes]
+                    keys[inner] = pd.util.hash_array(np.asarray(names, dtype=object), categorize=False)[codes] & mask
                 words, codes = np.unique(keys, return_inverse=True)
                 ids = [int(x) if x is not None else 0 for x in frame["id"]]
                 yield pd.DataFrame({
@@ -85,7 +93,8 @@ def _read(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
             unpack(row["held"], np.uint8).astype(bool))
 
 
-def _grams(words: np.ndarray, codes: np.ndarray, lengths: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+def _grams(words: np.ndarray, codes: np.ndarray, lengths: np.ndarray, order: int,
+           mask: np.uint64) -> tuple[np.ndarray, np.ndarray]:
     """(keys, places): the n-gram of ``order`` words that ends at each token; a text's first tokens follow its start."""
     places = np.arange(len(codes))
     if order == 1:
@@ -99,15 +108,15 @@ def _grams(words: np.ndarray, codes: np.ndarray, lengths: np.ndarray, order: int
         before[first] = start
         keys = mix64(before * np.uint64(3) + spread[codes])
         if order == 2:
-            return keys, places
+            return keys & mask, places
         earlier = np.empty(len(codes), np.uint64)
         earlier[1:] = before[:-1]
         inside = np.ones(len(codes), bool)
         inside[first] = False
-        return mix64(earlier * np.uint64(5) + keys)[inside], places[inside]
+        return mix64(earlier * np.uint64(5) + keys)[inside] & mask, places[inside]
 
 
-def _requests(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
+def _requests(blocks: DataFrame, order: int, buckets: int, mask: np.uint64) -> DataFrame:
     """bucket, block, keys, counts: the distinct keys of each block and how often training texts have them."""
 
     def ask(frames):
@@ -118,7 +127,7 @@ def _requests(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
                 if order == 1:
                     keys = words
                 else:
-                    grams, places = _grams(words, codes, lengths, order)
+                    grams, places = _grams(words, codes, lengths, order, mask)
                     keys, codes = np.unique(grams, return_inverse=True)
                     learn = learn[places]
                 counts = np.bincount(codes[learn], minlength=len(keys)).astype(np.uint32)
@@ -141,7 +150,7 @@ class Automaton:
     """
 
     def __init__(self, words: np.ndarray, codes: np.ndarray, lengths: np.ndarray, counts: list[np.ndarray],
-                 n: int, v: int, strength: float):
+                 n: int, v: int, strength: float, mask: np.uint64):
         m = len(words)
         self.pairs, self.width = m + 2, m + 1
         singles, doubles, triples = (c.astype(np.float64) for c in counts)
@@ -150,7 +159,7 @@ class Automaton:
         self.start = 1 + m if history[m] else 0
         self.plain = (singles + 1) / (n + v + 1)
 
-        grams, _ = _grams(words, codes, lengths, 2)
+        grams, _ = _grams(words, codes, lengths, 2, mask)
         _, at, pair_of = np.unique(grams, return_index=True, return_inverse=True)
         before = np.empty(len(codes), np.int64)
         before[1:] = codes[:-1]
@@ -158,7 +167,7 @@ class Automaton:
         first, second = before[at], codes[at].astype(np.int64)
         by_pair = (doubles + strength * self.plain[second]) / (history[first] + strength)
 
-        grams, places = _grams(words, codes, lengths, 3)
+        grams, places = _grams(words, codes, lengths, 3, mask)
         _, at = np.unique(grams, return_index=True)
         end = places[at]
         longer, shorter = pair_of[end - 1], pair_of[end]
@@ -223,9 +232,10 @@ def score_documents(docs: DataFrame, strength: float = 30.0) -> DataFrame:
     spark = docs.sparkSession
     held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = power_of_two(max(4 * partitions(spark), -(-held // BUCKET_BYTES)))
-    blocks = cut(encode_blocks(docs), "lm-blocks")
-    words = cut(_answers(_requests(blocks, 1, buckets), 1), "lm-words")
-    longer = [_answers(_requests(blocks, order, buckets), order) for order in (2, 3)]
+    mask = key_mask(held)
+    blocks = cut(encode_blocks(docs, mask), "lm-blocks")
+    words = cut(_answers(_requests(blocks, 1, buckets, mask), 1), "lm-words")
+    longer = [_answers(_requests(blocks, order, buckets, mask), order) for order in (2, 3)]
     size = words.where("block is null").agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
     n, v = size["n"] or 0, size["v"] or 0
     answers = words.unionByName(longer[0]).unionByName(longer[1]).where("block is not null").select(
@@ -240,7 +250,7 @@ def score_documents(docs: DataFrame, strength: float = 30.0) -> DataFrame:
                   for k in (1, 2, 3)]
         row = block.iloc[0]
         names, codes, lengths, held = _read(row)
-        automaton = Automaton(names, codes, lengths, counts, n, v, strength)
+        automaton = Automaton(names, codes, lengths, counts, n, v, strength, mask)
         ends = np.cumsum(lengths, dtype=np.int64)
         first = ends - lengths
         known = (counts[0] > 0)[codes]

@@ -119,8 +119,9 @@ def test_automaton_carries_its_state():
     """'a b c a b d', trained on itself: arcs of every state and what it passes on sum to 1."""
     words = np.array([1, 11, 12, 13, 14], np.uint64)  # the end token, then a b c d
     codes, lengths = np.array([1, 2, 3, 1, 2, 4, 0], np.int32), np.array([7], np.int32)
-    counts = [np.bincount(codes)] + [np.unique(lm._grams(words, codes, lengths, k)[0], return_counts=True)[1] for k in (2, 3)]
-    found = lm.Automaton(words, codes, lengths, counts, 7, 5, 2.0)
+    full = lm.key_mask(1 << 63)
+    counts = [np.bincount(codes)] + [np.unique(lm._grams(words, codes, lengths, k, full)[0], return_counts=True)[1] for k in (2, 3)]
+    found = lm.Automaton(words, codes, lengths, counts, 7, 5, 2.0, full)
     states = {k // found.width for k in found.arcs}
     assert len(states) == 1 + 5 + 5  # root; a b c d and the start; start-a, ab, bc, ca, bd
 
