@@ -1,6 +1,6 @@
 """Mixing sources to target weights by hash thresholds.
 
-Every document has a hash of its id. A source's budget of words becomes a threshold on that hash: sizes are summed by
+Every document has a hash of its id and text. A source's budget of words becomes a threshold on that hash: sizes are summed by
 source and hash bucket, the running sum finds the bucket in which the budget ends, and only that bucket is divided
 again, until the threshold separates two documents. Filtering by threshold then needs no sort, and a larger budget
 always takes a superset.
@@ -19,16 +19,17 @@ HASH_BITS = 60
 LEVEL_BITS = 12
 
 
-def doc_hash(id_col, seed: str):
-    """The first 60 bits of an md5 of the id."""
-    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), id_col.cast("string"))), 1, 15), 16, 10).cast("long")
+def doc_hash(seed: str):
+    """The first 60 bits of an md5 of id and text: rows without an id, or with the same one, still differ by their text."""
+    parts = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))]
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), *parts)), 1, 15), 16, 10).cast("long")
 
 
 def sized(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """doc_id, source, _source, size (words; null: 0) and hash, written once."""
     size = F.coalesce(F.regexp_count("text", F.lit(WHITESPACE_WORD)), F.lit(0)).cast("long")
     return cut(docs.select("doc_id", "source", source_key(F.col("source")).alias("_source"), size.alias("size"),
-                           doc_hash(F.col("doc_id"), seed).alias("hash")), "mix-sizes")
+                           doc_hash(seed).alias("hash")), "mix-sizes")
 
 
 def source_targets(sizes: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -116,8 +117,9 @@ def copies():
 def mix_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """doc_id, source, size, source_size, target, taken, copies.
 
-    Null or blank texts have size 0 and take nothing; a null source is a source of its own; a null id is hashed as a
-    value, and rows with equal ids are taken or left together. An empty table gives no rows.
+    Null or blank texts have size 0 and take nothing; a null source is a source of its own; rows with null or
+    equal ids are told apart by their text, and only rows equal in both are taken or left together. An empty table gives
+    no rows.
     """
     sizes = sized(docs, seed)
     plan = mix_plan(sizes, source_targets(sizes))
@@ -130,6 +132,6 @@ def apply_mix(docs: DataFrame, seed: str = "mix") -> DataFrame:
     sizes = sized(docs, seed)
     plan = cut(mix_plan(sizes, source_targets(sizes)).select("_source", "_whole", "threshold"), "mix-plan")
     keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-                        source_key(F.col("source")).alias("_source"), doc_hash(F.col("doc_id"), seed).alias("hash"))
+                        source_key(F.col("source")).alias("_source"), doc_hash(seed).alias("hash"))
     taken = keyed.join(plan, "_source").select("row", copies().alias("times")).where("times > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("time")).select("row.*")

@@ -341,6 +341,17 @@ def test_mix(docs, rows):
         r["doc_id"] for r in got for _ in range(r["copies"]))
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_mix_of_rows_with_null_or_equal_ids(spark, doc_id):
+    """A source whose ids are all null, or all the same, comes as near its target as any other."""
+    texts = [(doc_id, f"w{i} " * 10, "en", "a", 1, 1, "c", "c") for i in range(2000)]
+    other = [(i, "x " * 10, "en", "b", 1, 1, "c", "c") for i in range(2000)]
+    got = mixing.mix_documents(h.documents(spark, texts + other)).collect()
+    for source in "ab":
+        mine = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 10
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix_documents(h.documents(spark, [])).count() == 0
     assert mixing.apply_mix(h.documents(spark, [])).count() == 0
