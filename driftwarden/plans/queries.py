@@ -28,7 +28,7 @@ from driftwarden.plans import spaces as P
 from driftwarden.plans import workloads as W
 from driftwarden.runtime import cut, scratch_path
 from driftwarden.sinks import tables as K
-from driftwarden.sources.labels import labelled_segments, read_label_matrix, unpivot_labels
+from driftwarden.sources.labels import labelled_segments, read_label_bands
 from driftwarden.sources.tokens import read_token_files
 
 # Detector settings scaled to segments of 20 tokens and about 30 segments per stream.
@@ -209,12 +209,10 @@ def _partial_labels(spark: SparkSession, sf_dir: str, lines: DataFrame | None =
 
 
 def _through_matrix(spark: SparkSession, labels: DataFrame) -> DataFrame:
-    """Write the wide CSV, read it back and return the long form of its filled cells."""
-    stored = cut(labels, "labels")
-    n_segments = stored.agg(F.max("seg")).first()[0] + 1
+    """Write the matrix in bands, read it back and return the long form of its filled cells."""
     path = scratch_path(spark, "label_matrix")
-    K.write_label_matrix(stored, n_segments, path)
-    return unpivot_labels(read_label_matrix(spark, path, n_segments)).filter(F.col("label").isNotNull())
+    K.write_label_bands(labels, path)
+    return read_label_bands(spark, path, K.BAND_COLUMNS)
 
 
 def labels_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:

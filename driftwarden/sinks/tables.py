@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from driftwarden.operators.skew import join_scalars
 
-# A CSV matrix has one column per segment; wider results belong in long form.
-MAX_MATRIX_COLUMNS = 20_000
+# Columns of a band: a matrix of any length is stored as rows (entity, band) of this width.
+BAND_COLUMNS = 500
 
 
 def write_count_tables(ranked: DataFrame, path: str, keys: Sequence[str] = (), folders: Sequence[str] = ()) -> None:
@@ -38,9 +38,7 @@ def fill_labels(labels: DataFrame, flags: DataFrame, n_genuine: int, labelled: D
 
 
 def label_matrix(labels: DataFrame, n_segments: int) -> DataFrame:
-    """Wide form, one row per entity and one column per segment."""
-    if n_segments > MAX_MATRIX_COLUMNS:
-        raise ValueError(f"{n_segments} segments make too wide a matrix; write the long form")
+    """Wide form, one row per entity and one column per segment; for long streams see ``label_bands``."""
     return labels.groupBy("entity").pivot("seg", list(range(n_segments))).agg(F.first("label"))
 
 
@@ -48,6 +46,17 @@ def write_label_matrix(labels: DataFrame, n_segments: int, path: str) -> None:
     label_matrix(labels, n_segments).write.mode("overwrite").option("header", True).csv(path)
 
 
+def label_bands(labels: DataFrame, width: int = BAND_COLUMNS) -> DataFrame:
+    """(entity, band, 0, 1, ...): the wide form cut into bands of ``width`` segments, so no row grows with a stream."""
+    places = labels.select("entity", F.floor(F.col("seg") / width).alias("band"),
+                           (F.col("seg") % width).cast("int").alias("place"), "label")
+    return places.groupBy("entity", "band").pivot("place", list(range(width))).agg(F.first("label"))
+
+
+def write_label_bands(labels: DataFrame, path: str, width: int = BAND_COLUMNS) -> None:
+    label_bands(labels, width).write.mode("overwrite").option("header", True).csv(path)
+
+
 def write_search_results(results: DataFrame, path: str) -> None:
     """Best parameters with their summary rows, one folder per detector."""
     results.write.mode("overwrite").option("header", True).partitionBy("detector").csv(path)

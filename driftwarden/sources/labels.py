@@ -19,6 +19,16 @@ def read_label_matrix(spark: SparkSession, path: str, n_segments: int) -> DataFr
     return spark.read.csv(path, header=True, schema=matrix_schema(n_segments))
 
 
+def read_label_bands(spark: SparkSession, path: str, width: int) -> DataFrame:
+    """``labels(entity, seg, label)`` from a matrix stored in bands; empty cells are left out."""
+    schema = T.StructType([T.StructField("entity", T.LongType()), T.StructField("band", T.LongType()),
+                           *[T.StructField(str(i), T.IntegerType()) for i in range(width)]])
+    long = spark.read.csv(path, header=True, schema=schema).unpivot(
+        ["entity", "band"], [str(i) for i in range(width)], "place", "label")
+    seg = (F.col("band") * width + F.col("place").cast("int")).cast("int")
+    return long.filter(F.col("label").isNotNull()).select("entity", seg.alias("seg"), "label")
+
+
 def unpivot_labels(matrix: DataFrame) -> DataFrame:
     """``labels(entity, seg, label)`` from the matrix; the column's place is the segment."""
     cells = [c for c in matrix.columns if c != "entity"]

@@ -4,8 +4,8 @@ from driftwarden.operators.counts import count_levels, count_tokens, rank_counts
 from driftwarden.operators.features import (
     apply_idf, fit_idf, fit_vocabulary, known_terms, l2_normalise, pack_vectors, term_counts, tokenize)
 from driftwarden.operators.segments import assign_segments, genuine, outlier_flag, segment_documents, unlabelled
-from driftwarden.sinks.tables import fill_labels, label_matrix, write_count_tables, write_label_matrix
-from driftwarden.sources.labels import labelled_segments, read_label_matrix, unpivot_labels
+from driftwarden.sinks.tables import fill_labels, label_matrix, write_count_tables, write_label_bands, write_label_matrix
+from driftwarden.sources.labels import labelled_segments, read_label_bands, read_label_matrix, unpivot_labels
 from driftwarden.sources.tokens import read_token_files
 from tests.helpers import as_rows
 
@@ -101,3 +101,10 @@ def test_label_matrix_round_trip(spark, tmp_path):
 def test_outlier_flag(spark):
     raw = spark.createDataFrame([(-1,), (1,)], "raw int")
     assert sorted(r[0] for r in raw.select(outlier_flag(F.col("raw"))).collect()) == [0, 1]
+
+
+def test_label_bands_hold_streams_of_any_length(spark, tmp_path):
+    rows = [(1, s, s % 2) for s in range(50_000)] + [(2, 7, 1), (2, 499, None), (2, 500, 0)]
+    write_label_bands(spark.createDataFrame(rows, "entity long, seg int, label int"), str(tmp_path / "b"), 500)
+    back = read_label_bands(spark, str(tmp_path / "b"), 500)
+    assert sorted(map(tuple, back.collect())) == sorted(r for r in rows if r[2] is not None)
