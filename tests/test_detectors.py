@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from driftwarden.detectors import ocsvm
+from driftwarden.detectors import iforest, ocsvm
 from driftwarden.detectors.centroid import detect_centroid
 from driftwarden.detectors.envelope import detect_envelope
 from driftwarden.detectors.iforest import average_path, detect_iforest
@@ -218,3 +218,33 @@ def test_majority(spark):
     keys = ["entity", "seg"]
     assert as_rows(majority_vote(stack_flags(frames, keys), keys), "votes", "flag") == [(3, 1)]
     assert as_rows(majority_vote(stack_flags(frames, keys), keys, 3), "votes", "flag") == [(3, 0)]
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_forest_takes_values_that_are_neighbours_in_double_precision(spark, monkeypatch, large):
+    """1/sqrt(2) and 3/sqrt(18) differ in their last bit, so a split between them rounds to one of the two."""
+    low, high = sorted([1 / 2 ** 0.5, 3 / 18 ** 0.5])
+    assert low < high and np.nextafter(low, 1) == high
+    rows = [(e, s, ["a"], [x], s < 2, True) for e in range(8) for s, x in enumerate([low, high, 0.9])]
+    frame = spark.createDataFrame(
+        rows, "entity long, seg int, terms array<string>, vals array<double>, is_fit boolean, is_scored boolean")
+    if large:
+        monkeypatch.setattr(iforest.blocks, "SCORE_ROWS", 1)
+    got = {(r.entity, r.seg): r.score for r in detect_iforest(frame, trees=6, samples=2, features=1).collect()}
+    for entity in range(8):
+        paths = {0: [], 1: [], 2: []}
+        for tree in range(6):
+            split = low + iforest._uniform(entity, tree, 0, "split") * (high - low)
+            together = split >= high  # both fitted rows go left; the third one leaves where no fitted row is
+            for seg in range(2 if together else 3):
+                paths[seg].append(2.0 if together else 1.0)
+        for seg, found in paths.items():
+            assert got[(entity, seg)] == pytest.approx(2.0 ** (-(np.mean(found) if found else 0.0)), abs=1e-9)
+
+
+def test_trees_grown_together_equal_trees_grown_alone():
+    x = np.random.default_rng(5).integers(0, 4, (7, 13, 5)).astype(float)
+    together = iforest._grow_trees(x, [("k", t) for t in range(7)], 4)
+    for t in range(7):
+        for a, b in zip(together, iforest._grow_trees(x[t:t + 1], [("k", t)], 4)):
+            np.testing.assert_array_equal(a[t], b[0])
