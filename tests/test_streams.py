@@ -4,6 +4,8 @@ from driftwarden.operators.counts import count_levels, count_tokens, rank_counts
 from driftwarden.operators.features import (
     apply_idf, fit_idf, fit_vocabulary, known_terms, l2_normalise, pack_vectors, term_counts, tokenize)
 from driftwarden.operators.segments import assign_segments, genuine, outlier_flag, segment_documents, unlabelled
+from driftwarden.plans import workloads as W
+from driftwarden.plans.queries import QUERIES
 from driftwarden.sinks.tables import fill_labels, label_matrix, write_count_tables, write_label_bands, write_label_matrix
 from driftwarden.sources.labels import labelled_segments, read_label_bands, read_label_matrix, unpivot_labels
 from driftwarden.sources.tokens import read_token_files
@@ -108,3 +110,17 @@ def test_label_bands_hold_streams_of_any_length(spark, tmp_path):
     write_label_bands(spark.createDataFrame(rows, "entity long, seg int, label int"), str(tmp_path / "b"), 500)
     back = read_label_bands(spark, str(tmp_path / "b"), 500)
     assert sorted(map(tuple, back.collect())) == sorted(r for r in rows if r[2] is not None)
+
+
+def test_genuine_segments_of_unlabelled_entities_are_labelled_segments(spark, tmp_path):
+    """Labels of genuine segments are known for every entity, so their segments are returned for every entity."""
+    length, known = W.SEGMENT_LENGTH, W.GENUINE
+    n = (known + 1) * length
+    rows = [(s, s * n + i, 1, i, "N", 1.0, 1.0, 0.0) for s in (1, 2) for i in range(n)]
+    spark.createDataFrame(rows, "l_suppkey long, l_orderkey long, l_partkey long, l_linenumber int, l_returnflag string, "
+                          "l_quantity double, l_extendedprice double, l_discount double").withColumn(
+        "l_shipdate", F.timestamp_seconds(F.col("l_orderkey"))).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "b")], "p_partkey long, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(1, 9000.0), (2, 0.0)], "s_suppkey long, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    got = {(r.entity, r.seg) for r in QUERIES["labelled_segments"](spark, str(tmp_path)).collect()}
+    assert got == {(1, s) for s in range(known + 1)} | {(2, s) for s in range(known)}
