@@ -1,14 +1,16 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from driftwarden.detectors import iforest, ocsvm
 from driftwarden.detectors.centroid import detect_centroid
-from driftwarden.detectors.envelope import detect_envelope
+from driftwarden.detectors.envelope import detect_envelope, support_sums
 from driftwarden.detectors.iforest import average_path, detect_iforest
 from driftwarden.detectors.lof import detect_lof
 from driftwarden.detectors.ocsvm import detect_ocsvm, solve_dual
 from driftwarden.detectors.vote import majority_vote, stack_flags
+from driftwarden.operators import dense
 from driftwarden.operators.neighbours import nearest_segments
 from tests.helpers import as_rows, brute_lof, distance_matrix, unit_rows, vectors_frame
 
@@ -248,3 +250,31 @@ def test_trees_grown_together_equal_trees_grown_alone():
     for t in range(7):
         for a, b in zip(together, iforest._grow_trees(x[t:t + 1], [("k", t)], 4)):
             np.testing.assert_array_equal(a[t], b[0])
+
+
+def test_support_sums_multiply_batches_of_rows(spark, data):
+    support = vectors_frame(spark, data)
+    sums = support_sums(support, ["entity"])
+    # a row per pair of a row's terms made 64 dimensions cost 2,145 rows each
+    assert "Generate" not in sums._jdf.queryExecution().toString()
+    got = {(r.entity, r.i, r.j): r.s for r in sums.collect()}
+    for entity, x in data.items():
+        x = np.column_stack([np.ones(len(x)), x])
+        full, names = x.T @ x, ["", *[f"t{i:03d}" for i in range(x.shape[1] - 1)]]
+        for i, a in enumerate(names):
+            for j, b in enumerate(names[i:], i):
+                assert got.get((entity, a, b), 0.0) == pytest.approx(full[i, j], abs=1e-9)
+    assert all((e, "", n) in got for e, n, _ in got)
+
+
+def test_dot_products_take_only_shared_terms():
+    rng = np.random.default_rng(3)
+    a, b = (pd.DataFrame({"terms": [list(rng.choice(names, 4, replace=False)) for _ in range(6)],
+                          "vals": [rng.random(4).tolist() for _ in range(6)]}) for names in (list("abcdef"), list("defghi")))
+    a.at[0, "terms"], a.at[0, "vals"] = [None], [5.0]
+    b.at[0, "terms"], b.at[0, "vals"] = [None], [7.0]
+    for left, right in ((a, b), (b, a), (a, a), (a, a.iloc[2:4]), (a.iloc[:0], b)):
+        expected = [[sum(v * w for t, v in zip(*l) for u, w in zip(*r) if t == u and t is not None)
+                     for r in right[["terms", "vals"]].itertuples(index=False)]
+                    for l in left[["terms", "vals"]].itertuples(index=False)]
+        np.testing.assert_allclose(dense.dot_products(left, right), np.array(expected).reshape(len(left), len(right)), atol=1e-12)
