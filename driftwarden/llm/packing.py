@@ -43,6 +43,10 @@ _LATIN_TOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _HIDDEN = [b for b in range(256) if b not in _SHOWN]
 _BYTE_CHARACTERS = {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
+_SPELLED = np.array([ord(_BYTE_CHARACTERS.get(b, chr(b))) for b in range(256)], "<u4")
+_SPELLED[10] = 10  # words stand one to a line
+# letters and ASCII marks without an apostrophe behind them: two tokens of the vocabulary's pattern, or one
+_WORD_AND_MARKS = rf"^(?P<letters>[{_LATIN}]+)(?P<marks>[!-&(-/:-@\[-`{{-~]*)\z"
 PLAN_SCHEMA = "length int, from_rank long, to_rank long, first_sequence long, per_sequence long, first_offset long"
 
 
@@ -108,15 +112,59 @@ class Encoder:
         return [flat[a:b].tobytes() for a, b in zip(stops, stops[1:])]
 
     def _add(self, pieces: pa.Array) -> None:
-        words = [w[1:] if w[:1] == "\0" else " " + w for w in pieces.to_pylist()]
+        """Learn pieces that follow a blank or, behind a mark, open a text."""
+        parts = pc.extract_regex(pieces, _WORD_AND_MARKS)
+        simple = pc.is_valid(parts).to_numpy(zero_copy_only=False)
+        others = np.flatnonzero(~simple)
+        words = [w[1:] if w[:1] == "\0" else " " + w for w in pieces.take(pa.array(others)).to_pylist()]
         self._learn({w for w in words if w not in self.young})
         found = [self.young[w] for w in words]
-        sizes = np.array([len(i) // 4 for i in found], np.int64)
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes, self.used = np.concatenate([self.sizes, sizes]), np.concatenate([self.used, np.zeros(len(sizes), np.int64)])
-        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), "<u4")])
+        counts, flat = np.zeros(len(pieces), np.int64), [np.frombuffer(b"".join(found), "<u4")]
+        counts[others] = [len(i) // 4 for i in found]
+        if simple.any():
+            parts = parts.filter(pa.array(simple)).flatten()
+            counts[simple], ids = self._two_tokens(*(p.dictionary_encode() for p in parts))
+            flat.append(ids)
+        starts = np.zeros(len(pieces), np.int64)
+        order = np.concatenate([others, np.flatnonzero(simple)])
+        starts[order] = len(self.ids) + np.cumsum(counts[order]) - counts[order]
+        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, counts])
+        self.used = np.concatenate([self.used, np.zeros(len(pieces), np.int64)])
+        self.ids = np.concatenate([self.ids, *flat])
         self.known = pa.concat_arrays([self.known, pieces])
 
+    def _two_tokens(self, letters: pa.DictionaryArray, marks: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each piece, their ids): a blank with letters is a token, marks behind them are another."""
+        names = letters.dictionary
+        place = pc.index_in(names, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        fresh_ids, fresh_sizes = self._ids_after_blank(names.take(pa.array(new)))
+        known = place >= 0
+        starts, sizes = np.zeros((2, len(names)), np.int64)
+        starts[known], sizes[known] = self.starts[place[known]], self.sizes[place[known]]
+        starts[new], sizes[new] = len(self.ids) + np.cumsum(fresh_sizes) - fresh_sizes, fresh_sizes
+        signs = marks.dictionary.to_pylist()
+        self._learn({m for m in signs if m and m not in self.young})
+        behind = [self.young[m] if m else b"" for m in signs]
+        sign_sizes = np.array([len(i) // 4 for i in behind], np.int64)
+        sign_starts = len(self.ids) + len(fresh_ids) + np.cumsum(sign_sizes) - sign_sizes
+        pool = np.concatenate([self.ids, fresh_ids, np.frombuffer(b"".join(behind), "<u4")])
+        first, second = letters.indices.to_numpy(), marks.indices.to_numpy()
+        at = np.stack([starts[first], sign_starts[second]], 1).ravel()
+        counts = np.stack([sizes[first], sign_sizes[second]], 1)
+        return counts.sum(1), pool[ranges(at, counts.ravel())]
+
+    def _ids_after_blank(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each word) of words of letters alone that follow a blank."""
+        ids, counts = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        sizes = pc.binary_length(words).to_numpy().astype(np.int64) + 1
+        for a, b in by_bytes(sizes.tolist(), SLICE_CHARS):
+            raw = np.frombuffer((" " + "\n ".join(words.slice(a, b - a).to_pylist())).encode(), np.uint8)
+            own, stops = self._spelled_ids(_SPELLED[raw].tobytes().decode("utf-32-le"), np.cumsum(sizes[a:b]))
+            ids.append(own)
+            counts.append(np.diff(stops, prepend=0))
+        return np.concatenate(ids), np.concatenate(counts)
+
     def _forget(self) -> None:
         """Keep the short words that were seen last, half as many as are held."""
         short = np.flatnonzero(pc.utf8_length(self.known).to_numpy() <= CACHED_CHARS)
@@ -188,12 +236,15 @@ class Encoder:
 
     def _token_ids(self, tokens: list[str], spelled: str, sizes) -> None:
         """Learn ``tokens``, given by the characters for their bytes, one to a line, and their numbers of bytes."""
-        ids = np.array(self.of_tokens.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.cumsum(self.token_bytes[ids])
-        stops = (4 * np.searchsorted(ends, np.cumsum(list(sizes)), side="right")).tolist()
-        data = ids.tobytes()
+        ids, stops = self._spelled_ids(spelled, np.cumsum(list(sizes)))
+        stops, data = (4 * stops).tolist(), ids.tobytes()
         self.young.update(zip(tokens, [data[a:b] for a, b in zip([0, *stops], stops)]))
 
+    def _spelled_ids(self, spelled: str, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, where each token's ids end) of tokens whose bytes end at ``ends``."""
+        ids = np.array(self.of_tokens.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
+        return ids, np.searchsorted(np.cumsum(self.token_bytes[ids]), ends, side="right")
+
 
 def _slices(text: str) -> Iterator[str]:
     """Pieces of a long text, cut before a blank between two characters that are not white space."""

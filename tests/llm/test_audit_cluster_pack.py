@@ -227,3 +227,16 @@ def test_words_have_the_ids_of_their_text(monkeypatch):
     for _ in range(2):
         got = [[*np.frombuffer(b, "<u4").tolist(), 0] for b in encoder.encode(texts)]
         assert got == whole_ids(texts)
+
+
+def test_words_with_marks_are_learned_as_columns():
+    rng = random.Random(3)
+    letters = ["a", "word", "Größe", "École", "naïve", "of", "x" * 70, "ſ", "Ɏ"]
+    marks = ["", ",", ".", "!?", "&&&", "\"", "'", "'s", ")..", "_", "`~", "\\", "\n", "…", "1"]
+    texts = [" ".join(rng.choice(letters) + rng.choice(marks) for _ in range(n)) for n in range(1, 120)]
+    encoder = packing.Encoder(VOCABULARY)
+    got = [[*np.frombuffer(b, "<u4").tolist(), 0] for part in (texts[:60], texts[60:]) for b in encoder.encode(part)]
+    assert got == whole_ids(texts)
+    columns = packing.Encoder(VOCABULARY)
+    columns.encode(["of Größe, word&&&"])
+    assert not {" Größe,", " word&&&"} & set(columns.young) and "word&&&" in columns.known.to_pylist()
