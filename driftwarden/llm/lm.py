@@ -19,6 +19,8 @@ the slice of the automaton that its texts can touch.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from driftwarden.llm.common import by_bytes, mix64, pack, pack_sorted, partitions, unpack, unpack_sorted
 from driftwarden.runtime import cut
 
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 8_000_000
 #: Bytes of text per bucket of counts, on average.
 BUCKET_BYTES = 8_000_000
 #: Bits of a key beyond those that number the corpus' bytes: a word or n-gram shares its key with odds of 2^-20 at any size.
@@ -159,46 +161,85 @@ class Automaton:
         self.start = 1 + m if history[m] else 0
         self.plain = (singles + 1) / (n + v + 1)
 
+        self.codes, self.first = codes, np.cumsum(lengths, dtype=np.int64) - lengths
         grams, _ = _grams(words, codes, lengths, 2, mask)
         _, at, pair_of = np.unique(grams, return_index=True, return_inverse=True)
         before = np.empty(len(codes), np.int64)
         before[1:] = codes[:-1]
-        before[np.cumsum(lengths, dtype=np.int64) - lengths] = m
+        before[self.first] = m
         first, second = before[at], codes[at].astype(np.int64)
         by_pair = (doubles + strength * self.plain[second]) / (history[first] + strength)
 
         grams, places = _grams(words, codes, lengths, 3, mask)
-        _, at = np.unique(grams, return_index=True)
+        _, at, triple_of = np.unique(grams, return_index=True, return_inverse=True)
         end = places[at]
         longer, shorter = pair_of[end - 1], pair_of[end]
         by_triple = (triples + strength * by_pair[shorter]) / (doubles[longer] + strength)
 
         two, three = np.flatnonzero(doubles), np.flatnonzero(triples)
-        source = np.concatenate((np.zeros(m, np.int64), 1 + first[two], self.pairs + longer[three]))
-        word = np.concatenate((np.arange(m), second[two], codes[end[three]]))
-        target = np.concatenate((np.where(singles > 0, 1 + np.arange(m), 0), self.pairs + two, self.pairs + shorter[three]))
-        self.weight = np.log10(np.concatenate((self.plain, by_pair[two], by_triple[three]))).tolist()
-        self.target = target.tolist()
-        self.arcs = dict(zip((source * self.width + word).tolist(), range(len(source))))
-        self.failure = np.concatenate(([0], np.zeros(m + 1, np.int64), 1 + second)).tolist()
+        self.source = np.concatenate((np.zeros(m, np.int64), 1 + first[two], self.pairs + longer[three]))
+        self.word = np.concatenate((np.arange(m), second[two], codes[end[three]]))
+        self.target = np.concatenate((np.where(singles > 0, 1 + np.arange(m), 0), self.pairs + two, self.pairs + shorter[three]))
+        self.weight = np.log10(np.concatenate((self.plain, by_pair[two], by_triple[three])))
+        self.failure = np.concatenate(([0], np.zeros(m + 1, np.int64), 1 + second))
         passed = strength / (np.concatenate((history, doubles)) + strength)
-        self.passes = np.log10(np.concatenate(([1.0], passed))).tolist()
+        self.passes = np.log10(np.concatenate(([1.0], passed)))
+        # the arcs that read each place's last two and three words, -1 where there is none
+        self.arc_of_two = _numbered(two, len(doubles), m)[pair_of]
+        self.arc_of_three = np.full(len(codes), -1)
+        self.arc_of_three[places] = _numbered(three, len(triples), m + len(two))[triple_of]
+
+    @functools.cached_property
+    def arcs(self) -> dict[int, int]:
+        """The number of the arc that leaves a state for a word, by state * width + word."""
+        return dict(zip((self.source * self.width + self.word).tolist(), range(len(self.source))))
 
     def read(self, text: list[int]) -> float:
-        """log10 of the probability of one text, given as word numbers."""
-        arcs, weight, target, width, failure, passes = (
-            self.arcs, self.weight, self.target, self.width, self.failure, self.passes)
+        """log10 of the probability of one text, given as word numbers, word by word."""
         state, total = self.start, 0.0
         for word in text:
-            arc = arcs.get(state * width + word)
+            arc = self.arcs.get(state * self.width + word)
             while arc is None:  # the root has an arc for every word
-                total += passes[state]
-                state = failure[state]
-                arc = arcs.get(state * width + word)
-            total += weight[arc]
-            state = target[arc]
+                total += self.passes[state]
+                state = self.failure[state]
+                arc = self.arcs.get(state * self.width + word)
+            total += self.weight[arc]
+            state = self.target[arc]
         return total
 
+    def read_all(self) -> np.ndarray:
+        """What ``read`` gives for every text of the block, all words at once.
+
+        All arcs that read a word after the same history lead to the longest one known afterwards, so the state carried
+        to a place is the target of the longest arc that reads the place before; from there failure arcs are followed
+        until an arc fits, twice at most. Costs are added up in the order of the text.
+        """
+        longest = np.where(self.arc_of_two >= 0, self.arc_of_two, self.codes)
+        state = np.empty(len(longest), np.int64)
+        state[1:] = self.target[longest[:-1]]
+        state[self.first] = self.start
+        costs = np.zeros((len(state), 3))
+        arc = np.where(state >= self.pairs, self.arc_of_three, -1)
+        fails = (state >= self.pairs) & (arc < 0)
+        costs[fails, 0] = self.passes[state[fails]]
+        state[fails] = self.failure[state[fails]]
+        single = (arc < 0) & (state > 0)
+        arc[single] = self.arc_of_two[single]
+        fails = single & (arc < 0)
+        costs[fails, 1] = self.passes[state[fails]]
+        arc = np.where(arc < 0, self.codes, arc)  # the root's arcs
+        costs[:, 2] = self.weight[arc]
+        place = np.zeros(len(state), np.int64)
+        place[self.first[1:]] = 1
+        return np.bincount(np.repeat(np.cumsum(place), 3), costs.ravel(), len(self.first))
+
+
+def _numbered(places: np.ndarray, size: int, start: int) -> np.ndarray:
+    """start, start + 1, ... at ``places``, -1 elsewhere."""
+    out = np.full(size, -1)
+    out[places] = start + np.arange(len(places))
+    return out
+
 
 def _answers(requests: DataFrame, kind: int) -> DataFrame:
     """block, kind, bucket, counts (total of every key asked for), tokens and types of the bucket (block null)."""
@@ -260,7 +301,7 @@ def score_documents(docs: DataFrame, strength: float = 30.0) -> DataFrame:
             "doc_id": ids, "held_out": held, "n_tokens": lengths.astype(np.int64),
             "n_known": np.add.reduceat(known.astype(np.int64), first),
             "base_score": np.add.reduceat(np.log10(automaton.plain)[codes], first),
-            "score": [automaton.read(codes[a:b].tolist()) for a, b in zip(first, ends)]})
+            "score": automaton.read_all()})
 
     scored = blocks.groupBy("block").cogroup(answers.groupBy("of")).applyInPandas(
         walk, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")

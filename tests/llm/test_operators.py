@@ -141,6 +141,29 @@ def test_automaton_carries_its_state():
         math.log10(share(found.start, 1)) + math.log10(share(found.target[found.arcs[found.start * found.width + 1]], 2)))
 
 
+def test_texts_read_together_cost_what_they_cost_word_by_word():
+    """Texts of words, pairs and triples that training texts hold or not, a first word among the unknown ones."""
+    rng = np.random.default_rng(4)
+    lengths = rng.integers(1, 30, 60).astype(np.int32)
+    words = np.sort(rng.choice(1 << 62, 12, replace=False).astype(np.uint64))
+    words[0] = lm.END
+    codes = rng.integers(1, 12, int(lengths.sum())).astype(np.int32)
+    ends = np.cumsum(lengths) - 1
+    codes[ends] = 0
+    full = lm.key_mask(1 << 63)
+    learn = np.repeat(np.arange(60) % 3 == 0, lengths) & np.repeat(np.arange(60) < 12, lengths)
+    counts = []
+    for order in (1, 2, 3):
+        grams, places = lm._grams(words, codes, lengths, order, full)
+        keys, at = np.unique(grams, return_inverse=True)
+        counts.append(np.bincount(at[learn[places]], minlength=len(keys)))
+    assert all((c == 0).any() and (c > 0).any() for c in counts[1:])
+    for told in (counts, [0 * c for c in counts]):
+        found = lm.Automaton(words, codes, lengths, told, int(told[0].sum()), int((told[0] > 0).sum()), 2.0, full)
+        one_by_one = [found.read(codes[b - n + 1:b + 1].tolist()) for b, n in zip(ends, lengths)]
+        assert found.read_all().tolist() == one_by_one
+
+
 def test_language_model_of_nothing(spark):
     assert lm.score_documents(h.documents(spark, []).coalesce(1)).count() == 0
 
