@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from driftwarden.operators import skew
 from driftwarden.operators.ranking import group_percentile, group_percentiles, running_total, with_position
 from driftwarden.operators.skew import attach, join_scalars
 from tests.helpers import as_rows
@@ -67,3 +68,16 @@ def test_joins_keep_every_row(skewed):
     assert as_rows(attach(skewed, table, ["g"], "id"), "g", "id", "n") == plain
     total = skewed.agg(F.sum("x").alias("s"))
     assert join_scalars(skewed, total, [], ["id"]).filter("s is not null").count() == 500
+
+
+def test_rows_of_frequent_keys_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(skew, "FREQUENT_ROWS", 5)
+    rows = spark.createDataFrame([("a", i) for i in range(9)] + [("b", 1), ("c", 2), (None, 3), ("c", 2)], "g string, id int")
+    table = spark.createDataFrame([("a", 1.0), ("b", 2.0), (None, 4.0), ("z", 5.0)], "g string, n double")
+    plain = rows.join(table, "g")
+    assert as_rows(skew.attach_frequent(rows, table, ["g"], rows.count()), "g", "id", "n") == as_rows(plain, "g", "id", "n")
+
+
+def test_partitions_follow_the_rows(spark):
+    assert skew.pieces_for(spark.range(1), 900 * skew.TASK_ROWS) == 900
+    assert skew.pieces_for(spark.range(1), 5) == int(spark.conf.get("spark.sql.shuffle.partitions"))
