@@ -7,7 +7,7 @@ key, so exact copies cost nothing.
 
 Only components are asked for, so a list of sets that share a shingle is first linked along chains, an edge or two per
 set, then among the nearest few in a fixed order; pairs that still lie in different components after that are then
-formed, filtered and verified, all of them.
+formed, filtered and verified, all of them. Texts are read and moved only for pairs that pass every filter.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ SIGNATURE_WORDS = 8
 BATCH_BYTES = 1_000_000
 #: Bytes of text whose prefix shingles share a bucket, on average.
 BUCKET_BYTES = 8_000_000
+#: Postings that a task deals to the buckets together.
+DEALT_POSTINGS = 250_000
 _PRIMES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 _INVERSE = pow(_PRIMES[3], -1, 1 << 64)
 
@@ -126,7 +128,7 @@ def _batches(frames, column="text"):
 
 
 def nodes_of(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, node (a string, the set's key; null for an empty set), and the counts of hash classes.
+    """doc_id, n_shingles, node (a string, the set's key; null for an empty set), sig, and the counts of hash classes.
 
     The counts, rows with a ``slice``, come from the same shingles, so texts are gone through once for both.
     """
@@ -139,18 +141,20 @@ def nodes_of(docs: DataFrame, width: int) -> DataFrame:
             a, b = set_keys(sizes, hashes)
             node = [f"{x:016x}{y:016x}" if n else None for x, y, n in zip(a.tolist(), b.tolist(), sizes.tolist())]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "text_key": frame["text_key"], "n_shingles": sizes,
-                                "node": pd.Series(node, frame.index, dtype=object), "slice": pd.array([None] * len(frame), "Int32"),
+                                "node": pd.Series(node, frame.index, dtype=object),
+                                "sig": pd.Series(list(signatures(sizes, hashes)), frame.index, dtype=object),
+                                "slice": pd.array([None] * len(frame), "Int32"),
                                 "counts": pd.Series([None] * len(frame), frame.index, dtype=object)})
         parts = _slices(total)
         nothing = pd.Series([None] * len(parts), dtype=object)
-        yield parts.assign(doc_id=nothing, text_key=0, n_shingles=0, node=nothing)[
-            ["doc_id", "text_key", "n_shingles", "node", "slice", "counts"]]
+        yield parts.assign(doc_id=nothing, text_key=0, n_shingles=0, node=nothing, sig=nothing)[
+            ["doc_id", "text_key", "n_shingles", "node", "sig", "slice", "counts"]]
 
     # ids as text: a null among them would turn the others into floating point
     named = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
     return named.mapInPandas(
-        keys, "doc_id string, text_key long, n_shingles long, node string, slice int, counts binary").withColumn(
-        "doc_id", F.col("doc_id").cast("long"))
+        keys, "doc_id string, text_key long, n_shingles long, node string, sig array<bigint>, slice int, "
+        "counts binary").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _class_counts(hashes: np.ndarray) -> np.ndarray:
@@ -175,7 +179,7 @@ def add_sketches(rows: DataFrame) -> np.ndarray:
 
 def prefix_postings(docs: DataFrame, width: int, percent: int, buckets: int,
                     frequency: np.ndarray | None = None) -> DataFrame:
-    """(bucket, payload): prefix shingles with node key, set size and place, distinct within a batch.
+    """(bucket, payload): prefix shingles with node key, set size and place, distinct within a batch of texts.
 
     ``frequency`` has a number per hash class, counted here if not given; rarer classes come first.
     """
@@ -184,8 +188,19 @@ def prefix_postings(docs: DataFrame, width: int, percent: int, buckets: int,
         frequency = add_sketches(counted)
     classes = docs.sparkSession.sparkContext.broadcast(frequency)
 
+    def deal(held):
+        hashes, a, b, n, place = (np.concatenate(x) for x in zip(*held))
+        bucket = (mix64(hashes) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        out = []
+        for k in np.flatnonzero(np.diff(cuts)):
+            at = order[cuts[k]:cuts[k + 1]]
+            out.append((int(k), pack(hashes[at]), pack(a[at]), pack(b[at]), pack(n[at]), pack(place[at])))
+        return pd.DataFrame(out, columns=["bucket", "gram", "a", "b", "n", "place"])
+
     def postings(frames):
-        frequency = classes.value
+        frequency, held = classes.value, []
         for frame in _batches(frames):
             sizes, hashes = shingle_sets(list(frame["text"]), width)
             a, b = set_keys(sizes, hashes)
@@ -204,16 +219,13 @@ def prefix_postings(docs: DataFrame, width: int, percent: int, buckets: int,
             place = ranges(np.zeros(len(kept), np.int64), kept)
             n = sizes[doc]
             first = place < n - -(-n * percent // 100) + 1
-            hashes, doc, place, n = hashes[first], doc[first], place[first], n[first]
-            bucket = (mix64(hashes) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            out = []
-            for k in np.flatnonzero(np.diff(cuts)):
-                at = order[cuts[k]:cuts[k + 1]]
-                out.append((int(k), pack(hashes[at]), pack(a[doc[at]]), pack(b[doc[at]]), pack(n[at].astype(np.int32)),
-                            pack(place[at].astype(np.int32))))
-            yield pd.DataFrame(out, columns=["bucket", "gram", "a", "b", "n", "place"])
+            doc = doc[first]
+            held.append((hashes[first], a[doc], b[doc], n[first].astype(np.int32), place[first].astype(np.int32)))
+            if sum(len(x[0]) for x in held) >= DEALT_POSTINGS:
+                yield deal(held)
+                held = []
+        if held:
+            yield deal(held)
 
     return docs.select("text").mapInPandas(
         postings, "bucket int, gram binary, a binary, b binary, n binary, place binary")
@@ -282,14 +294,30 @@ def signatures(sizes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
 
 
-def _possible(percent: int):
-    """Length, positional and suffix filter of x and y: false only where their sets can't be similar enough."""
-    need = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent) - 1e-9)
-    rest = 1 + F.least("x.place", "y.place") + F.least(F.expr("x.n - x.place - 1"), F.expr("y.n - y.place - 1"))
+def _need(percent: int):
+    """Overlap of a link between x and y."""
+    return F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent) - 1e-9)
+
+
+def _alike(percent: int):
+    """Length and suffix filter of x and y: false only where their sets can't be similar enough."""
     near = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
     apart = sum((F.bit_count(F.get("x.sig", F.lit(i)).bitwiseXOR(F.get("y.sig", F.lit(i))))
                  for i in range(SIGNATURE_WORDS)), F.lit(0))
-    return near & (rest >= need) & (apart <= F.col("x.n") + F.col("y.n") - 2 * need)
+    return near & (apart <= F.col("x.n") + F.col("y.n") - 2 * _need(percent))
+
+
+def _possible(percent: int):
+    """Length, positional and suffix filter of x and y: false only where their sets can't be similar enough."""
+    rest = 1 + F.least("x.place", "y.place") + F.least(F.expr("x.n - x.place - 1"), F.expr("y.n - y.place - 1"))
+    return _alike(percent) & (rest >= _need(percent))
+
+
+def alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that pass length and suffix filter, by sizes and signatures of ``sets`` (node, n, sig)."""
+    x = sets.select(F.col("node").alias("a"), F.struct("n", "sig").alias("x"))
+    y = sets.select(F.col("node").alias("b"), F.struct("n", "sig").alias("y"))
+    return pairs.join(x, "a").join(y, "b").where(_alike(percent)).select("a", "b")
 
 
 def near_neighbours(shared: DataFrame, percent: int, reach: int = 8, run: int = 1024) -> DataFrame:
@@ -361,11 +389,13 @@ def cross_pairs(shared: DataFrame, percent: int, block: int = 512) -> DataFrame:
     return joined.unionByName(rows.groupBy("gram", "i", "j").applyInPandas(meet, "a string, b string")).distinct()
 
 
-def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose sets' similarity reaches ``percent``; suffix filter first, then the whole intersection.
+def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
+    """The stored pairs whose sets' similarity reaches ``percent``, by their whole intersection.
 
-    Compressed texts travel, being a third of their sets' size.
+    Compressed texts travel, being a third of their sets' size, and only those of sets in a pair.
     """
+    met = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    texts = cut(texts_of(docs, sets.join(met.distinct(), "node", "left_semi"), width), "jaccard-texts")
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("packed").alias("ta")), "a")
     both = left.join(texts.select(F.col("node").alias("b"), F.col("packed").alias("tb")), "b")
 
@@ -400,8 +430,7 @@ def _bound(x: np.ndarray, y: np.ndarray, parts: int = 8) -> int:
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame, width: int, most: int = 2_000_000) -> DataFrame:
-    """node, packed (a compressed text), sig (its signature) of the wanted (node, text_key): one text of each
-    is read again.
+    """node, packed (a compressed text) of the wanted (node, text_key): one text of each is read again.
 
     Up to ``most`` keys are broadcast; beyond, the texts are shuffled to them.
     """
@@ -414,12 +443,11 @@ def texts_of(docs: DataFrame, wanted: DataFrame, width: int, most: int = 2_000_0
             a, b = set_keys(sizes, hashes)
             node = [f"{x:016x}{y:016x}" for x, y in zip(a.tolist(), b.tolist())]
             zip_up = zstandard.ZstdCompressor(level=3).compress
-            yield pd.DataFrame({"node": node, "packed": [zip_up(t.encode()) for t in frame["text"]],
-                                "sig": list(signatures(sizes, hashes))})
+            yield pd.DataFrame({"node": node, "packed": [zip_up(t.encode()) for t in frame["text"]]})
 
     found = docs.select("text", F.xxhash64("text").alias("text_key")).join(keys, "text_key", "left_semi")
-    return found.select("text").mapInPandas(build, "node string, packed binary, sig array<bigint>").groupBy(
-        "node").agg(F.min_by(F.struct("packed", "sig"), "packed").alias("t")).select("node", "t.*")
+    return found.select("text").mapInPandas(build, "node string, packed binary").groupBy("node").agg(
+        F.min("packed").alias("packed"))
 
 
 def _id_key():
@@ -432,31 +460,31 @@ def _placed(docs: DataFrame, width: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     found = cut(nodes_of(docs.withColumn("text_key", F.xxhash64("text")), width), "jaccard-nodes")
-    nodes = found.where("slice is null").drop("slice", "counts")
+    nodes = found.where("slice is null").drop("slice", "counts", "sig")
     frequency = add_sketches(found.where("slice is not null"))
     held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     postings = prefix_postings(docs, width, percent, max(4 * partitions(spark), -(-held // BUCKET_BYTES)), frequency)
     shared = cut(shared_postings(postings), "jaccard-shared")
-    members = shared.select("node").distinct()
-    wanted = nodes.groupBy("node").agg(F.min("text_key").alias("text_key")).join(members, "node", "left_semi")
-    texts = cut(texts_of(docs, wanted, width), "jaccard-texts")
-    tried = cut(chains(shared), "jaccard-chains")
-    links = cut(verify(tried, texts, width, percent), "jaccard-links")
-    components = cut(connected(links), "jaccard-components")
+    members = found.where("node is not null").join(shared.select("node").distinct(), "node", "left_semi")
+    one = F.min_by(F.struct("text_key", F.col("n_shingles").alias("n"), "sig"), "text_key")
+    sets = cut(members.groupBy("node").agg(one.alias("one")).select("node", "one.*"), "jaccard-sets")
 
     def labelled():
-        known = shared.join(components, "node", "left").join(texts.select("node", "sig"), "node")
+        known = shared.join(components, "node", "left").join(sets.select("node", "sig"), "node")
         return known.withColumn("component", F.coalesce("component", "node"))
 
+    # pairs that fail length or suffix filter here fail it below, too
+    tried = cut(alike(chains(shared), sets, percent), "jaccard-chains")
+    components = cut(connected(cut(verify(tried, docs, sets, width, percent), "jaccard-links")), "jaccard-components")
     near = cut(near_neighbours(labelled(), percent).join(tried, ["a", "b"], "left_anti"), "jaccard-near")
     if not near.isEmpty():
         tried = tried.unionByName(near)
-        found = cut(verify(near, texts, width, percent), "jaccard-links")
-        components = joined(components, found)
-    rest = cross_pairs(labelled(), percent).join(tried, ["a", "b"], "left_anti")
-    more = cut(verify(rest, texts, width, percent), "jaccard-links")
-    if not more.isEmpty():
-        components = joined(components, more)
+        components = joined(components, cut(verify(near, docs, sets, width, percent), "jaccard-links"))
+    rest = cut(cross_pairs(labelled(), percent).join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
+    if not rest.isEmpty():
+        more = cut(verify(rest, docs, sets, width, percent), "jaccard-links")
+        if not more.isEmpty():
+            components = joined(components, more)
     return nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")).withColumn(
         "_id", _id_key())
 

@@ -496,3 +496,21 @@ def test_jaccard_join_of_few_documents(spark, rows):
     some = h.awkward_documents()[:rows]
     got = jaccard.jaccard_components(h.documents(spark, some)).collect()
     assert h.ordered(got) == h.ordered(h.brute_jaccard([(r[0], r[1]) for r in some]))
+
+
+def test_jaccard_moves_texts_of_alike_sets_only(spark, monkeypatch):
+    """A passage in documents that are otherwise different: their sets meet by its shingles, their texts need not."""
+    passage = " ".join(f"p{i}" for i in range(12))
+    rest = ("en", "s", 1, 0, "", "")
+    rows = [(d, f"{passage} " + " ".join(f"w{d}x{i}" for i in range(40)), *rest) for d in range(6)]
+    rows += [(8, rows[0][1] + " end", *rest)]
+    read, texts_of = [], jaccard.texts_of
+
+    def counted(docs, wanted, width, **bounds):
+        read.append(wanted.count())
+        return texts_of(docs, wanted, width, **bounds)
+
+    monkeypatch.setattr(jaccard, "texts_of", counted)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(h.documents(spark, rows)).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 8: 0}
+    assert read == [2]
