@@ -6,7 +6,12 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_point
+from driftwarden.detectors.centroid import detect_centroid
+from driftwarden.detectors.envelope import detect_envelope
 from driftwarden.detectors.iforest import detect_iforest
+from driftwarden.detectors.lof import detect_lof
+from driftwarden.detectors.ocsvm import detect_ocsvm
+from driftwarden.detectors.vote import majority_vote, stack_flags
 from driftwarden.plans import workloads as W
 from tests.test_oracles import _sorted
 
@@ -49,3 +54,14 @@ def test_forest_has_all_trees_rows_and_terms(spark, streams_dir):
     assert got == expected and len(got) == 16 + 4
     full = detect_iforest(W.stream_vectors(spark, streams_dir), trees=100, samples=100, features=60)
     assert got == _sorted(full.select("entity", "seg", "score", "flag").collect())
+
+
+def test_vote_of_five_takes_the_detectors_own_settings(spark, streams_dir):
+    got, expected = both(spark, streams_dir, "majority_vote_of_five")
+    assert got == expected and len(got) == 16 + 4
+    vectors = W.stream_vectors(spark, streams_dir)
+    flags = {"centroid": detect_centroid(vectors), "lof": detect_lof(vectors, k=40), "ocsvm": detect_ocsvm(vectors, nu=0.3),
+             "iforest": detect_iforest(vectors, trees=100, samples=100, features=60),
+             "envelope": detect_envelope(W.quantity_vectors(spark, streams_dir))}
+    vote = majority_vote(stack_flags(flags, ["entity", "seg"]), ["entity", "seg"])
+    assert got == _sorted(vote.collect())
