@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_point
+from driftwarden.detectors import iforest
 from driftwarden.detectors.centroid import detect_centroid
 from driftwarden.detectors.envelope import detect_envelope
 from driftwarden.detectors.iforest import detect_iforest
@@ -20,9 +21,9 @@ TABLES = ("lineitem", "part", "supplier")
 
 @pytest.fixture(scope="module")
 def streams_dir(tmp_path_factory):
-    """Streams of 26, 14 and 2 segments over 12 brands; the first two entities are labelled."""
+    """Streams of 26, 22 and 2 segments over 12 brands; the first two entities are labelled."""
     path, rng = tmp_path_factory.mktemp("streams"), np.random.default_rng(5)
-    sizes = {1: 515, 2: 280, 3: 25}
+    sizes = {1: 515, 2: 435, 3: 25}
     n = sum(sizes.values())
     pd.DataFrame({
         "l_suppkey": np.repeat(list(sizes), list(sizes.values())), "l_shipdate": pd.Timestamp("1995-01-01"),
@@ -51,17 +52,41 @@ def both(spark, path, name):
 
 def test_forest_has_all_trees_rows_and_terms(spark, streams_dir):
     got, expected = both(spark, streams_dir, "detect_iforest")
-    assert got == expected and len(got) == 16 + 4
+    assert got == expected and len(got) == 16 + 12
     full = detect_iforest(W.stream_vectors(spark, streams_dir), trees=100, samples=100, features=60)
     assert got == _sorted(full.select("entity", "seg", "score", "flag").collect())
 
 
 def test_vote_of_five_takes_the_detectors_own_settings(spark, streams_dir):
     got, expected = both(spark, streams_dir, "majority_vote_of_five")
-    assert got == expected and len(got) == 16 + 4
+    assert got == expected and len(got) == 16 + 12
     vectors = W.stream_vectors(spark, streams_dir)
     flags = {"centroid": detect_centroid(vectors), "lof": detect_lof(vectors, k=40), "ocsvm": detect_ocsvm(vectors, nu=0.3),
              "iforest": detect_iforest(vectors, trees=100, samples=100, features=60),
              "envelope": detect_envelope(W.quantity_vectors(spark, streams_dir))}
     vote = majority_vote(stack_flags(flags, ["entity", "seg"]), ["entity", "seg"])
     assert got == _sorted(vote.collect())
+
+
+@pytest.mark.parametrize("name", ["search_scores"])
+def test_search_tries_a_hundred_candidates_of_the_full_spaces(spark, streams_dir, name):
+    got, expected = both(spark, streams_dir, name)
+    assert got == expected
+    if name == "search_scores":
+        tried = {}
+        for row in entry_point.queries()[name](spark, streams_dir).collect():
+            tried.setdefault((row.detector, row.entity), set()).add(row.candidate)
+        assert {k: len(v) for k, v in tried.items()} == {
+            (d, e): n for d, n in (("centroid", 25), ("lof", 100), ("iforest", 100), ("envelope", 100)) for e in (1, 2)}
+
+
+def test_settings_beyond_a_group_share_its_forest(monkeypatch):
+    rows = pd.DataFrame({"seg": range(8), "terms": [["a", "b"]] * 8, "vals": [[float(i), float(i * i % 5)] for i in range(8)],
+                         "is_fit": True})
+    grown, grow = [], iforest._grow_trees
+    monkeypatch.setattr(iforest, "_grow_trees", lambda *args: grown.append(1) or grow(*args))
+    settings = [(5, 8, 2, False), (9, 100, 60, False), (3, 50, 2, False), (4, 4, 60, False)]
+    scores = iforest.group_forest((1,), rows, "seg", settings)
+    assert list(scores) == settings and len(grown) == 2
+    for setting in settings:
+        assert list(scores[setting]) == list(iforest.group_forest((1,), rows, "seg", [setting])[setting])
