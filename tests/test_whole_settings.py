@@ -68,7 +68,7 @@ def test_vote_of_five_takes_the_detectors_own_settings(spark, streams_dir):
     assert got == _sorted(vote.collect())
 
 
-@pytest.mark.parametrize("name", ["search_scores"])
+@pytest.mark.parametrize("name", ["search_scores", "search_best"])
 def test_search_tries_a_hundred_candidates_of_the_full_spaces(spark, streams_dir, name):
     got, expected = both(spark, streams_dir, name)
     assert got == expected
